@@ -32,9 +32,8 @@ SELECT {KEY} AS seg_id, concat('C',CAST(l_suppkey % 25 AS STRING)) AS city,
   CASE l_partkey % 7 WHEN 0 THEN concat('15/10/',{YEAR_TEXT}) WHEN 1 THEN concat({YEAR_TEXT},'/01/31')
     WHEN 2 THEN concat({YEAR_TEXT},'-09-02T00:00:00') WHEN 3 THEN concat({YEAR_TEXT},'.0')
     WHEN 4 THEN concat('pose ',{YEAR_TEXT}) WHEN 5 THEN 'NC' ELSE NULL END AS age_raw,
-  year(l_shipdate)-l_partkey%60 AS true_year,
   CASE WHEN l_orderkey%5=0 THEN NULL ELSE 150.0 + l_discount*100 END AS level_up,
-  CASE WHEN l_orderkey%7=0 THEN NULL WHEN l_orderkey%11=0 THEN 0.0 ELSE 150.0 + l_tax*100 END AS level_down,
+  CASE WHEN l_orderkey%7=0 THEN NULL WHEN l_orderkey%11=0 THEN CAST(0.0 AS DOUBLE) ELSE 150.0 + l_tax*100 END AS level_down,
   CASE WHEN l_orderkey%19=0 THEN 0.0 ELSE l_quantity END AS length_raw,
   CASE WHEN l_orderkey%3=0 THEN NULL WHEN l_orderkey%7=0 THEN (150.0 + l_discount*100)/l_quantity*100
     ELSE (l_discount-0.05)*150 END AS slope_raw,
@@ -47,17 +46,17 @@ FROM lineitem""",
     "fx_manholes": """
 SELECT concat('M',CAST(p_partkey AS STRING)) AS mh_id,
   CAST((p_partkey*37) % 1000 AS DOUBLE) AS x, CAST((p_partkey*11) % 1000 AS DOUBLE) AS y,
-  CASE WHEN p_partkey%9=0 THEN NULL ELSE 150.0 + p_size/10.0 END AS ground,
-  CASE WHEN p_partkey%8=0 THEN NULL WHEN p_partkey%17=0 THEN 160.0 ELSE 148.0 + p_size/20.0 END AS invert,
-  CASE WHEN p_partkey%3=0 THEN NULL ELSE 1.0 + (p_size%5)*0.5 END AS depth
+  CASE WHEN p_partkey%9=0 THEN NULL ELSE CAST(150.0 + p_size/10.0 AS DOUBLE) END AS ground,
+  CASE WHEN p_partkey%8=0 THEN NULL WHEN p_partkey%17=0 THEN CAST(160.0 AS DOUBLE) ELSE CAST(148.0 + p_size/20.0 AS DOUBLE) END AS invert,
+  CASE WHEN p_partkey%3=0 THEN NULL ELSE CAST(1.0 + (p_size%5)*0.5 AS DOUBLE) END AS depth
 FROM part""",
     # Boxes overlap by 20 m; box 12 is a small one, which leaves a gap around it.
     "fx_hazard": """
 SELECT n_nationkey AS poly_id,
-  n_nationkey%5*200.0-10 + CASE WHEN n_nationkey=12 THEN 90.0 ELSE 0.0 END AS xmin,
-  n_nationkey%5*200.0+210 - CASE WHEN n_nationkey=12 THEN 90.0 ELSE 0.0 END AS xmax,
-  floor(n_nationkey/5.0)*200.0-10 + CASE WHEN n_nationkey=12 THEN 90.0 ELSE 0.0 END AS ymin,
-  floor(n_nationkey/5.0)*200.0+210 - CASE WHEN n_nationkey=12 THEN 90.0 ELSE 0.0 END AS ymax,
+  CAST(n_nationkey%5*200.0-10 + CASE WHEN n_nationkey=12 THEN 90.0 ELSE 0.0 END AS DOUBLE) AS xmin,
+  CAST(n_nationkey%5*200.0+210 - CASE WHEN n_nationkey=12 THEN 90.0 ELSE 0.0 END AS DOUBLE) AS xmax,
+  CAST(floor(n_nationkey/5.0)*200.0-10 + CASE WHEN n_nationkey=12 THEN 90.0 ELSE 0.0 END AS DOUBLE) AS ymin,
+  CAST(floor(n_nationkey/5.0)*200.0+210 - CASE WHEN n_nationkey=12 THEN 90.0 ELSE 0.0 END AS DOUBLE) AS ymax,
   n_regionkey%3+1 AS level
 FROM nation""",
     # 100 columns of 10 m and as many rows as the events fill, in tiles of 50 x 50.
@@ -65,12 +64,12 @@ FROM nation""",
 SELECT CAST(floor(event_id/5000.0)*2 + floor((event_id%100)/50.0) AS INT) AS tile_id,
   CAST(floor(event_id/100.0) AS INT) AS grow, CAST(event_id%100 AS INT) AS gcol,
   CAST(floor(event_id/100.0) % 50 AS INT) AS row, CAST(event_id%50 AS INT) AS col,
-  CASE WHEN event_type='error' THEN -9999.0 ELSE value END AS value
+  CASE WHEN event_type='error' THEN CAST(-9999.0 AS DOUBLE) ELSE value END AS value
 FROM events""",
     "fx_tiles": """
-SELECT tile_id, (tile_id%2)*500.0 AS xmin, 1000.0 - floor(tile_id/2.0)*500.0 - 500.0 AS ymin,
-  (tile_id%2)*500.0 + 500.0 AS xmax, 1000.0 - floor(tile_id/2.0)*500.0 AS ymax,
-  10.0 AS cell, 50 AS nrows, 50 AS ncols
+SELECT tile_id, CAST((tile_id%2)*500.0 AS DOUBLE) AS xmin, CAST(500.0 - floor(tile_id/2.0)*500.0 AS DOUBLE) AS ymin,
+  CAST((tile_id%2)*500.0 + 500.0 AS DOUBLE) AS xmax, CAST(1000.0 - floor(tile_id/2.0)*500.0 AS DOUBLE) AS ymax,
+  CAST(10.0 AS DOUBLE) AS cell, 50 AS nrows, 50 AS ncols
 FROM (SELECT DISTINCT tile_id FROM fx_cells) t""",
     "fx_results": """
 SELECT o_orderpriority AS target, o_orderstatus AS level, concat('m',CAST(o_custkey%4 AS STRING)) AS model,

@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 GEOM = "array<array<struct<x:double,y:double>>>"
 
 
+def once(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out a single time.
+
+    Spark shares repeated expressions in generated code only; the array functions used
+    here are interpreted and would otherwise build a geometry anew for every mention.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def vertex(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -71,33 +80,44 @@ def is_line(g: Column) -> Column:
 
 def line_centroid(g: Column) -> Column:
     """Length-weighted mean of piece midpoints; vertex mean where the length is zero."""
-    zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
-    def add(acc: Column, p: Column) -> Column:
-        w = _piece_length(p)
+    def weighed(p: Column) -> Column:
         return F.struct(
-            (acc["w"] + w).alias("w"),
-            (acc["x"] + w * (p["x0"] + p["x1"]) / 2).alias("x"),
-            (acc["y"] + w * (p["y0"] + p["y1"]) / 2).alias("y"),
+            _piece_length(p).alias("w"), ((p["x0"] + p["x1"]) / 2).alias("x"), ((p["y0"] + p["y1"]) / 2).alias("y")
         )
 
-    def add_vertex(acc: Column, v: Column) -> Column:
-        return F.struct((acc["w"] + 1.0).alias("w"), (acc["x"] + v["x"]).alias("x"), (acc["y"] + v["y"]).alias("y"))
+    def total(items: Column, value) -> Column:
+        return F.aggregate(items, F.lit(0.0), lambda s, v: s + value(v))
+
+    def vertex_mean(points: Column) -> Column:
+        n = F.nullif(F.size(points), F.lit(0))
+        return vertex(total(points, lambda v: v["x"]) / n, total(points, lambda v: v["y"]) / n)
+
+    def along(parts: Column) -> Column:
+        def of(items: Column) -> Column:
+            return once(
+                total(items, lambda v: v["w"]),
+                lambda w: F.when(
+                    w > 0,
+                    vertex(total(items, lambda v: v["w"] * v["x"]) / w, total(items, lambda v: v["w"] * v["y"]) / w),
+                ).otherwise(vertex_mean(F.flatten(parts))),
+            )
 
-    along = F.aggregate(line_pieces(g), zero, add)
-    points = F.aggregate(F.flatten(g), zero, add_vertex)
-    total = F.when(along["w"] > 0, along).otherwise(points)
-    return F.when(total["w"] > 0, vertex(total["x"] / total["w"], total["y"] / total["w"]))
+        return once(F.transform(line_pieces(parts), weighed), of)
+
+    return F.when(F.coalesce(F.size(F.flatten(g)) > 0, F.lit(False)), once(g, along))
 
 
 def bbox(g: Column) -> Column:
-    points = F.flatten(g)
-    xs = F.transform(points, lambda v: v["x"])
-    ys = F.transform(points, lambda v: v["y"])
-    return F.struct(
-        F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"),
-    )
+    def of(points: Column) -> Column:
+        xs = F.transform(points, lambda v: v["x"])
+        ys = F.transform(points, lambda v: v["y"])
+        return F.struct(
+            F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
+            F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"),
+        )
+
+    return once(F.flatten(g), of)
 
 
 def bbox_overlap(a: Column, b: Column) -> Column:
@@ -174,7 +194,6 @@ def _inside_edges(px: Column, py: Column, edges: Column) -> Column:
 
 def point_in_polygon(px: Column, py: Column, rings: Column) -> Column:
     """Strict interior, holes out; a point on an edge is not inside."""
-    edges = line_pieces(rings)
 
     def touches(e: Column) -> Column:
         cross = (e["x1"] - e["x0"]) * (py - e["y0"]) - (e["y1"] - e["y0"]) * (px - e["x0"])
@@ -184,38 +203,49 @@ def point_in_polygon(px: Column, py: Column, rings: Column) -> Column:
             & py.between(F.least(e["y0"], e["y1"]), F.greatest(e["y0"], e["y1"]))
         )
 
-    return _inside_edges(px, py, edges) & ~F.exists(edges, touches)
+    return once(line_pieces(rings), lambda edges: _inside_edges(px, py, edges) & ~F.exists(edges, touches))
 
 
 def clip_length(g: Column, edges: Column) -> Column:
     """Length of a line inside a polygon given by its ring edges (``line_pieces(rings)``).
 
     Each piece is cut where it crosses an edge; the parts whose middle is inside count.
+    A piece that crosses nothing, the usual case, needs one inside test.
     """
 
-    def inside_length(p: Column) -> Column:
+    def inside_length(p: Column, ring: Column) -> Column:
         dx, dy = p["x1"] - p["x0"], p["y1"] - p["y0"]
 
+        def inside(t: Column) -> Column:
+            return _inside_edges(p["x0"] + dx * t, p["y0"] + dy * t, ring)
+
         def crossing(e: Column) -> Column:
             ex, ey = e["x1"] - e["x0"], e["y1"] - e["y0"]
             det = F.nullif(dx * ey - dy * ex, F.lit(0.0))
-            t = ((e["x0"] - p["x0"]) * ey - (e["y0"] - p["y0"]) * ex) / det
             u = ((e["x0"] - p["x0"]) * dy - (e["y0"] - p["y0"]) * dx) / det
-            return F.when((t > 0) & (t < 1) & (u >= 0) & (u <= 1), t)
-
-        cuts = F.filter(F.transform(edges, crossing), lambda t: t.isNotNull())
-        stops = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts))
-        n = F.size(stops)
-        spans = F.zip_with(
-            F.slice(stops, F.lit(1), n - 1),
-            F.slice(stops, F.lit(2), n - 1),
-            lambda a, b: F.when(
-                _inside_edges(p["x0"] + dx * (a + b) / 2, p["y0"] + dy * (a + b) / 2, edges), b - a
-            ).otherwise(F.lit(0.0)),
-        )
-        return F.aggregate(spans, F.lit(0.0), lambda s, v: s + v) * hypot(dx, dy)
-
-    return F.aggregate(line_pieces(g), F.lit(0.0), lambda s, p: s + inside_length(p))
+            t = ((e["x0"] - p["x0"]) * ey - (e["y0"] - p["y0"]) * ex) / det
+            return once(t, lambda v: F.when((v > 0) & (v < 1) & (u >= 0) & (u <= 1), v))
+
+        def split(stops: Column) -> Column:
+            n = F.size(stops)
+            spans = F.zip_with(
+                F.slice(stops, F.lit(1), n - 1),
+                F.slice(stops, F.lit(2), n - 1),
+                lambda a, b: F.when(inside((a + b) / 2), b - a).otherwise(F.lit(0.0)),
+            )
+            return F.aggregate(spans, F.lit(0.0), lambda s, v: s + v)
+
+        def share(cuts: Column) -> Column:
+            whole = F.when(inside(F.lit(0.5)), F.lit(1.0)).otherwise(F.lit(0.0))
+            ends = F.array(F.lit(0.0), F.lit(1.0))
+            return F.when(F.size(cuts) == 0, whole).otherwise(once(F.array_sort(F.concat(ends, cuts)), split))
+
+        cuts = F.filter(F.transform(ring, crossing), lambda t: t.isNotNull())
+        return once(cuts, share) * hypot(dx, dy)
+
+    return once(
+        edges, lambda ring: F.aggregate(line_pieces(g), F.lit(0.0), lambda s, p: s + inside_length(p, ring))
+    )
 
 
 def to_wkt(g: Column) -> Column:
@@ -228,26 +258,29 @@ def to_wkt(g: Column) -> Column:
             F.lit(")"),
         )
 
-    single = F.concat(F.lit("LINESTRING "), part(F.try_element_at(g, F.lit(1))))
-    many = F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.transform(g, part), ", "), F.lit(")"))
-    return F.when(F.size(g) == 0, F.lit("LINESTRING EMPTY")).when(F.size(g) == 1, single).otherwise(many)
+    def text(parts: Column) -> Column:
+        single = F.concat(F.lit("LINESTRING "), part(F.try_element_at(parts, F.lit(1))))
+        many = F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.transform(parts, part), ", "), F.lit(")"))
+        return F.when(F.size(parts) == 0, F.lit("LINESTRING EMPTY")).when(F.size(parts) == 1, single).otherwise(many)
+
+    return F.when(g.isNotNull(), once(g, text))
 
 
 def parse_wkt(c: Column) -> Column:
     """LINESTRING, MULTILINESTRING and POLYGON text to the array type; null for anything else."""
-    text = F.upper(F.trim(c))
-    body = F.regexp_replace(text, r"^(MULTILINESTRING|LINESTRING|POLYGON)\s*(Z\s*)?", "")
-    inner = F.regexp_replace(F.regexp_replace(body, r"^\(\s*\(?|\)?\s*\)$", ""), r"\s*,\s*", ",")
+    kinds = r"^(MULTILINESTRING|LINESTRING|POLYGON)\s*(Z\s*)?"
 
-    def part(p: Column) -> Column:
-        def point(v: Column) -> Column:
-            xy = F.split(F.trim(v), r"\s+")
-            return vertex(F.get(xy, 0).try_cast("double"), F.get(xy, 1).try_cast("double"))
+    def point(v: Column) -> Column:
+        return once(
+            F.split(F.trim(v), r"\s+"),
+            lambda xy: vertex(F.get(xy, F.lit(0)).try_cast("double"), F.get(xy, F.lit(1)).try_cast("double")),
+        )
 
-        return F.transform(F.split(p, ","), point)
+    def read(text: Column) -> Column:
+        inner = F.regexp_replace(F.regexp_replace(text, kinds, ""), r"^\(\s*\(?|\)?\s*\)$", "")
+        parts = F.transform(
+            F.split(inner, r"\s*\)\s*,\s*\(\s*"), lambda p: F.transform(F.split(p, r"\s*,\s*"), point)
+        )
+        return F.when(text.rlike(kinds + "EMPTY$"), F.array().cast(GEOM)).when(text.rlike(kinds + r"\("), parts)
 
-    parts = F.transform(F.split(inner, r"\s*\)\s*,\s*\(\s*"), part)
-    empty = F.array().cast(GEOM)
-    return F.when(text.rlike(r"^(MULTILINESTRING|LINESTRING|POLYGON)\s+(Z\s*)?EMPTY$"), empty).when(
-        text.rlike(r"^(MULTILINESTRING|LINESTRING|POLYGON)\s*(Z\s*)?\("), parts
-    )
+    return once(F.upper(F.trim(c)), read)

@@ -83,52 +83,77 @@ def ground_levels(
     return filled.withColumn(mean, (F.col(up) + F.col(down)) / 2).drop("_line", "_up", "_down")
 
 
-def _touched_cells(pieces: Column, radius: float) -> Column:
-    """Distinct (row, col) of a tile within a distance of a line's pieces.
+def _between(low: Column, high: Column, n: Column) -> Column:
+    """Whole numbers of a range inside 0..n-1; null, hence no rows, where there is none."""
+    a, b = F.greatest(low.cast("int"), F.lit(0)), F.least(high.cast("int"), n - 1)
+    return F.when(a <= b, F.sequence(a, F.greatest(a, b)))
 
-    Rows are taken in the piece's own height range, and for each row only the columns
-    the piece can reach there, so a long slanting piece does not fill its whole box.
+
+def touched_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
+    """Each cell within a distance of a line once, as ``(key, tile_id, row, col)``.
+
+    Rows of cells are taken in the height range of a straight piece, and in each row only
+    the columns the piece can reach there, so a long slanting piece does not fill its
+    whole box. A cell that an earlier piece of the same line reaches too is left to that
+    piece: this makes cells distinct without a shuffle.
     """
-    xmin, ymax, cell = F.col("t_xmin"), F.col("t_ymax"), F.col("t_cell")
-    top, left = F.lit(0), F.lit(0)
     r = F.lit(float(radius))
 
-    def clamp(v: Column, high: Column) -> Column:
-        return F.least(F.greatest(v.cast("int"), F.lit(0)), high)
-
-    def span(low: Column, high: Column, n: Column) -> Column:
-        # Empty where the range lies outside the tile (a falling sequence would count down).
-        a, b = F.greatest(low.cast("int"), left), F.least(high.cast("int"), n - 1)
-        return F.when(a <= b, F.sequence(a, F.greatest(a, b))).otherwise(F.array().cast("array<int>"))
-
-    def of_piece(p: Column) -> Column:
-        y_high, y_low = F.greatest(p["y0"], p["y1"]), F.least(p["y0"], p["y1"])
-        rows = span(F.ceil((ymax - y_high - r) / cell) - 1, F.floor((ymax - y_low + r) / cell), F.col("t_nrows"))
-
-        def of_row(row: Column) -> Column:
-            high = ymax - row * cell
-            low = high - cell
-            dy = p["y1"] - p["y0"]
-            ta = F.when(dy == 0, F.lit(0.0)).otherwise((low - r - p["y0"]) / F.nullif(dy, F.lit(0.0)))
-            tb = F.when(dy == 0, F.lit(1.0)).otherwise((high + r - p["y0"]) / F.nullif(dy, F.lit(0.0)))
-            t0 = F.least(F.greatest(F.least(ta, tb), F.lit(0.0)), F.lit(1.0))
-            t1 = F.least(F.greatest(F.greatest(ta, tb), F.lit(0.0)), F.lit(1.0))
-            xa = p["x0"] + t0 * (p["x1"] - p["x0"])
-            xb = p["x0"] + t1 * (p["x1"] - p["x0"])
-            cols = span(
-                F.ceil((F.least(xa, xb) - r - xmin) / cell) - 1,
-                F.floor((F.greatest(xa, xb) + r - xmin) / cell),
-                F.col("t_ncols"),
-            )
-            near = F.filter(
-                cols,
-                lambda c: geo.dist_seg_square(p, xmin + c * cell, low, xmin + (c + 1) * cell, high) <= r,
-            )
-            return F.transform(near, lambda c: F.struct(row.alias("row"), c.alias("col")))
-
-        return F.flatten(F.transform(rows, of_row))
-
-    return F.array_distinct(F.flatten(F.transform(pieces, of_piece)))
+    def near(q: Column) -> Column:
+        # Pieces further apart than this in either direction share no cell.
+        return (
+            (F.least(q["x0"], q["x1"]) <= F.greatest("_p.x0", "_p.x1") + F.col("_reach"))
+            & (F.greatest(q["x0"], q["x1"]) >= F.least("_p.x0", "_p.x1") - F.col("_reach"))
+            & (F.least(q["y0"], q["y1"]) <= F.greatest("_p.y0", "_p.y1") + F.col("_reach"))
+            & (F.greatest(q["y0"], q["y1"]) >= F.least("_p.y0", "_p.y1") - F.col("_reach"))
+        )
+
+    widest = tiles.agg(F.max("cell")).scalar()
+    pieces = lines.select(key, geo.line_pieces(F.col(geom)).alias("_ps")).select(
+        key, "_ps", F.posexplode("_ps").alias("_i", "_p")
+    )
+    pieces = pieces.withColumn("_reach", 2 * r + widest).select(
+        key, "_p", F.when(F.col("_i") > 0, F.filter(F.slice("_ps", F.lit(1), F.col("_i")), near)).alias("_before"),
+        (F.least("_p.x0", "_p.x1") - r).alias("_x0"), (F.greatest("_p.x0", "_p.x1") + r).alias("_x1"),
+        (F.least("_p.y0", "_p.y1") - r).alias("_y0"), (F.greatest("_p.y0", "_p.y1") + r).alias("_y1"),
+    )
+    binned = pieces.withColumn("_lx", F.explode(bins_between(F.col("_x0"), F.col("_x1"), size))).withColumn(
+        "_ly", F.explode(bins_between(F.col("_y0"), F.col("_y1"), size))
+    )
+    # A pair meets in several bins but is kept only in the bin of the corner of its overlap.
+    cond = (
+        (F.col("_lx") == F.col("_bx")) & (F.col("_ly") == F.col("_by"))
+        & (F.floor(F.greatest(F.col("_x0"), F.col("t_xmin")) / size) == F.col("_bx"))
+        & (F.floor(F.greatest(F.col("_y0"), F.col("t_ymin")) / size) == F.col("_by"))
+        & (F.col("_x0") <= F.col("t_xmax")) & (F.col("_x1") >= F.col("t_xmin"))
+        & (F.col("_y0") <= F.col("t_ymax")) & (F.col("_y1") >= F.col("t_ymin"))
+    )
+    xmin, ymax, cell = F.col("t_xmin"), F.col("t_ymax"), F.col("t_cell")
+    rows = _between(F.ceil((ymax - F.col("_y1")) / cell) - 1, F.floor((ymax - F.col("_y0")) / cell), F.col("t_nrows"))
+    by_row = binned.join(_tile_bins(tiles, size), cond).select(
+        key, "t_tile_id", "_p", "_before", "t_xmin", "t_ymax", "t_cell", "t_ncols", F.explode(rows).alias("row")
+    )
+    low, dy = ymax - (F.col("row") + 1) * cell, F.nullif(F.col("_p.y1") - F.col("_p.y0"), F.lit(0.0))
+    ta, tb = (low - r - F.col("_p.y0")) / dy, (low + cell + r - F.col("_p.y0")) / dy
+    by_row = by_row.select(
+        "*", low.alias("_low"),
+        F.coalesce(F.least(F.greatest(F.least(ta, tb), F.lit(0.0)), F.lit(1.0)), F.lit(0.0)).alias("_t0"),
+        F.coalesce(F.least(F.greatest(ta, tb, F.lit(0.0)), F.lit(1.0)), F.lit(1.0)).alias("_t1"),
+    )
+    dx = F.col("_p.x1") - F.col("_p.x0")
+    xa, xb = F.col("_p.x0") + F.col("_t0") * dx, F.col("_p.x0") + F.col("_t1") * dx
+    cols = _between(
+        F.ceil((F.least(xa, xb) - r - xmin) / cell) - 1, F.floor((F.greatest(xa, xb) + r - xmin) / cell), F.col("t_ncols")
+    )
+    by_cell = by_row.select(key, "t_tile_id", "_p", "_before", "_low", "t_xmin", "t_cell", "row", F.explode(cols).alias("col"))
+    left = xmin + F.col("col") * cell
+
+    def reaches(p: Column) -> Column:
+        return geo.dist_seg_square(p, left, F.col("_low"), left + cell, F.col("_low") + cell) <= r
+
+    mine = by_cell.filter(reaches(F.col("_p")))
+    first = mine.filter(F.when(F.size("_before") > 0, ~F.exists("_before", reaches)).otherwise(F.lit(True)))
+    return first.select(key, F.col("t_tile_id").alias("tile_id"), "row", "col")
 
 
 def zonal_mean(
@@ -136,39 +161,12 @@ def zonal_mean(
 ) -> DataFrame:
     """Mean of all cells within a distance of each line, as ``(key, mean, n_cells)``.
 
-    The cells of a line are listed and made distinct inside its own row, so the only
-    shuffles are the equality join with the cells and the final average per line. Lines
-    without any valid cell get 0.0.
+    Shuffles: the equality join with the cells and one average per line. Lines without
+    any valid cell get 0.0; they enter as empty rows of the same average, not by a join.
     """
-    box = geo.bbox(F.col(geom))
-    boxed = lines.select(key, F.col(geom).alias("_g"), box.alias("_b")).select(
-        key, "_g",
-        (F.col("_b.xmin") - radius).alias("_x0"), (F.col("_b.xmax") + radius).alias("_x1"),
-        (F.col("_b.ymin") - radius).alias("_y0"), (F.col("_b.ymax") + radius).alias("_y1"),
-    )
-    binned = boxed.withColumn("_lx", F.explode_outer(bins_between(F.col("_x0"), F.col("_x1"), size))).withColumn(
-        "_ly", F.explode_outer(bins_between(F.col("_y0"), F.col("_y1"), size))
-    )
-    # A pair meets in several bins but is kept only in the bin of the corner of its overlap.
-    corner = (
-        (F.floor(F.greatest(F.col("_x0"), F.col("t_xmin")) / size) == F.col("_bx"))
-        & (F.floor(F.greatest(F.col("_y0"), F.col("t_ymin")) / size) == F.col("_by"))
-    )
-    overlap = (
-        (F.col("_x0") <= F.col("t_xmax")) & (F.col("_x1") >= F.col("t_xmin"))
-        & (F.col("_y0") <= F.col("t_ymax")) & (F.col("_y1") >= F.col("t_ymin"))
-    )
-    cond = (F.col("_lx") == F.col("_bx")) & (F.col("_ly") == F.col("_by")) & corner & overlap
-    paired = binned.join(_tile_bins(tiles, size), cond, "left")
-    asked = paired.select(
-        key, "t_tile_id", F.explode_outer(
-            F.when(F.col("t_tile_id").isNotNull(), _touched_cells(geo.line_pieces(F.col("_g")), radius))
-        ).alias("_rc"),
-    )
-    values = cells.select(
-        F.col("tile_id").alias("_t"), F.col("row").alias("_r"), F.col("col").alias("_c"), "value"
-    ).filter(F.col("value").isNotNull())
-    hit = (F.col("t_tile_id") == F.col("_t")) & (F.col("_rc.row") == F.col("_r")) & (F.col("_rc.col") == F.col("_c"))
-    return asked.join(values, hit, "left").groupBy(key).agg(
+    values = cells.filter(F.col("value").isNotNull()).select("tile_id", "row", "col", "value")
+    hits = touched_cells(lines, tiles, radius, key, size, geom).join(values, ["tile_id", "row", "col"]).select(key, "value")
+    every = lines.select(key, F.lit(None).cast("double").alias("value"))
+    return hits.union(every).groupBy(key).agg(
         F.coalesce(F.avg("value"), F.lit(0.0)).alias("mean"), F.count("value").alias("n_cells")
     )
