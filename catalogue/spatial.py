@@ -23,7 +23,7 @@ LENGTH = "sqrt((x1-x0)*(x1-x0)+(y1-y0)*(y1-y0))"
 def bent(d: Data):
     """Lines of two parts: the segment bent at (x1, y0), with a doubled vertex, and a piece beside it."""
     x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
-    return d.segments().withColumn(
+    return d.spread(d.segments()).withColumn(
         "geom",
         F.array(
             F.array(geo.vertex(x0, y0), geo.vertex(x0, y0), geo.vertex(x1, y0), geo.vertex(x1, y1)),

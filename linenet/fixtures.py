@@ -137,9 +137,17 @@ class Data:
     def segments(self) -> DataFrame:
         return self.view("fx_segments")
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Over all cores, if the scan has fewer tasks: a test file is a single row group.
+
+        A real table is read in many splits, and this then does nothing.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     def lines(self) -> DataFrame:
-        """Segments with their geometry in place of the four coordinates."""
-        seg = self.segments()
+        """Segments with their geometry beside the four coordinates."""
+        seg = self.spread(self.segments())
         return seg.withColumn("geom", geo.two_point_line(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
 
     def hazard(self) -> DataFrame:
