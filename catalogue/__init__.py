@@ -1,4 +1,4 @@
 """Named queries over the given tables, one or more per operator."""
 
-from . import cleaning, learning, profiles, spatial  # noqa: F401
+from . import cleaning, learning, profiles, sources, spatial  # noqa: F401
 from .base import ORACLES, QUERIES  # noqa: F401

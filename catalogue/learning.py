@@ -149,3 +149,160 @@ def _(d):
 def _(d):
     out = evl.classification_report(d.view("fx_predictions"), "label", "pred")
     return out.withColumns({c: r6(c) for c in ("precision", "recall", "f1")})
+
+
+# ---------------------------------------------------------------- models and completion
+
+def ready(d):
+    """Features without gaps, a zero-based label and an id, for the learners."""
+    from linenet.operators.models import assemble
+
+    rows = complete_rows(d).withColumn("label", (F.col("class") - 1).cast("int"))
+    return assemble(rows, FEATURES).select(F.col("vec_id").alias("id"), "label", "features")
+
+
+SMALL = {
+    "forest": {"numTrees": 12, "maxDepth": 5, "subsamplingRate": 0.8},
+    "extra_trees": {"numTrees": 12, "maxDepth": 5},
+    "boosting": {"maxIter": 4, "maxDepth": 3, "stepSize": 0.1},
+    "adaboost": {"rounds": 4, "maxDepth": 2},
+    "tree": {"maxDepth": 5, "impurity": "entropy"},
+}
+
+
+def _train(kind):
+    def run(d):
+        from linenet.operators.models import predict_with_confidence, train
+
+        rows = checkpoint_table(ready(d), scratch_path(d.spark, "rows"))
+        model = train(rows, kind, SMALL[kind])
+        return predict_with_confidence(model, rows).select("id", "label", F.col("prediction").cast("int").alias("pred"), "confidence")
+
+    return run
+
+
+for _kind in SMALL:
+    query(f"train_{_kind}")(_train(_kind))
+
+
+@query("predict_confidence")
+def _(d):
+    """Rows per predicted class with their confidence, trained on one part and read on the other."""
+    from linenet.operators.models import predict_with_confidence, train
+    from linenet.operators.profiles import confidence_by_class
+
+    rows = checkpoint_table(sp.stratified_split(ready(d), "label", P.TEST_SHARE, "id", P.SEED), scratch_path(d.spark, "rows"))
+    model = train(rows.filter("NOT is_test"), "forest", SMALL["forest"])
+    return confidence_by_class(predict_with_confidence(model, rows.filter("is_test")), "prediction", "confidence")
+
+
+@query("feature_importance")
+def _(d):
+    from linenet.operators.models import importance_table, train
+
+    return importance_table(train(ready(d), "forest", SMALL["forest"]), FEATURES, d.spark)
+
+
+@query("random_search")
+def _(d):
+    from linenet.operators.models import random_search
+
+    space = {"maxDepth": [2, 4], "minInstancesPerNode": [1, 5], "impurity": ["gini", "entropy"]}
+    _, _, scores = random_search(ready(d), "tree", space, 3, "id")
+    rows = [(s["maxDepth"], s["minInstancesPerNode"], s["impurity"], f1) for s, f1 in scores]
+    return d.spark.createDataFrame(rows, "depth int, leaf int, impurity string, f1 double")
+
+
+@query("artifact_round_trip")
+def _(d):
+    """Predictions of a stored forest next to those of the one that was stored."""
+    from linenet.operators.models import predict_with_confidence, train
+    from linenet.sources import artifacts as ar
+
+    rows, path = ready(d), scratch_path(d.spark, "artifacts")
+    model = train(rows, "forest", SMALL["forest"])
+    donors = d.view("fx_features").select("vec_id", *FEATURES)
+    ar.save_artifacts(d.spark, path, {"model": model}, {"donors": donors}, {"features": FEATURES})
+    models, tables, settings = ar.load_artifacts(d.spark, path, ["model"], ["donors"])
+    there = predict_with_confidence(models["model"], rows).select("id", F.col("prediction").alias("stored"))
+    here = predict_with_confidence(model, rows).select("id", "prediction")
+    kept = tables["donors"].select(F.col("vec_id").alias("id"), *settings["features"])
+    return here.join(there, "id").join(kept, "id")
+
+
+def inventory(d):
+    """Features with a text label and a state that some rows lack, and a category."""
+    return d.view("fx_features").select(
+        "vec_id", *FEATURES, "kind",
+        F.when(F.col("vec_id") % 4 != 0, F.concat(F.lit("MAT"), F.col("class").cast("string"))).alias("Materiau"),
+        F.when(F.col("vec_id") % 3 != 0, F.col("class") + 1).alias("classe_age"),
+        F.when(F.col("vec_id") % 5 != 0, F.col("class")).alias("etat"),
+    )
+
+
+def _inputs():
+    from linenet.plans.completion import Features
+
+    return Features(FEATURES, ["kind"], logs=["f1"])
+
+
+@query("complete_material")
+def _(d):
+    from linenet.plans import completion as co
+
+    rows, ins = inventory(d), _inputs()
+    fit = co.fit_completion(rows, "Materiau", ins, "vec_id", "forest", SMALL["forest"], text_target=True)
+    return co.complete(rows, "Materiau", fit, ins, "vec_id", threshold=P.COMPLETE_MATERIAL)
+
+
+@query("complete_age")
+def _(d):
+    from linenet.plans import completion as co
+
+    rows, ins = inventory(d), _inputs()
+    fit = co.fit_completion(rows, "classe_age", ins, "vec_id", "forest", SMALL["forest"])
+    known = F.coalesce(F.col("classe_age").isin(2, 3, 4, 5), F.lit(False))
+    return co.complete(rows, "classe_age", fit, ins, "vec_id", known=known)
+
+
+@query("complete_state")
+def _(d):
+    from linenet.functions.values import recode_state
+    from linenet.plans import completion as co
+
+    rows, ins = inventory(d), _inputs()
+    fits = {}
+    for level in P.STATE_LEVELS[::2]:
+        coded = rows.withColumn("code", recode_state(F.col("etat"), level.name))
+        fits[level.name] = co.fit_completion(coded, "code", ins, "vec_id", "extra_trees", SMALL["extra_trees"], name="ExtraTrees")
+    return co.complete_levels(rows, "etat", fits, ins, "vec_id")
+
+
+PRESENT = " + ".join(f"(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END)" for c in [*FEATURES, "kind"])
+
+
+@query("completion_split", f"""WITH v AS (SELECT vec_id, ({PRESENT}) / 7.0 AS share FROM fx_features)
+  SELECT vec_id, CASE WHEN vec_id % 4 <> 0 THEN 'original' WHEN share >= 0.7 THEN 'predict' ELSE 'excluded' END AS material,
+  CASE WHEN vec_id % 3 <> 0 THEN 'original' ELSE 'predict' END AS age,
+  CASE WHEN vec_id % 5 <> 0 THEN 'original' WHEN share >= 0.5 THEN 'predict' ELSE 'excluded' END AS state FROM v""")
+def _(d):
+    from linenet.plans.completion import split_rows
+
+    rows, ins = inventory(d), _inputs()
+    out = split_rows(rows, F.col("Materiau").isNotNull(), ins, P.COMPLETE_MATERIAL).withColumnRenamed("part", "material")
+    out = split_rows(out, F.col("classe_age").isNotNull(), ins, None).withColumnRenamed("part", "age")
+    out = split_rows(out, F.col("etat").isNotNull(), ins, P.COMPLETE_STATE).withColumnRenamed("part", "state")
+    return out.select("vec_id", "material", "age", "state")
+
+
+@query("experiment_grid")
+def _(d):
+    from linenet.plans.experiment import best_models, run_grid
+
+    kinds = {k: SMALL[k] for k in ("forest", "tree")}
+    results = run_grid(
+        inventory(d), {"etat": True, "autre": False}, [P.STATE_LEVELS[0].name, P.STATE_LEVELS[2].name], kinds, _inputs(),
+        "vec_id", scratch_path(d.spark, "results"), balance=True,
+    )
+    best = best_models(results).select("target", "level", F.col("model").alias("best"))
+    return results.join(best, ["target", "level"]).drop("seconds")

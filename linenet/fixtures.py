@@ -6,10 +6,12 @@ sides. Every view covers its whole table.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import geometry as geo
+from .session import local_rows
 
 KEY = (
     "concat(CAST(l_orderkey AS STRING),'-',CAST(l_linenumber AS STRING),'-',CAST(l_partkey AS STRING),'-',"
@@ -61,9 +63,9 @@ SELECT n_nationkey AS poly_id,
 FROM nation""",
     # 100 columns of 10 m and as many rows as the events fill, in tiles of 50 x 50.
     "fx_cells": """
-SELECT CAST(floor(event_id/5000.0)*2 + floor((event_id%100)/50.0) AS INT) AS tile_id,
-  CAST(floor(event_id/100.0) AS INT) AS grow, CAST(event_id%100 AS INT) AS gcol,
-  CAST(floor(event_id/100.0) % 50 AS INT) AS row, CAST(event_id%50 AS INT) AS col,
+SELECT CAST(floor(CAST(event_id AS DOUBLE)/5000)*2 + floor(CAST(event_id%100 AS DOUBLE)/50) AS INT) AS tile_id,
+  CAST(floor(CAST(event_id AS DOUBLE)/100) AS INT) AS grow, CAST(event_id%100 AS INT) AS gcol,
+  CAST(floor(CAST(event_id AS DOUBLE)/100) % 50 AS INT) AS row, CAST(event_id%50 AS INT) AS col,
   CASE WHEN event_type='error' THEN CAST(-9999.0 AS DOUBLE) ELSE value END AS value
 FROM events""",
     "fx_tiles": """
@@ -159,4 +161,5 @@ class Data:
         return self.view("fx_cells").select("tile_id", "row", "col", value.alias("value"))
 
     def lookup(self, pairs: dict[str, str]) -> DataFrame:
-        return self.spark.createDataFrame(list(pairs.items()), "key string, value string")
+        columns = {"key": list(pairs), "value": list(pairs.values())}
+        return local_rows(self.spark, columns, {"key": pa.string(), "value": pa.string()})

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .values import none_if
+
 GEOM = "array<array<struct<x:double,y:double>>>"
 
 
@@ -90,7 +92,7 @@ def line_centroid(g: Column) -> Column:
         return F.aggregate(items, F.lit(0.0), lambda s, v: s + value(v))
 
     def vertex_mean(points: Column) -> Column:
-        n = F.nullif(F.size(points), F.lit(0))
+        n = none_if(F.size(points), 0)
         return vertex(total(points, lambda v: v["x"]) / n, total(points, lambda v: v["y"]) / n)
 
     def along(parts: Column) -> Column:
@@ -131,9 +133,12 @@ def clean_vertices(g: Column) -> Column:
     """Drop vertices equal to the one before, then parts left with one vertex."""
 
     def tidy(part: Column) -> Column:
-        return F.filter(
-            part, lambda v, i: (i == 0) | (v != F.get(part, F.greatest(i - 1, F.lit(0))))
+        before = F.concat(
+            F.array(F.lit(None).cast("struct<x:double,y:double>")),
+            F.slice(part, F.lit(1), F.greatest(F.size(part) - 1, F.lit(0))),
         )
+        moved = F.zip_with(part, before, lambda v, w: F.when(~v.eqNullSafe(w), v))
+        return F.filter(moved, lambda v: v.isNotNull())
 
     return F.filter(F.transform(g, tidy), lambda part: F.size(part) >= 2)
 
@@ -153,7 +158,7 @@ def dist_ps(px: Column, py: Column, x0: Column, y0: Column, x1: Column, y1: Colu
 
 def _axis_span(p0: Column, d: Column, low: Column, high: Column) -> tuple[Column, Column]:
     """Parameters between which ``p0 + t*d`` lies in the slab; an empty span if it never does."""
-    a, b = (low - p0) / F.nullif(d, F.lit(0.0)), (high - p0) / F.nullif(d, F.lit(0.0))
+    a, b = (low - p0) / none_if(d, 0.0), (high - p0) / none_if(d, 0.0)
     flat_in = (p0 >= low) & (p0 <= high)
     enter = F.when(d == 0, F.when(flat_in, F.lit(0.0)).otherwise(F.lit(2.0))).otherwise(F.least(a, b))
     leave = F.when(d == 0, F.when(flat_in, F.lit(1.0)).otherwise(F.lit(-1.0))).otherwise(F.greatest(a, b))
@@ -221,7 +226,7 @@ def clip_length(g: Column, edges: Column) -> Column:
 
         def crossing(e: Column) -> Column:
             ex, ey = e["x1"] - e["x0"], e["y1"] - e["y0"]
-            det = F.nullif(dx * ey - dy * ex, F.lit(0.0))
+            det = none_if(dx * ey - dy * ex, 0.0)
             u = ((e["x0"] - p["x0"]) * dy - (e["y0"] - p["y0"]) * dx) / det
             t = ((e["x0"] - p["x0"]) * ey - (e["y0"] - p["y0"]) * ex) / det
             return once(t, lambda v: F.when((v > 0) & (v < 1) & (u >= 0) & (u <= 1), v))

@@ -12,17 +12,18 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 YEAR = r"((?:18|19|20)\d{2})"
 
 # Dates as patterns whose group is the year. Reading the year this way costs one match,
-# while a parser would throw for every text it cannot read. Day comes first.
+# while a parser would throw for every text it cannot read. Day comes first. Years are
+# those a nanosecond timestamp can hold in full, 1678 to 2261.
+_DATE_YEAR = r"(167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
 _DAY_MONTH = (
     r"(?:(?:0?[1-9]|[12]\d)[-/.](?:0?[1-9]|1[0-2])|30[-/.](?:0?[13-9]|1[0-2])|31[-/.](?:0?[13578]|1[02]))"
 )
 _TIME = r"(?:[T ]\d{1,2}:\d{2}.*)?"
-YEAR_FIRST = r"^(\d{4})(?:[-/.](?:0?[1-9]|1[0-2])[-/.](?:0?[1-9]|[12]\d|3[01])" + _TIME + r")?$"
-YEAR_LAST = "^" + _DAY_MONTH + r"[-/.](\d{4})" + _TIME + "$"
-SHORT_YEAR = "^" + _DAY_MONTH + r"[-/.](\d{2})$"
-# First and last whole year of a nanosecond timestamp, the range dates are read in;
-# two-digit years from 69 on belong to the last century.
-DATE_YEARS = (1678, 2261)
+_YEAR_FIRST = _DATE_YEAR + r"(?:[-/.](?:0?[1-9]|1[0-2])[-/.](?:0?[1-9]|[12]\d|3[01])" + _TIME + ")?"
+_YEAR_LAST = _DAY_MONTH + "[-/.]" + _DATE_YEAR + _TIME
+LONG_DATE = f"^(?:{_YEAR_FIRST}|{_YEAR_LAST})$"
+SHORT_DATE = "^" + _DAY_MONTH + r"[-/.](\d{2})$"
+# Fixed value: two-digit years from 69 on belong to the last century.
 CENTURY_PIVOT = 69
 
 
@@ -43,11 +44,21 @@ def finite(c: Column) -> Column:
 def to_double(c: Column) -> Column:
     """Number in a text, else null. Type suffixes such as ``5d`` are no numbers."""
     text = trim_text(c)
-    return finite(F.when(text.rlike(NUMBER), text.try_cast("double")))
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER) & (F.abs(number) < float("inf")), number)
+
+
+def none_if(c: Column, value) -> Column:
+    """Null where the column has the value.
+
+    Written as a condition: Spark's own ``nullif`` is rewritten through an extra
+    projection, which costs more and hinders code generation inside conditions.
+    """
+    return F.when(c != F.lit(value), c)
 
 
 def zero_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(0.0))
+    return none_if(c, 0.0)
 
 
 def within(c: Column, low=None, high=None, low_open=False, high_open=False) -> Column:
@@ -95,17 +106,21 @@ def file_stem(path: Column) -> Column:
 
 
 def year_in_text(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(c, YEAR, 1), F.lit("")).cast("int")
+    return F.regexp_extract(c, YEAR, 1).try_cast("int")
 
 
 def install_year(c: Column, tokens: Sequence[str]) -> Column:
     """Year of a date text in mixed formats, else the first plausible year in the text."""
-    text = nullify(trim_text(c), tokens)
-    long = F.concat(F.regexp_extract(text, YEAR_FIRST, 1), F.regexp_extract(text, YEAR_LAST, 1))
-    year = F.nullif(long, F.lit("")).cast("int")
-    short = F.nullif(F.regexp_extract(text, SHORT_YEAR, 1), F.lit("")).cast("int")
-    century = F.when(short >= CENTURY_PIVOT, F.lit(1900)).otherwise(F.lit(2000))
-    return F.coalesce(within(year, *DATE_YEARS), short + century, year_in_text(text))
+    return year_of_date(nullify(trim_text(c), tokens))
+
+
+def year_of_date(text: Column) -> Column:
+    """``install_year`` of a text already trimmed and free of null tokens."""
+    # Only one of the two groups takes part in a match, so both together are the year.
+    year = F.when(text.rlike(LONG_DATE), F.regexp_replace(text, LONG_DATE, "$1$2").try_cast("int"))
+    short = F.regexp_extract(text, SHORT_DATE, 1).try_cast("int")
+    century = F.pmod(short + (100 - CENTURY_PIVOT), F.lit(100)) + (1900 + CENTURY_PIVOT)
+    return F.coalesce(year, century, year_in_text(text))
 
 
 def flag_text(pieces: Sequence[tuple[Column, str]]) -> Column:

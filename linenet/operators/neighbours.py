@@ -13,10 +13,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import local_rows, scratch_path
 from ..sources.tables import checkpoint_table
 
 BLOCK_ROWS = 4_096  # donors one task holds at a time
@@ -189,8 +190,10 @@ def _nearest(queries: DataFrame, donors: DataFrame, cols: Sequence[str], k: int,
         labelled = pool.withColumn("label", F.pmod(F.xxhash64("donor_id"), F.lit(max(1, wanted))).cast("string"))
         boxes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("label", ignore_index=True)
     sizes = np.maximum(1, -(-boxes["n"].to_numpy() // BLOCK_ROWS)) if len(boxes) else np.zeros(0, int)
-    blocks = spark.createDataFrame(
-        [(str(label), i, int(c)) for i, (label, c) in enumerate(zip(boxes["label"], sizes))], "label string, block int, chunks int"
+    blocks = local_rows(
+        spark,
+        {"label": boxes["label"].astype(str).tolist(), "block": list(range(len(boxes))), "chunks": sizes.tolist()},
+        {"label": pa.string(), "block": pa.int32(), "chunks": pa.int32()},
     )
     parts = labelled.join(blocks, "label").select(
         "donor_id", "grp", "vec", "block", F.pmod(F.xxhash64("donor_id"), F.col("chunks")).cast("int").alias("chunk")

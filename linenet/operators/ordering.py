@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.values import none_if
 from ..session import work_units
 
 SAMPLE_PER_RANGE = 16
@@ -129,10 +130,10 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     totals = steps.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return running.select(
         F.col(score).alias("threshold"),
-        (F.col("before_pos") / F.nullif(totals.select("p").scalar(), F.lit(0))).alias("tpr_before"),
-        (F.col("before_neg") / F.nullif(totals.select("n").scalar(), F.lit(0))).alias("fpr_before"),
-        ((F.col("before_pos") + F.col("pos")) / F.nullif(totals.select("p").scalar(), F.lit(0))).alias("tpr"),
-        ((F.col("before_neg") + F.col("neg")) / F.nullif(totals.select("n").scalar(), F.lit(0))).alias("fpr"),
+        (F.col("before_pos") / none_if(totals.select("p").scalar(), 0)).alias("tpr_before"),
+        (F.col("before_neg") / none_if(totals.select("n").scalar(), 0)).alias("fpr_before"),
+        ((F.col("before_pos") + F.col("pos")) / none_if(totals.select("p").scalar(), 0)).alias("tpr"),
+        ((F.col("before_neg") + F.col("neg")) / none_if(totals.select("n").scalar(), 0)).alias("fpr"),
     )
 
 

@@ -21,7 +21,7 @@ def _rows(df: DataFrame, names: Sequence[str], fields: Sequence[str], key: str)
 
 def completeness_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Percentage of present values per column."""
-    aggs = [(F.count(c) / F.nullif(F.count(F.lit(1)), F.lit(0)) * 100).alias(f"pct_{i}") for i, c in enumerate(cols)]
+    aggs = [(F.count(c) / val.none_if(F.count(F.lit(1)), 0) * 100).alias(f"pct_{i}") for i, c in enumerate(cols)]
     return _rows(df.agg(*aggs), cols, ["pct"], "column")
 
 
@@ -108,7 +108,7 @@ def threshold_counts(df: DataFrame, c: str, thresholds: Sequence[float]) -> Data
     items = [
         F.struct(
             F.lit(float(t)).alias("threshold"), F.col(f"above_{i}").alias("above"), F.col(f"below_{i}").alias("below"),
-            (F.col(f"above_{i}") / F.nullif(F.col("_n"), F.lit(0))).alias("share_above"),
+            (F.col(f"above_{i}") / val.none_if(F.col("_n"), 0)).alias("share_above"),
         )
         for i, t in enumerate(thresholds)
     ]

@@ -92,7 +92,7 @@ def slope_rules(
     long = n > 0
 
     def failed(level, other):
-        theory = F.abs(level / F.nullif(n, F.lit(0.0)) * 100)
+        theory = F.abs(level / val.zero_to_null(n) * 100)
         return s.isNotNull() & level.isNotNull() & (other.isNull() | (other == 0)) & long & (
             F.abs(F.abs(s) - theory) < P.SLOPE_TOLERANCE
         )
@@ -100,7 +100,7 @@ def slope_rules(
     for cond, value in (
         (failed(a, b), F.lit(None).cast("double")),
         (failed(b, a), F.lit(None).cast("double")),
-        (s.isNull() & a.isNotNull() & b.isNotNull() & (b != 0) & long, (a - b) / F.nullif(n, F.lit(0.0)) * 100),
+        (s.isNull() & a.isNotNull() & b.isNotNull() & (b != 0) & long, (a - b) / val.zero_to_null(n) * 100),
         ((a > b) & (s < 0), F.abs(s)),
         ((a < b) & (s > 0), -F.abs(s)),
         (F.abs(s) > P.MAX_SLOPE, F.lit(None).cast("double")),
@@ -114,7 +114,8 @@ def age_class(
     year: str = "install_year", klass: str = "age_class",
 ) -> DataFrame:
     """Installation year from mixed text and its class, left-closed."""
-    dated = df.withColumn(year, val.install_year(F.col(source), P.NULL_TOKENS))
+    text = val.nullify(val.trim_text(F.col(source)), P.NULL_TOKENS)
+    dated = df.withColumn("_text", text).withColumn(year, val.year_of_date(F.col("_text"))).drop("_text")
     return dated.withColumn(klass, val.cut(F.col(year), edges, labels, right=False))
 
 

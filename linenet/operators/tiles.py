@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
+from ..functions.values import none_if
 
 
 def bins_between(low: Column, high: Column, size: float) -> Column:
@@ -133,7 +134,7 @@ def touched_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, s
     by_row = binned.join(_tile_bins(tiles, size), cond).select(
         key, "t_tile_id", "_p", "_before", "t_xmin", "t_ymax", "t_cell", "t_ncols", F.explode(rows).alias("row")
     )
-    low, dy = ymax - (F.col("row") + 1) * cell, F.nullif(F.col("_p.y1") - F.col("_p.y0"), F.lit(0.0))
+    low, dy = ymax - (F.col("row") + 1) * cell, none_if(F.col("_p.y1") - F.col("_p.y0"), 0.0)
     ta, tb = (low - r - F.col("_p.y0")) / dy, (low + cell + r - F.col("_p.y0")) / dy
     by_row = by_row.select(
         "*", low.alias("_low"),

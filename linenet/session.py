@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a user of the toolkit is advised to run with. They are ordinary Spark
 # options: adaptive execution re-plans joins on the sizes it measures, so no
@@ -60,6 +61,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def local_rows(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
+    """A small table made on the driver.
+
+    It goes in as an Arrow table, so that Spark knows its size and joins it as what it is.
+    """
+    fields = {name: pa.array(values, types[name]) for name, values in columns.items()}
+    return spark.createDataFrame(pa.table(fields))
+
+
 def work_units(spark: SparkSession) -> int:
     """How many buckets to cut an ordered or hashed job into."""
     return max(8, min(1024, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -33,8 +33,8 @@ def _header(name: str) -> Column:
 
 def _grids(spark: SparkSession, folder: str) -> DataFrame:
     raw = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", GRID_FILES).text(folder).withColumn("path", F.input_file_name())
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", GRID_FILES).text(folder, wholetext=True).withColumn("path", F.input_file_name())
     )
     half = F.coalesce(_header("cellsize") / 2, F.lit(0.0))
     x0 = F.coalesce(_header("xllcorner"), _header("xllcenter") - half)

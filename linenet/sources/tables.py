@@ -11,30 +11,30 @@ from ..functions import values as val
 from ..operators.ordering import first_by
 from ..operators.schema import stringify_complex
 
-BROKEN = "�"
-
 
 def read_table(
     spark: SparkSession, path: str, encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), schema: str | None = None
 ) -> DataFrame:
     """Delimited text with a header; falls back to the next encoding if a text does not decode.
 
-    Spark replaces bytes it cannot decode instead of failing, so the fallback looks for
-    the replacement sign and stops at the first line that has one.
+    The reader replaces bytes it cannot decode instead of failing, so the raw lines are
+    checked first; the check stops at the first line that is no UTF-8. A single-byte
+    encoding decodes anything, so it is taken as it comes.
     """
     reader = spark.read.option("sep", ";").option("header", True)
     if schema:
         reader = reader.schema(schema)
     for encoding in encodings[:-1]:
-        raw = spark.read.option("encoding", encoding).text(path)
-        if not raw.filter(F.col("value").contains(BROKEN)).select(F.lit(1)).take(1):
+        broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).select(F.lit(1))
+        if encoding.upper() not in ("UTF-8", "UTF8") or not broken.take(1):
             return reader.option("encoding", encoding).csv(path)
     return reader.option("encoding", encodings[-1]).csv(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
     """Delimited text with a header, geometry left out and nested values as text."""
-    stringify_complex(df.drop("geom")).write.option("sep", ";").option("header", True).csv(path)
+    flat = stringify_complex(df.drop("geom")).write.option("sep", ";").option("header", True)
+    flat.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_lookup(
