@@ -67,8 +67,8 @@ def line_length(g: Column) -> Column:
 
 def endpoint(g: Column, end: str) -> Column:
     """First vertex (``up``) or last vertex (``down``) of the first part."""
-    first = F.try_element_at(g, F.lit(1))
-    return F.try_element_at(first, F.lit(1 if end == "up" else -1))
+    first = F.get(g, F.lit(0))
+    return F.get(first, F.lit(0) if end == "up" else F.size(first) - 1)
 
 
 def vertex_count(g: Column) -> Column:
@@ -77,7 +77,7 @@ def vertex_count(g: Column) -> Column:
 
 def is_line(g: Column) -> Column:
     """Not null, not empty, and the first part has at least two vertices."""
-    return F.coalesce((F.size(g) > 0) & (F.size(F.try_element_at(g, F.lit(1))) >= 2), F.lit(False))
+    return F.coalesce((F.size(g) > 0) & (F.size(F.get(g, F.lit(0))) >= 2), F.lit(False))
 
 
 def line_centroid(g: Column) -> Column:
@@ -264,7 +264,7 @@ def to_wkt(g: Column) -> Column:
         )
 
     def text(parts: Column) -> Column:
-        single = F.concat(F.lit("LINESTRING "), part(F.try_element_at(parts, F.lit(1))))
+        single = F.concat(F.lit("LINESTRING "), part(F.get(parts, F.lit(0))))
         many = F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.transform(parts, part), ", "), F.lit(")"))
         return F.when(F.size(parts) == 0, F.lit("LINESTRING EMPTY")).when(F.size(parts) == 1, single).otherwise(many)
 

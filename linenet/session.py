@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,8 @@ ADVISED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python line of every column expression slows down plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -73,3 +77,22 @@ def local_rows(spark: SparkSession, columns: dict[str, list], types: dict[str, p
 def work_units(spark: SparkSession) -> int:
     """How many buckets to cut an ordered or hashed job into."""
     return max(8, min(1024, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Send the package to the Python workers, once per application.
+
+    Needed where the package is not installed on the executors; the few Python kernels
+    import it by name.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_linenet_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="linenet-zip-")) / "linenet_pkg.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for package in ("linenet", *packages):
+            for file in sorted((root / package).rglob("*.py")):
+                z.write(file, file.relative_to(root))
+    sc.addPyFile(str(target))
+    sc._linenet_shipped = True
