@@ -165,7 +165,9 @@ def _searcher(k: int, per_column: bool, skip_self: bool, grouped: bool):
                         out["distance"] += dist[i][best].tolist()
                         out["donor_id"] += ids[best].tolist()
                         out["features"] += [[have[b, slot]] if per_column else have[b].tolist() for b in best]
-        return pd.DataFrame(out)
+        # Types are stated because a block may find nothing at all.
+        kinds = {"slot": "int32", "distance": "float64"}
+        return pd.DataFrame({c: pd.Series(v, dtype=kinds.get(c, object)) for c, v in out.items()})
 
     return search
 

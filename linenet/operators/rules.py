@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import presets as P
 from ..functions import values as val
+from ..session import scratch_path
+from ..sources.tables import checkpoint_table
 from .ordering import dense_index, first_by
 
 
@@ -132,4 +134,6 @@ def extract_nodes(df: DataFrame, up: dict[str, str], down: dict[str, str], order
     """First row per node id, upstream ends before downstream ones, with a dense index."""
     stacked = stack_ends(df, up, down, order).filter(F.col("id_node").isNotNull())
     nodes = first_by(stacked, ["id_node"], [F.asc("_side"), F.asc("_order")]).drop("_side", "_order")
-    return dense_index(nodes.withColumn("id_node", F.col("id_node").cast("string")), "id_node", index)
+    # Written once: the index reads its input twice, and this one ends a long chain.
+    nodes = checkpoint_table(nodes.withColumn("id_node", F.col("id_node").cast("string")), scratch_path(df.sparkSession, "nodes"))
+    return dense_index(nodes, "id_node", index)

@@ -12,6 +12,17 @@ from ..operators.ordering import first_by
 from ..operators.schema import stringify_complex
 
 
+# Spark reads Latin-1 but not Windows-1252, which differs from it in the bytes 0x80 to 0x9F.
+_WINDOWS = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def _as_windows(df: DataFrame) -> DataFrame:
+    old, new = "".join(_WINDOWS), "".join(_WINDOWS.values())
+    named = df.toDF(*[c.translate(str.maketrans(_WINDOWS)) for c in df.columns])
+    texts = [f.name for f in named.schema.fields if f.dataType.typeName() == "string"]
+    return named.withColumns({c: F.translate(F.col(c), old, new) for c in texts})
+
+
 def read_table(
     spark: SparkSession, path: str, encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), schema: str | None = None
 ) -> DataFrame:
@@ -25,9 +36,12 @@ def read_table(
     if schema:
         reader = reader.schema(schema)
     for encoding in encodings[:-1]:
+        # Only UTF-8 can be told from the bytes; a single-byte encoding fits anything.
         broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).select(F.lit(1))
         if encoding.upper() not in ("UTF-8", "UTF8") or not broken.take(1):
             return reader.option("encoding", encoding).csv(path)
+    if encodings[-1].lower() in ("cp1252", "windows-1252"):
+        return _as_windows(reader.option("encoding", "ISO-8859-1").csv(path))
     return reader.option("encoding", encodings[-1]).csv(path)
 
 
