@@ -18,9 +18,9 @@ def test_shared_root_is_the_setting(spark):
 
 def test_bom_and_fallback(spark, tmp_path):
     (tmp_path / "bom.csv").write_bytes("﻿id;nom\n1;é\n".encode())
-    (tmp_path / "west.csv").write_bytes("id;nom\n1;é€œ\n".encode("cp1252"))
+    (tmp_path / "west.csv").write_bytes("id;nom\n1;é €œ\n".encode("cp1252"))
     assert tb.read_table(spark, str(tmp_path / "bom.csv")).first().asDict() == {"id": "1", "nom": "é"}
-    assert tb.read_table(spark, str(tmp_path / "west.csv"), ("UTF-8", "windows-1252")).first()["nom"] == "é€œ"
+    assert tb.read_table(spark, str(tmp_path / "west.csv"), ("UTF-8", "windows-1252")).first()["nom"] == "é €œ"
 
 
 def test_lookup_last_wins(spark, tmp_path):
