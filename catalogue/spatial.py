@@ -300,15 +300,16 @@ def _(d):
     return ov.overlay_largest(some, d.hazard(), "seg_id", 200.0, 0, "level").select("seg_id", "level")
 
 
-@query("point_in_polygon", """SELECT m.mh_id, h.poly_id, x > xmin AND x < xmax AND y > ymin AND y < ymax
-    AND NOT (x >= xmin + 50 AND x <= xmax - 50 AND y >= ymin + 50 AND y <= ymax - 50) AS inside
-  FROM fx_manholes m JOIN fx_hazard h ON h.poly_id = CAST(floor(m.x / 200) + floor(m.y / 200) * 5 AS INT) AND h.xmax - h.xmin > 100""")
+@query("point_in_polygon", """WITH b AS (SELECT *, (xmax - xmin) / 4 AS dx, (ymax - ymin) / 4 AS dy FROM fx_hazard)
+  SELECT m.mh_id, h.poly_id, x > xmin AND x < xmax AND y > ymin AND y < ymax
+    AND NOT (x >= xmin + dx AND x <= xmax - dx AND y >= ymin + dy AND y <= ymax - dy) AS inside
+  FROM fx_manholes m JOIN b h ON h.poly_id = CAST(floor(m.x / 200) + floor(m.y / 200) * 5 AS INT)""")
 def _(d):
-    """Every manhole against the box of its 200 m square, which has a hole of 50 m margin."""
-    h = d.view("fx_hazard").filter("xmax - xmin > 100")
-    c = [F.col(n) for n in ("xmin", "ymin", "xmax", "ymax")]
-    rings = F.concat(geo.box_ring(*c), geo.box_ring(c[0] + 50, c[1] + 50, c[2] - 50, c[3] - 50))
-    holed = h.select("poly_id", rings.alias("rings"))
+    """Every manhole against the box of its 200 m square, which has a hole in its middle."""
+    c = {n: F.col(n) for n in ("xmin", "ymin", "xmax", "ymax")}
+    dx, dy = (c["xmax"] - c["xmin"]) / 4, (c["ymax"] - c["ymin"]) / 4
+    hole = geo.box_ring(c["xmin"] + dx, c["ymin"] + dy, c["xmax"] - dx, c["ymax"] - dy)
+    holed = d.view("fx_hazard").select("poly_id", F.concat(geo.box_ring(*c.values()), hole).alias("rings"))
     square = (F.floor(F.col("x") / 200) + F.floor(F.col("y") / 200) * 5).cast("int")
     met = d.view("fx_manholes").withColumn("poly_id", square).join(holed, "poly_id")
     return met.select("mh_id", "poly_id", geo.point_in_polygon(F.col("x"), F.col("y"), F.col("rings")).alias("inside"))

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions import values as val
+from ..session import scratch_path
+from ..sources.tables import checkpoint_table
+
+CROWDED = 1_000  # places in one bin from which the search goes step by step
+CROWDED_STEPS = (1 / 256, 1 / 32, 1 / 4)  # shares of the distance tried before all of it
 
 
 def _bin(c: Column, size: float) -> Column:
@@ -20,9 +25,53 @@ def _first_present(key: str, c: str) -> Column:
     return F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(key).alias("k"), F.col(c).alias("v"))))
 
 
+def _meet(asked: DataFrame, places: DataFrame, by: Sequence[str], x: str, y: str, reach: float) -> DataFrame:
+    """Pairs of places at most ``reach`` apart, met in square bins of that side.
+
+    The join key is equality of bins, never a distance condition. The nine bins around a
+    place come from two explodes.
+    """
+    offset = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
+    around = (
+        places.withColumn("_i", F.explode(offset)).withColumn("_j", F.explode(offset))
+        .withColumn("_bx", _bin(F.col("_rx"), reach) + F.col("_i"))
+        .withColumn("_by", _bin(F.col("_ry"), reach) + F.col("_j"))
+        .drop("_i", "_j")
+    )
+    binned = asked.withColumn("_lx", _bin(F.col(x), reach)).withColumn("_ly", _bin(F.col(y), reach))
+    cond = (F.col("_lx") == F.col("_bx")) & (F.col("_ly") == F.col("_by"))
+    for c in by:
+        cond = cond & (F.col(c) == F.col(f"_p_{c}"))
+    dist = geo.dist_pp(F.col(x), F.col(y), F.col("_rx"), F.col("_ry"))
+    met = binned.join(around, cond).withColumn("_d", dist).filter(F.col("_d") <= reach)
+    return met.drop("_lx", "_ly", "_bx", "_by")
+
+
+def _meet_crowded(asked: DataFrame, places: DataFrame, by: Sequence[str], x: str, y: str, reach: float) -> DataFrame:
+    """``_meet`` where some bins hold very many places.
+
+    A place with a neighbour within a small distance needs no wider search, so growing
+    distances are tried and only the places without any neighbour yet go on. Nothing is
+    left out: whatever remains takes the full distance.
+    """
+    spark, found = asked.sparkSession, None
+    open_places = asked
+    for part in CROWDED_STEPS:
+        met = checkpoint_table(_meet(open_places, places, by, x, y, reach * part), scratch_path(spark, "near"))
+        found = met if found is None else found.union(met)
+        settled = met.select(*by, x, y).distinct()
+        open_places = checkpoint_table(open_places.join(settled, [*by, x, y], "left_anti"), scratch_path(spark, "open"))
+    return found.union(_meet(open_places, places, by, x, y, reach).select(*found.columns))
+
+
+def _is_crowded(places: DataFrame, by: Sequence[str], reach: float, crowded: int) -> bool:
+    bins = [*[F.col(f"_p_{c}") for c in by], _bin(F.col("_rx"), reach), _bin(F.col("_ry"), reach)]
+    return bool(places.groupBy(*bins).count().filter(F.col("count") > crowded).take(1))
+
+
 def nearest_join(
     left: DataFrame, right: DataFrame, max_distance: float, cols: Sequence[str], tie_key: str,
-    xy: tuple[str, str] = ("x", "y"), partition: Sequence[str] = (),
+    xy: tuple[str, str] = ("x", "y"), partition: Sequence[str] = (), crowded: int = CROWDED,
 ) -> DataFrame:
     """Attach to every left row the columns of its nearest right row within a distance.
 
@@ -32,34 +81,20 @@ def nearest_join(
 
     Right rows at one place always tie, and left rows at one place share their answer,
     so both sides are first reduced to one row per place with partial aggregation. A
-    place that holds a third of the table therefore costs one row. Places then meet in
-    square bins of the distance; the join key is equality, never a distance condition.
+    place that holds a third of the table therefore costs one row. If a bin still holds
+    more than ``crowded`` places, growing distances are searched in turn.
     """
     x, y = xy
     by = list(partition)
     places = right.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, x, y).agg(
         *[_first_present(tie_key, c).alias(f"_r_{c}") for c in cols]
     )
-    offset = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
-    around = (
-        places.select(
-            *[F.col(c).alias(f"_p_{c}") for c in by],
-            F.col(x).alias("_rx"), F.col(y).alias("_ry"), *[f"_r_{c}" for c in cols],
-        )
-        .withColumn("_i", F.explode(offset)).withColumn("_j", F.explode(offset))
-        .withColumn("_bx", _bin(F.col("_rx"), max_distance) + F.col("_i"))
-        .withColumn("_by", _bin(F.col("_ry"), max_distance) + F.col("_j"))
-        .drop("_i", "_j")
-    )
-    asked = (
-        left.select(*by, x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
-        .withColumn("_lx", _bin(F.col(x), max_distance)).withColumn("_ly", _bin(F.col(y), max_distance))
+    places = places.select(
+        *[F.col(c).alias(f"_p_{c}") for c in by], F.col(x).alias("_rx"), F.col(y).alias("_ry"), *[f"_r_{c}" for c in cols]
     )
-    cond = (F.col("_lx") == F.col("_bx")) & (F.col("_ly") == F.col("_by"))
-    for c in by:
-        cond = cond & (F.col(c) == F.col(f"_p_{c}"))
-    dist = geo.dist_pp(F.col(x), F.col(y), F.col("_rx"), F.col("_ry"))
-    met = asked.join(around, cond).withColumn("_d", dist).filter(F.col("_d") <= max_distance)
+    asked = left.select(*by, x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
+    meet = _meet_crowded if _is_crowded(places, by, max_distance, crowded) else _meet
+    met = meet(asked, places, by, x, y, float(max_distance))
     # Smallest (distance, tie key) that has a value; it counts if it is at the least distance.
     picks = met.groupBy(*by, x, y).agg(
         F.min("_d").alias("distance"),

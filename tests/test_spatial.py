@@ -78,6 +78,22 @@ def test_nearest_against_brute_force_with_hot_place(spark):
         assert got[i] == (pytest.approx(best[0]), best[1]) if best[0] <= 1 else got[i] == (None, None)
 
 
+def test_nearest_in_crowded_bins(spark):
+    """Many distinct places in one bin, some left rows far from them but within reach."""
+    rnd = random.Random(8)
+    right = [(i, rnd.gauss(5, 0.05), rnd.gauss(5, 0.05)) for i in range(400)] + [(900, 7.5, 5.0)]
+    left = [(i, rnd.gauss(5, 0.06), rnd.gauss(5, 0.06)) for i in range(200)] + [(500, 6.4, 5.0), (501, 9.0, 9.0), (502, 6.9, 5.0)]
+    out = nn.nearest_join(
+        spark.createDataFrame(left, "id int, x double, y double"), spark.createDataFrame(right, "k int, x double, y double"), 2.0, ["k"], "k",
+        crowded=50,
+    )
+    got = {r["id"]: (r["distance"], r["near_k"]) for r in out.collect()}
+    assert len(got) == len(left)
+    for i, x, y in left:
+        best = min((math.sqrt((a - x) ** 2 + (b - y) ** 2), k) for k, a, b in right)
+        assert got[i] == (pytest.approx(best[0]), best[1]) if best[0] <= 2 else got[i] == (None, None)
+
+
 def test_nearest_by_city(spark):
     left = spark.createDataFrame([(1, "A", 0.0, 0.0), (2, "B", 0.0, 0.0)], "id int, city string, x double, y double")
     right = spark.createDataFrame([("m", "A", 0.5, 0.0)], "k string, city string, x double, y double")
