@@ -41,7 +41,6 @@ def number_text(c: str) -> str:
 
 def year_of(c: str) -> str:
     """Year of a date text in the formats of the views, else a year inside the text."""
-    t = f"nullif_tokens({c})"
     t = f"(CASE WHEN {trimmed(c)} NOT IN ({TOKENS}) THEN {trimmed(c)} END)"
     shapes = [
         (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$", "%Y-%m-%dT%H:%M:%S"),
@@ -210,7 +209,7 @@ def _(d):
 
 @query("install_year", f"SELECT seg_id, {year_of('age_raw')} AS year FROM fx_segments")
 def _(d):
-    return d.segments().select("seg_id", val.install_year(F.col("age_raw"), P.NULL_TOKENS).alias("year"))
+    return d.segments(spread=True).select("seg_id", val.install_year(F.col("age_raw"), P.NULL_TOKENS).alias("year"))
 
 
 @query("mean_pair", f"""SELECT seg_id, {d6('(depth_up + depth_down) / 2')} AS strict,
@@ -356,7 +355,7 @@ SLOPE_SQL = f"""WITH s0 AS (SELECT seg_id, {FILE_UP} AS a, CASE WHEN level_down
 
 @query("slope_rules", SLOPE_SQL)
 def _(d):
-    seg = cl.zero_to_null(d.segments(), ["length_raw"])
+    seg = cl.zero_to_null(d.segments(spread=True), ["length_raw"])
     out = ru.slope_rules(seg, "level_up", "level_down", "slope_raw", "length_raw", fill=("level_up", "ground"))
     return out.select("seg_id", r6("slope_raw").alias("slope"))
 

@@ -63,7 +63,7 @@ def _(d):
 
 
 @query("corr_matrix", " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, {d6(f'corr({a}, {b})') if a != b else '1.0::DOUBLE'} AS r FROM fx_segments" + (" LIMIT 1" if 0 else "")
+    f"SELECT '{a}' AS a, '{b}' AS b, {d6(f'corr({a}, {b})')} AS r FROM fx_segments"
     for a in NUM for b in NUM if a != b) + "".join(f" UNION ALL SELECT '{a}', '{a}', 1.0::DOUBLE" for a in NUM))
 def _(d):
     return pr.corr_matrix(d.segments(), NUM).withColumn("r", r6("r"))
@@ -74,6 +74,11 @@ def _(d):
     return pr.distinct_values(d.segments(), "diameter_raw")
 
 
+@query("distinct_counts", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n FROM fx_segments" for c in ("city", "node_up", "material_raw")))
+def _(d):
+    return pr.distinct_counts(d.segments(), ["city", "node_up", "material_raw"])
+
+
 THRESHOLDS = [0.5, 0.7, 0.8]
 
 

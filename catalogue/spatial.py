@@ -23,7 +23,7 @@ LENGTH = "sqrt((x1-x0)*(x1-x0)+(y1-y0)*(y1-y0))"
 def bent(d: Data):
     """Lines of two parts: the segment bent at (x1, y0), with a doubled vertex, and a piece beside it."""
     x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
-    return d.spread(d.segments()).withColumn(
+    return d.segments(spread=True).withColumn(
         "geom",
         F.array(
             F.array(geo.vertex(x0, y0), geo.vertex(x0, y0), geo.vertex(x1, y0), geo.vertex(x1, y1)),
@@ -118,7 +118,7 @@ def _lambert_sql() -> str:
 @query("reproject_l93", _lambert_sql())
 def _(d):
     lonlat = geo.vertex(F.col("x0") / 1000 + 2.0, F.col("y0") / 1000 + 45.0)
-    there = d.segments().select("seg_id", F.array(F.array(lonlat)).alias("g")).withColumn("p", pj.reproject(F.col("g"), pj.LONLAT, pj.LAMBERT93))
+    there = d.segments(spread=True).select("seg_id", F.array(F.array(lonlat)).alias("g")).withColumn("p", pj.reproject(F.col("g"), pj.LONLAT, pj.LAMBERT93))
     back = there.withColumn("b", pj.reproject(F.col("p"), pj.LAMBERT93, pj.LONLAT))
     p, b = F.col("p")[0][0], F.col("b")[0][0]
     return back.select("seg_id", r6(p["x"], 4).alias("x"), r6(p["y"], 4).alias("y"), r6(b["x"], 8).alias("lon"), r6(b["y"], 8).alias("lat"))

@@ -129,15 +129,16 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def view(self, name: str) -> DataFrame:
+    def view(self, name: str, spread: bool = False) -> DataFrame:
         text = SPARK_VIEWS[name]
         base = text.rsplit("FROM ", 1)[1].split(")")[0].strip()
         source = self.view(base) if base.startswith("fx_") else self.table(base)
+        source = self.spread(source) if spread else source
         head, tail = text.rsplit(f"FROM {base}", 1)
         return self.spark.sql(f"{head}FROM {{source}}{tail}", source=source)
 
-    def segments(self) -> DataFrame:
-        return self.view("fx_segments")
+    def segments(self, spread: bool = False) -> DataFrame:
+        return self.view("fx_segments", spread)
 
     def spread(self, df: DataFrame) -> DataFrame:
         """Over all cores, if the scan has fewer tasks: a test file is a single row group.
@@ -149,7 +150,7 @@ class Data:
 
     def lines(self) -> DataFrame:
         """Segments with their geometry beside the four coordinates."""
-        seg = self.spread(self.segments())
+        seg = self.segments(spread=True)
         return seg.withColumn("geom", geo.two_point_line(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
 
     def hazard(self) -> DataFrame:

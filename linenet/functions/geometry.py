@@ -62,7 +62,24 @@ def _piece_length(p: Column) -> Column:
 
 
 def line_length(g: Column) -> Column:
-    return F.aggregate(line_pieces(g), F.lit(0.0), lambda s, p: s + _piece_length(p))
+    def part(p: Column) -> Column:
+        n = F.greatest(F.size(p) - 1, F.lit(0))
+        steps = F.zip_with(
+            F.slice(p, F.lit(1), n), F.slice(p, F.lit(2), n), lambda a, b: hypot(b["x"] - a["x"], b["y"] - a["y"])
+        )
+        return F.aggregate(steps, F.lit(0.0), lambda s, v: s + v)
+
+    return F.aggregate(g, F.lit(0.0), lambda s, p: s + part(p))
+
+
+def longer_than(g: Column, least: float) -> Column:
+    """Whether a line is longer than a limit.
+
+    The straight distance between its ends is never more than its length and settles
+    nearly every line without walking along it.
+    """
+    up, down = endpoint(g, "up"), endpoint(g, "down")
+    return (dist_pp(up["x"], up["y"], down["x"], down["y"]) > least) | (line_length(g) > least)
 
 
 def endpoint(g: Column, end: str) -> Column:

@@ -86,8 +86,11 @@ def log_length(c: Column) -> Column:
 
 def normalize_number_text(c: Column, tokens: Sequence[str]) -> Column:
     """Shortest text of a number: ``000000200`` to ``200``, ``9.5600`` to ``9.56``."""
-    text = trim_text(c)
-    number = to_double(c)
+    return number_text(trim_text(c), to_double(c), tokens)
+
+
+def number_text(text: Column, number: Column, tokens: Sequence[str]) -> Column:
+    """``normalize_number_text`` from a trimmed text and the number it holds, if any."""
     whole = number.cast("decimal(38,0)").cast("string")
     fraction = F.rtrim(
         F.rtrim(F.round(number, 6).cast("decimal(28,6)").cast("string"), F.lit("0")), F.lit(".")

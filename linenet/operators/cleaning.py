@@ -46,7 +46,7 @@ def labels_to_null(df: DataFrame, c: str, labels: Sequence) -> DataFrame:
 
 def filter_valid_lines(df: DataFrame, min_length: float, geom: str = "geom") -> DataFrame:
     g = F.col(geom)
-    return df.filter(geo.is_line(g) & (geo.line_length(g) > min_length))
+    return df.filter(geo.is_line(g) & geo.longer_than(g, min_length))
 
 
 def completeness(df: DataFrame, cols: Sequence[str], name: str = "completeness") -> DataFrame:

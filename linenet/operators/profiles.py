@@ -95,6 +95,12 @@ def distinct_values(df: DataFrame, c: str) -> DataFrame:
     return df.select(F.col(c).alias("value")).filter("value IS NOT NULL").distinct()
 
 
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Number of different present values per column."""
+    wide = df.agg(*[F.countDistinct(c).alias(f"n_{i}") for i, c in enumerate(cols)])
+    return _rows(wide, cols, ["n"], "column")
+
+
 def threshold_counts(df: DataFrame, c: str, thresholds: Sequence[float]) -> DataFrame:
     """Counts and shares at or above, and below, several thresholds."""
     x = F.col(c)

@@ -61,9 +61,13 @@ def clean_segments(df: DataFrame, lookups: Lookups) -> DataFrame:
     out = cl.nullify_tokens(out, P.NULL_TOKENS, texts)
     for c, lookup in (("Materiau", lookups.material), ("Nature_effluent", lookups.effluent)):
         out = cl.nullify_tokens(lk.recode(out, c, lookup), P.UNKNOWN_LABELS, [c])
-    number = val.nullify(val.normalize_number_text(F.col("Diametre"), P.NULL_TOKENS), P.NULL_TOKENS)
-    out = lk.recode(out.withColumn("Diametre", number), "Diametre", lookups.diameter, "Diametre_clean")
-    out = out.withColumn("Diametre_clean", val.within(val.to_double(F.col("Diametre_clean")), *P.DIAMETER_RANGE))
+    # Trimmed text and number are columns of their own, so that each is worked out once.
+    out = out.withColumns({"_text0": val.trim_text(F.col("Diametre")), "_number": val.to_double(F.col("Diametre"))})
+    shortest = val.number_text(F.col("_text0"), F.col("_number"), P.NULL_TOKENS)
+    out = out.withColumn("Diametre", shortest).drop("_text0", "_number")
+    out = lk.recode(cl.nullify_tokens(out, P.NULL_TOKENS, ["Diametre"]), "Diametre", lookups.diameter, "_raw")
+    out = out.withColumn("_mm", val.to_double(F.col("_raw"))).drop("_raw")
+    out = out.withColumn("Diametre_clean", val.within(F.col("_mm"), *P.DIAMETER_RANGE)).drop("_mm")
     out = cl.zero_to_null(out, P.NUMERIC_ATTRIBUTES, keep=P.ZERO_IS_VALID)
     out = out.withColumn("taux_arbo", val.within(F.col("taux_arbo"), high=P.MAX_RATE))
     out = ru.age_class(out, "Age", lookups.age_edges, lookups.age_labels, "Age_extracted", "classe_age")
@@ -102,5 +106,6 @@ def preprocess_segments(
     are wanted.
     """
     valid = cl.filter_valid_lines(segments, P.MIN_LINE_LENGTH)
-    tidy = valid.withColumn("geom", geo.clean_vertices(F.col("geom")))
-    return clean_segments(node_depths(tidy, manholes, key, partition), lookups)
+    cleaned = clean_segments(node_depths(valid, manholes, key, partition), lookups)
+    # Repeated vertices change neither ends nor length, so shapes are tidied last and once.
+    return cleaned.withColumn("geom", geo.clean_vertices(F.col("geom")))
