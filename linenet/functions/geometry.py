@@ -228,14 +228,14 @@ def point_in_polygon(px: Column, py: Column, rings: Column) -> Column:
     return once(line_pieces(rings), lambda edges: _inside_edges(px, py, edges) & ~F.exists(edges, touches))
 
 
-def clip_length(g: Column, edges: Column) -> Column:
+def clip_length(g: Column, edges: Column, crossed: Column | None = None) -> Column:
     """Length of a line inside a polygon given by its ring edges (``line_pieces(rings)``).
 
-    Each piece is cut where it crosses an edge; the parts whose middle is inside count.
+    ``crossed`` may name the fewer edges the line can meet at all. Each piece is cut where it crosses an edge; the parts whose middle is inside count.
     A piece that crosses nothing, the usual case, needs one inside test.
     """
 
-    def inside_length(p: Column, ring: Column) -> Column:
+    def inside_length(p: Column, ring: Column, met: Column) -> Column:
         dx, dy = p["x1"] - p["x0"], p["y1"] - p["y0"]
 
         def inside(t: Column) -> Column:
@@ -262,12 +262,15 @@ def clip_length(g: Column, edges: Column) -> Column:
             ends = F.array(F.lit(0.0), F.lit(1.0))
             return F.when(F.size(cuts) == 0, whole).otherwise(once(F.array_sort(F.concat(ends, cuts)), split))
 
-        cuts = F.filter(F.transform(ring, crossing), lambda t: t.isNotNull())
+        cuts = F.filter(F.transform(met, crossing), lambda t: t.isNotNull())
         return once(cuts, share) * hypot(dx, dy)
 
-    return once(
-        edges, lambda ring: F.aggregate(line_pieces(g), F.lit(0.0), lambda s, p: s + inside_length(p, ring))
-    )
+    def total(ring: Column, met: Column) -> Column:
+        return F.aggregate(line_pieces(g), F.lit(0.0), lambda s, p: s + inside_length(p, ring, met))
+
+    if crossed is None:
+        return once(edges, lambda ring: total(ring, ring))
+    return once(F.struct(edges.alias("all"), crossed.alias("met")), lambda e: total(e["all"], e["met"]))
 
 
 def to_wkt(g: Column) -> Column:

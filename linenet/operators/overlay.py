@@ -43,10 +43,12 @@ def line_polygon_pairs(
         & (F.greatest(e["x0"], e["x1"]) >= F.col("_a.xmin")),
     )
     trimmed = met.withColumn("_useful", useful)
+    # Of these, only edges whose box meets the line's box can be crossed.
+    crossed = F.filter("_useful", lambda e: F.least(e["x0"], e["x1"]) <= F.col("_a.xmax"))
     return trimmed.select(
         key, "poly_id", "value",
         geo.line_length(F.col("_g")).alias("line_length"),
-        geo.clip_length(F.col("_g"), F.col("_useful")).alias("clip_length"),
+        geo.clip_length(F.col("_g"), F.col("_useful"), crossed).alias("clip_length"),
     )
 
 

@@ -63,6 +63,11 @@ def _encode(df: DataFrame, features: Features, codes: Mapping[str, DataFrame]) -
     return out.withColumns({c: F.col(c).cast("double") for c in features.encoded})
 
 
+def fit_tables(rows: DataFrame, categories: Sequence[str]) -> dict[str, DataFrame]:
+    """Code tables, written once: later joins read a file of known size, not the training rows."""
+    return {c: checkpoint_table(en.fit_codes(rows, c), scratch_path(rows.sparkSession, "codes")) for c in categories}
+
+
 def fit_completion(
     df: DataFrame, target: str, features: Features, id_col: str, kind: str, params: Mapping,
     text_target: bool = False, name: str | None = None,
@@ -70,8 +75,8 @@ def fit_completion(
     """Train on rows whose target is known. The target is a zero-based code or, if
     ``text_target``, a label that is encoded first."""
     rows = df.filter(F.col(target).isNotNull()).select(id_col, target, *features.all)
-    codes = {c: en.fit_codes(rows, c) for c in features.categories}
-    labels = en.fit_codes(rows, target) if text_target else None
+    codes = fit_tables(rows, features.categories)
+    labels = fit_tables(rows, [target])[target] if text_target else None
     rows = en.apply_codes(rows, target, labels, "label") if text_target else rows.withColumn("label", F.col(target).cast("int"))
     donors = checkpoint_table(
         _encode(rows, features, codes).select(id_col, "label", *features.encoded), scratch_path(df.sparkSession, "train")

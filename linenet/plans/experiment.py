@@ -19,7 +19,7 @@ from ..operators.ordering import auc, best_per_group
 from ..operators.sampling import smote, stratified_split
 from ..session import scratch_path
 from ..sources.tables import append_results, checkpoint_table
-from .completion import Features, _encode
+from .completion import Features, _encode, fit_tables
 
 RESULT = "target string, level string, model string, accuracy double, f1 double, precision double, recall double, auc double, seconds double, status string"
 
@@ -40,7 +40,7 @@ def prepare(
     marked = stratified_split(rows.select(id_col, "label", *features.all), "label", P.TEST_SHARE, id_col, P.SEED)
     marked = checkpoint_table(marked, scratch_path(spark, "split"))
     learn = marked.filter(~F.col("is_test"))
-    codes = {c: en.fit_codes(learn, c) for c in features.categories}
+    codes = fit_tables(learn, features.categories)
     coded = checkpoint_table(
         _encode(marked, features, codes).select(id_col, "label", "is_test", *features.encoded), scratch_path(spark, "coded")
     )
