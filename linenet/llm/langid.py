@@ -151,7 +151,7 @@ def identify(docs: DataFrame, **options: float) -> DataFrame:
     return predict(told, fit(told.where("not held_out").select("text", "lang"), **options))
 
 
-def accepted(docs: DataFrame, least_score: float = 0.3, **options: float) -> DataFrame:
+def accepted(docs: DataFrame, least_score: float = 0.2, **options: float) -> DataFrame:
     """The rows of ``docs`` with a language that is not ``und`` and a score of ``least_score`` or more."""
     told = identify(docs, **options)
     return told.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select(*docs.columns)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linenet.llm import langid, mixing, packing, quality, simhash, warc
+from linenet.llm import langid, mixing, packing, pii, quality, simhash, urlfilter, warc
 from linenet.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,19 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc_pages(table(spark, folder, "pages"))
 
 
+def _is(value: str) -> Callable[[Column], Column]:
+    return lambda x: x == value
+
+
+@query("op3_pii")
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_pii(table(spark, folder, "documents"))
+    told = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(F.transform(kinds, _is(k)), False)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(told(F.col("base")), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 @query("op4_quality_rules")
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -86,6 +99,25 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+# The rules the query applies: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query(
+    "op8_url_filters",
+    """WITH RECURSIVE p AS (
+  SELECT page_id, url, translate(coalesce(regexp_extract(url, '^[\\s\\S]*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(rule_host, rule_path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+b AS (SELECT p.*, (SELECT max(struct_pack(n := length(rule_host || rule_path), rule := rule_host || rule_path, verdict := verdict))
+  FROM rules WHERE (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)) AS r FROM p)
+SELECT page_id, host, path, r.rule AS rule, coalesce(r.verdict, 'allow') AS verdict FROM b""",
+)
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, verdict string")
+    return urlfilter.filter_urls(table(spark, folder, "pages"), rules)
+
+
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_groups(table(spark, folder, "documents"))
