@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linenet.llm import langid, mixing, packing, pii, quality, simhash, urlfilter, warc
+from linenet.llm import langid, linededup, mixing, packing, pii, quality, simhash, urlfilter, warc
 from linenet.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,30 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc_pages(table(spark, folder, "pages"))
 
 
+_LINES = r"""
+l AS (SELECT doc_id, i - 1 AS pos, list_filter(regexp_split_to_array(parts[i], '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
+d AS (SELECT w, min((doc_id, pos)) AS first FROM l WHERE len(w) > 0 GROUP BY w),
+v AS (SELECT w, first, list_concat(w[:i - 1], w[i + 1:]) AS rest, i FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d WHERE len(w) >= 5)),
+changed AS (SELECT w, first > min(first) OVER (PARTITION BY rest, i) AS late FROM v),
+longer AS (SELECT v.w AS long, d.w AS short, v.first > d.first AS late FROM v JOIN d ON v.rest = d.w WHERE len(d.w) >= 5),
+near AS (SELECT w FROM changed WHERE late UNION SELECT CASE WHEN late THEN long ELSE short END FROM longer)
+"""
+
+
+@query(
+    "op2_line_dedup",
+    f"""WITH {_LINES}
+SELECT t.doc_id, coalesce(k.n, 0) AS n_removed, CASE WHEN k.n IS NULL THEN t.text ELSE coalesce(k.text, '') END AS text FROM documents t LEFT JOIN (
+  SELECT l.doc_id, (count(*) FILTER (gone))::INTEGER AS n, string_agg(string_split(o.text, chr(10))[l.pos + 1], chr(10) ORDER BY l.pos) FILTER (NOT gone) AS text FROM (
+    SELECT l.doc_id, l.pos, len(l.w) > 0 AND ((l.doc_id, l.pos) <> d.first OR l.w IN (FROM near)) AS gone FROM l LEFT JOIN d ON l.w = d.w) l
+  JOIN documents o ON o.doc_id = l.doc_id GROUP BY l.doc_id HAVING bool_or(gone)) k ON k.doc_id = t.doc_id""",
+)
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", F.col("_removed").alias("n_removed"), "text")
+
+
 def _is(value: str) -> Callable[[Column], Column]:
     return lambda x: x == value
 
