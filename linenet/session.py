@@ -44,20 +44,13 @@ def local_session(cpus: int = 8, app: str = "linenet", **options: str) -> SparkS
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster, from ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a folder of the machine it runs on.
-    """
+    """The shared folder of the cluster, from ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="linenet-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -69,7 +70,7 @@ if __name__ == "__main__":
 
     folder = sys.argv[1]
     names = sys.argv[2:] or list(QUERIES)
-    spark = local_session()
+    spark = local_session(**{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="linenet-")})
     bad = 0
     for name in names:
         t0 = time.time()

@@ -8,8 +8,9 @@ SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "tests")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(8, "tests", **{"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 
