@@ -173,6 +173,15 @@ def test_packing(table, request):
         assert len(places) <= 1 + 1.03 * sum(total.values()) / 4096
 
 
+def test_ids_of_words_are_ids_of_texts():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    for text in ("a\x01b \x01 c", "<|endoftext|>x it's I'LL\u00a0we're \x1c y", "\u0301e \u212b \u1e9e \u0130 \u2028 z\u3000q", "𝒳☃ 12a3 !!?", ""):
+        want = b"".join(i.to_bytes(4, "little") for i in tok.encode(text, add_special_tokens=False).ids)
+        assert packing.token_ids([text.encode()], tokenizer_path()) == [want]
+
+
 def test_language(documents, odd_docs, no_docs):
     rows = langid.identify(documents).collect()
     held = [r for r in rows if r.held_out]
