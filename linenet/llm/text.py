@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes looked at together; one longer text is taken alone. It bounds memory, not results.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
