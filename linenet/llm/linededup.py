@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from linenet.llm import text as T
 from linenet.llm.scratch import written
+from linenet.session import scratch_path
 
 MIN_WORDS = 5
 ENDS = ["k1", "k2", "k3", "k4"]
@@ -67,8 +68,8 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in T.slices(batch.column("text")):
             x = _Lines(s)
             at = pa.array(s.first + x.row)
-            told = [batch.column(c).take(at) for c in ("doc_id", "_text")]
-            yield pa.record_batch([*told, pa.array(x.pos, pa.int32()), *map(pa.array, x.ids()), *x.ends()], names=["doc_id", "_text", "pos", "h1", "h2", *ENDS])
+            told = [batch.column(c).take(at) for c in ("doc_id", "_text", "_doc")]
+            yield pa.record_batch([*told, pa.array(x.pos, pa.int32()), *map(pa.array, x.ids()), *x.ends()], names=["doc_id", "_text", "_doc", "pos", "h1", "h2", *ENDS])
 
 
 def _chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,16 +123,34 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"h1": batch.column("late").filter(pa.array([within_one(a.split(" "), b.split(" ")) for a, b in pairs], pa.bool_()))})
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_text", F.xxhash64("text"))
+def _co_located(docs: DataFrame) -> DataFrame:
+    """The rows in a bucketed table in the shared folder, so that the two joins that need texts don't move them again.
+
+    ``_doc``, a hash of id and text, is the key; what is joined to it also carries id and text hash, which are
+    compared after the join.
+    """
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    marked = docs.withColumn("_text", F.xxhash64("text")).withColumn("_doc", F.xxhash64("doc_id", "text"))
+    path = scratch_path(spark, "documents")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    marked.repartition(buckets, "_doc").write.option("path", path).bucketBy(buckets, "_doc").saveAsTable(name)
+    return spark.table(name)
 
 
 def _place(df: DataFrame) -> Column:
     return F.struct("doc_id", "_text", "pos")
 
 
-def _same_text(a: DataFrame, b: DataFrame) -> Column:
-    return (a["_text"] == b["_text"]) & a["doc_id"].eqNullSafe(b["doc_id"])
+def _by_doc(lines: DataFrame, name: str) -> DataFrame:
+    """The places of lines, listed by ``_doc``; a document's lines are as many as it has at most."""
+    return lines.groupBy("_doc").agg(F.collect_set(F.struct("doc_id", "_text", "pos")).alias(name))
+
+
+def _own(places: str) -> Column:
+    """The numbers of a row's own lines among those of its ``_doc``."""
+    own = F.filter(places, lambda p: (p["_text"] == F.col("_text")) & p["doc_id"].eqNullSafe(F.col("doc_id")))
+    return F.transform(own, lambda p: p["pos"])
 
 
 def near_lines(docs: DataFrame, listed: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -144,10 +163,9 @@ def near_lines(docs: DataFrame, listed: DataFrame, firsts: DataFrame) -> DataFra
     """
     keys = listed.select(F.explode(F.filter(F.array(*ENDS), lambda k: k.isNotNull())).alias("key"), "h1", "h2")
     shared = written(keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("key"), "shared-ends")
-    asked = keys.join(shared, "key").select("h1", "h2").distinct().join(firsts, ["h1", "h2"]).select("first.*")
-    asked = written(asked.groupBy("doc_id", "_text").agg(F.collect_list("pos").alias("asked")), "asked-lines")
-    marked = _marked(docs.select("doc_id", "text"))
-    once = marked.join(asked, _same_text(marked, asked)).select(marked.doc_id, marked._text, "text", "asked")
+    asked = keys.join(shared, "key").select("h1", "h2").distinct().join(firsts, ["h1", "h2"]).select("_doc", "first.*")
+    asked = written(_by_doc(asked, "places"), "asked-lines")
+    once = docs.join(asked, "_doc").select("doc_id", "_text", "text", _own("places").alias("asked"))
     doc = docs.schema["doc_id"].dataType
     told = StructType([StructField("doc_id", doc), StructField("_text", LongType()), StructField("pos", IntegerType()), StructField("h1", LongType()), StructField("h2", LongType()), StructField("line", StringType())])
     lines = written(once.mapInArrow(_chosen, told).dropDuplicates(["h1", "h2"]), "lines")
@@ -169,16 +187,16 @@ def near_lines(docs: DataFrame, listed: DataFrame, firsts: DataFrame) -> DataFra
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``_text`` (the text's hash) and ``removed``, the numbers of the lines that go."""
+    """``_doc`` and ``removed``, the places of the lines that go, of the co-located rows."""
     doc = docs.schema["doc_id"].dataType
-    fields = [StructField("doc_id", doc), StructField("_text", LongType()), StructField("pos", IntegerType())]
+    fields = [StructField("doc_id", doc), StructField("_text", LongType()), StructField("_doc", LongType()), StructField("pos", IntegerType())]
     told = StructType([*fields, *[StructField(h, LongType()) for h in ("h1", "h2", *ENDS)]])
-    listed = written(_marked(docs.select("doc_id", "text")).mapInArrow(_listed, told), "all-lines")
-    firsts = written(listed.groupBy("h1", "h2").agg(F.min(_place(listed)).alias("first"), F.count("*").alias("n")), "first-lines")
+    listed = written(docs.select("doc_id", "_text", "_doc", "text").mapInArrow(_listed, told), "all-lines")
+    firsts = written(listed.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "_text", "pos", "_doc")).alias("first"), F.count("*").alias("n")).withColumn("_doc", F.col("first._doc")).withColumn("first", F.struct("first.doc_id", "first._text", "first.pos")), "first-lines")
     near = written(near_lines(docs, listed, firsts).withColumn("near", F.lit(True)), "near-lines")
     gone = firsts.join(near, "h1", "left").where("near or n > 1").select("h1", "h2", "first", "near")
     here = listed.join(gone, ["h1", "h2"]).where(F.col("near").isNotNull() | ~_place(listed).eqNullSafe(F.col("first")))
-    return here.groupBy("doc_id", "_text").agg(F.collect_set("pos").alias("removed"))
+    return _by_doc(here, "removed")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -191,13 +209,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     A null text stays null. No rows give no rows; other columns stay, and names that begin with an underscore
     are reserved.
     """
-    gone = written(removed_lines(docs), "removed-lines")
-    marked = _marked(docs)
+    marked = _co_located(docs)
+    gone = written(removed_lines(marked), "removed-lines")
+    joined = marked.join(gone, "_doc", "left").withColumn("_own", F.coalesce(_own("removed"), F.array().cast("array<int>")))
     lines = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    joined = marked.join(gone, _same_text(marked, gone), "left")
-    return joined.select(*[(text.alias("text") if c == "text" else marked[c]) for c in docs.columns], F.coalesce(F.size("removed"), F.lit(0)).alias("_removed"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_own"))
+    text = F.when(F.size("_own") == 0, F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    return joined.select(*[(text.alias("text") if c == "text" else marked[c]) for c in docs.columns], F.size("_own").alias("_removed"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
