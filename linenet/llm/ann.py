@@ -35,16 +35,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The direction of each vector in half precision, and its place on one random line."""
+    """The direction of each vector in half precision."""
     for batch in batches:
         if not len(batch):
             continue
         x = _matrix(batch.column("vec"))
         x = x / np.abs(x).max(1, keepdims=True)
         x = x / np.sqrt((x * x).sum(1, keepdims=True))
-        lines = np.random.default_rng(7).standard_normal((x.shape[1], 2))
         half = x.astype(np.float16)
-        yield pa.record_batch([batch.column("id"), pa.array([r.tobytes() for r in half], pa.binary()), *(pa.array(p) for p in (x @ lines).T)], names=["id", "half", "line1", "line2"])
+        yield pa.record_batch([batch.column("id"), pa.array([r.tobytes() for r in half], pa.binary())], names=["id", "half"])
 
 
 def _best(sims: np.ndarray, k: int) -> np.ndarray:
@@ -54,33 +53,33 @@ def _best(sims: np.ndarray, k: int) -> np.ndarray:
 
 
 def _block(k: int):
-    """The k nearest of each vector among those of its block."""
+    """The k nearest of each vector among those of its block; blocks come one after another."""
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def told() -> Iterator[pa.RecordBatch]:
+        def told() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
             ids = table.column("id").to_numpy()
             x = np.frombuffer(b"".join(table.column("half").to_pylist()), np.float16).reshape(len(ids), -1).astype(np.float32)
-            held.clear()
-            for first in range(0, len(ids), BLOCK):
-                own, vec = ids[first : first + BLOCK], x[first : first + BLOCK]
-                sims = vec @ vec.T
-                np.fill_diagonal(sims, -2)
-                at = _best(sims, k)
-                u, v = np.repeat(own, at.shape[1]), own[at].reshape(-1)
-                s = np.take_along_axis(sims, at, 1).reshape(-1)
-                keep = u != v
-                yield pa.record_batch({"u": pa.array(u[keep]), "v": pa.array(v[keep]), "sim": pa.array(s[keep])})
+            sims = x @ x.T
+            np.fill_diagonal(sims, -2)
+            at = _best(sims, k)
+            u, v, s = np.repeat(ids, at.shape[1]), ids[at].reshape(-1), np.take_along_axis(sims, at, 1).reshape(-1)
+            keep = u != v
+            return pa.record_batch({"u": pa.array(u[keep]), "v": pa.array(v[keep]), "sim": pa.array(s[keep])})
 
         for batch in batches:
-            if len(batch):
-                held.append(batch)
-            if sum(map(len, held)) >= 4 * BLOCK:
-                yield from told()
+            block = batch.column("block").to_numpy()
+            ends = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for a, b in zip(ends[:-1], ends[1:]):
+                if b > a and held and held[-1].column("block")[-1].as_py() != block[a]:
+                    yield told()
+                if b > a:
+                    held.append(batch.slice(a, b - a))
         if held:
-            yield from told()
+            yield told()
 
     return within
 
@@ -138,8 +137,8 @@ class Index:
 def build(vectors: DataFrame, k: int = 16, rounds: int = 8, enough: float = 0.02, spare: int = 6) -> Index:
     """NN-descent over all distinct vectors.
 
-    Equal vectors are one node. Lists begin with the nearest inside blocks of at most 2 048 vectors that lie
-    together on each of two random lines. A round joins every node's list and those that list it with
+    Equal vectors are one node. Lists begin with the nearest inside two blocks of about 2 048 vectors, dealt by
+    two hashes of the id. A round joins every node's list and those that list it with
     their vectors, compares the members of a group with each other (neighbours of neighbours) and merges what is
     better into the lists. The group of a node that very many list is split by hash into parts of about 48;
     nothing is left out. Rounds end when less than ``enough`` of all list entries change.
@@ -150,10 +149,14 @@ def build(vectors: DataFrame, k: int = 16, rounds: int = 8, enough: float = 0.02
     least = Window.partitionBy("node").orderBy("id")
     more = vectors.join(repeated, "vec").select("node", "id").distinct().withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= spare)
     members = written(more.select("node", "id").union(classed.where("n = 1").select("node", F.col("node").alias("id"))), "ann-members")
-    halves = written(nodes.mapInArrow(_unit, "id long, half binary, line1 double, line2 double"), "ann-halves")
-    parts = max(1, -(-halves.count() // (2 * BLOCK)))
-    first = [halves.repartitionByRange(parts, line).sortWithinPartitions(line).select("id", "half").mapInArrow(_block(k), "u long, v long, sim float") for line in ("line1", "line2")]
-    graph = written(_top(first[0].union(first[1]).withColumn("new", F.lit(True)), k), "ann-graph")
+    halves = written(nodes.mapInArrow(_unit, "id long, half binary"), "ann-halves")
+    parts = max(1, -(-halves.count() // BLOCK))
+
+    def begun(seed: int) -> DataFrame:
+        dealt = halves.withColumn("block", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(parts)))
+        return dealt.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_block(k), "u long, v long, sim float")
+
+    graph = written(_top(begun(1).union(begun(2)).withColumn("new", F.lit(True)), k), "ann-graph")
     vec = halves.select(F.col("id").alias("v"), "half")
     for _ in range(rounds):
         # The similarity a newcomer has to beat; a short list takes all.
