@@ -15,9 +15,12 @@ from ..functions import values as val
 
 
 def recode(df: DataFrame, c: str, lookup: DataFrame, out: str | None = None) -> DataFrame:
-    """Replace a trimmed text by its lookup value; null where there is none."""
+    """Replace a trimmed text by its lookup value; null where there is none.
+
+    A lookup has no order of its own, so of a repeated key the largest value holds; rows are never doubled.
+    """
     out = out or c
-    pairs = lookup.select(F.col("key").alias("_key"), F.col("value").alias("_value"))
+    pairs = lookup.groupBy(F.col("key").alias("_key")).agg(F.max("value").alias("_value"))
     keyed = df.withColumn("_text", val.trim_text(F.col(c)))
     joined = keyed.join(pairs, F.col("_text") == F.col("_key"), "left")
     return joined.withColumn(out, F.col("_value")).drop("_text", "_key", "_value")
@@ -62,8 +65,12 @@ def preflight(
 
 
 def merge_back(base: DataFrame, updates: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Take new values by key where they are present, else keep the old ones."""
-    fresh = updates.select(F.col(key).alias("_id"), *[F.col(c).alias(f"_new_{c}") for c in cols])
+    """Take new values by key where they are present, else keep the old ones.
+
+    Of several updates of a key the one with the largest values holds; rows are never doubled.
+    """
+    best = updates.groupBy(F.col(key).alias("_id")).agg(F.max(F.struct(*cols)).alias("_new"))
+    fresh = best.select("_id", *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in cols])
     joined = base.join(fresh, F.col(key) == F.col("_id"), "left")
     return joined.withColumns({c: F.coalesce(F.col(f"_new_{c}"), F.col(c)) for c in cols}).select(*base.columns)
 

@@ -11,8 +11,6 @@ from ..operators.schema import harmonize, union_all
 from .files import exists
 from .tables import read_table
 
-MAX_SOURCES = 5_000
-
 
 def open_source(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path) if path.lower().endswith(".csv") else spark.read.parquet(path)
@@ -25,14 +23,11 @@ def scan_catalog(
     """Union of all sources of a catalog under the unified schema, and a report.
 
     A blank name is passed over; a missing or unreadable source is reported and the
-    others go on. Only the catalog, one row per source, reaches the driver; the sources
+    others go on. The driver reads the catalog a part at a time, one row per source; the sources
     themselves stay lazy and are pruned by what is asked of them.
     """
-    rows = catalog.limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"a catalog of more than {MAX_SOURCES} sources; scan it in parts")
     frames, report = [], []
-    for row in rows:
+    for row in catalog.toLocalIterator():
         label = (row[name] or "").strip()
         if not label or label == "nan":
             continue

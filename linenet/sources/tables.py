@@ -68,9 +68,14 @@ def read_lookup(
     return first_by(rows.filter(F.col("key").isNotNull()), ["key"], [F.desc("_at")]).select("key", "value")
 
 
-def class_edges(table: DataFrame, edge: str, label: str) -> tuple[list[float], list[str]]:
-    """Sorted thresholds and labels of a class sheet; their counts must fit."""
-    rows = table.select(F.col(edge).alias("e"), F.col(label).cast("string").alias("l")).limit(10_000).collect()
+def class_edges(table: DataFrame, edge: str, label: str, most: int = 100_000) -> tuple[list[float], list[str]]:
+    """Sorted thresholds and labels of a class sheet; their counts must fit.
+
+    The sheet becomes a list on the driver, so one of more than ``most`` rows is an error; no row is left out.
+    """
+    if (n := table.count()) > most:
+        raise ValueError(f"a class sheet of {n} rows; at most {most} fit")
+    rows = table.select(F.col(edge).alias("e"), F.col(label).cast("string").alias("l")).collect()
     edges = sorted(float(r["e"]) for r in rows if r["e"] is not None)
     labels = [r["l"] for r in rows if r["l"] is not None]
     # Numbered labels are put in order; a sheet read in parts has no order of its own.

@@ -77,3 +77,11 @@ def test_departments(spark, tmp_path):
         spark.range(2).withColumn("v", F.lit(dep)).write.parquet(str(tmp_path / f"Dept_{dep}.zone"))
     got = ct.scan_parts(spark, str(tmp_path / "*")).collect()
     assert sorted((r["department"], r["v"]) for r in got) == [("01", "01")] * 2 + [("69", "69")] * 2
+
+
+def test_class_edges_takes_every_row(spark):
+    sheet = spark.range(12_001).selectExpr("if(id < 12000, double(id), null) AS max", "string(id) AS label")
+    edges, labels = tb.class_edges(sheet, "max", "label")
+    assert len(edges) == 12_000 and labels[-1] == "12000"
+    with pytest.raises(ValueError):
+        tb.class_edges(sheet, "max", "label", most=100)

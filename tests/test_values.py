@@ -114,3 +114,13 @@ def test_mode_tie_takes_smallest(spark):
 def test_is_filled(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
     assert cl.is_filled(df, ["a"]) and not cl.is_filled(df, ["a", "b"]) and not cl.is_filled(df, ["zz"])
+
+
+def test_repeated_lookup_keys_double_no_row(spark):
+    from linenet.operators import lookups
+
+    df = spark.createDataFrame([(1, " a "), (2, "b"), (3, None)], "id long, c string")
+    pairs = spark.createDataFrame([("a", "x"), ("a", "y"), ("z", "w")], "key string, value string")
+    assert sorted((r.id, r.c) for r in lookups.recode(df, "c", pairs).collect()) == [(1, "y"), (2, None), (3, None)]
+    fresh = spark.createDataFrame([(1, "p"), (1, "q"), (2, None)], "id long, c string")
+    assert sorted((r.id, r.c) for r in lookups.merge_back(df, fresh, "id", ["c"]).collect()) == [(1, "q"), (2, "b"), (3, None)]
