@@ -47,7 +47,8 @@ def likelihood_ratios(docs: DataFrame, trusted_ids: DataFrame, smoothing: float
     driver gets the sums of the same number of buckets. Without any trusted text all are zero.
     """
     trusted = trusted_ids.select("doc_id").where("doc_id is not null").distinct().withColumn("trusted", F.lit(1))
-    told = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    # Labels grow with the documents: one plan at every size, which sorts and spills, instead of a copy of all ids per task.
+    told = docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(0)).alias("trusted"))
     sums = told.mapInArrow(_counts, "bucket int, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in sums.collect():
