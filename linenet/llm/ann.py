@@ -126,7 +126,7 @@ def _top(edges: DataFrame, k: int) -> DataFrame:
 
 @dataclass
 class Index:
-    """``nodes``: one for each distinct vector (``id`` is the least of its rows, ``vec``); ``members``: up to
+    """``nodes``: one for each distinct vector (``id`` is the least of its rows, ``vec``, its length ``norm``); ``members``: up to
     ``spare`` least ids of a node; ``edges``: from ``u`` to its near ``v``."""
 
     nodes: DataFrame
@@ -143,8 +143,9 @@ def build(vectors: DataFrame, k: int = 16, rounds: int = 8, enough: float = 0.02
     better into the lists. The group of a node that very many list is split by hash into parts of about 48;
     nothing is left out. Rounds end when less than ``enough`` of all list entries change.
     """
-    classed = written(vectors.groupBy("vec").agg(F.min("id").alias("node"), F.count("*").alias("n")), "ann-classes")
-    nodes = classed.select(F.col("node").alias("id"), "vec")
+    norm = F.sqrt(_dot(F.col("vec"), F.col("vec"))).alias("norm")
+    classed = written(vectors.groupBy("vec").agg(F.min("id").alias("node"), F.count("*").alias("n")).select("node", "vec", "n", norm), "ann-classes")
+    nodes = classed.select(F.col("node").alias("id"), "vec", "norm")
     repeated = classed.where("n > 1").select("node", "vec")
     least = Window.partitionBy("node").orderBy("id")
     more = vectors.join(repeated, "vec").select("node", "id").distinct().withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= spare)
@@ -179,43 +180,56 @@ def build(vectors: DataFrame, k: int = 16, rounds: int = 8, enough: float = 0.02
     return Index(nodes, members, edges)
 
 
-def _cosine(a: Column, b: Column) -> Column:
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
 
 
 def search(index: Index, queries: DataFrame, k: int = 5, beam: int = 24, width: int = 8, rounds: int = 20) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score``: the nearest found, none of them the query itself.
 
-    ``queries`` has ``query_id``, ``vec`` and ``entry``, a node to begin at. A round scores, in double precision on the
-    vectors given, the neighbours of the best ``width`` nodes of each query's beam that were not walked yet;
-    a query is done when its ``beam`` best are walked. Ties go to the smaller id.
+    ``queries`` has ``query_id`` and ``entry``, the node of its vector, where it begins; equal queries walk once. A
+    round scores, in double precision on the vectors given, the neighbours of the best ``width`` nodes of each
+    walk's beam that were not walked yet; it is done when its ``beam`` best are walked. Ties go to the smaller id.
+    A walk is one row: the nodes it has met, at most ``rounds`` times ``width`` lists of them, and the best of these.
     """
-    nodes = index.nodes.select(F.col("id").alias("v"), F.col("vec").alias("there"))
-    asked = queries.select("query_id", "vec")
-    begin = queries.select("query_id", F.col("entry").alias("v"))
+    nodes = index.nodes.select(F.col("id").alias("v"), F.col("vec").alias("there"), F.col("norm").alias("there_norm"))
+    edges = index.edges.select("u", F.col("v").alias("w"))
+    ready = "array<struct<far:double,v:bigint,walked:boolean>>"
 
     def scored(pairs: DataFrame) -> DataFrame:
-        return pairs.join(nodes, "v").join(asked, "query_id").select("query_id", "v", _cosine(F.col("vec"), F.col("there")).alias("score"))
-
-    state = written(scored(begin).withColumn("walked", F.lit(False)), "ann-walk")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "v")
+        """One row for each walk with what it has met now; ``far`` is the cosine, turned round."""
+        cosine = _dot(F.col("vec"), F.col("there")) / (F.col("norm") * F.col("there_norm"))
+        met = F.struct((-cosine).alias("far"), "v", F.lit(False).alias("walked"))
+        return pairs.join(nodes, "v").select("entry", met.alias("met")).groupBy("entry").agg(F.collect_list("met").alias("met"))
+
+    def following(state: DataFrame) -> DataFrame:
+        """The state after what was met, with the nodes to walk next, which count as walked."""
+        met = F.coalesce("met", F.array().cast(ready))
+        best = F.slice(F.sort_array(F.concat("best", met)), 1, max(beam, k + 1))
+        state = state.select("entry", "vec", "norm", F.concat("seen", F.transform(met, lambda x: x.v)).alias("seen"), best.alias("best"))
+        open_ = F.slice(F.filter(F.slice("best", 1, beam), lambda x: ~x.walked), 1, width)
+        state = state.withColumn("turn", F.transform(open_, lambda x: x.v))
+        mark = F.transform("best", lambda x: F.struct(x.far.alias("far"), x.v.alias("v"), (x.walked | F.array_contains("turn", x.v)).alias("walked")))
+        return written(state.withColumn("best", mark), "ann-walk")
+
+    entries = queries.select("entry").distinct()
+    asked = written(index.nodes.join(entries, F.col("id") == F.col("entry")).select("entry", "vec", "norm", F.col("entry").alias("v")), "ann-asked")
+    begin = asked.select("entry", "vec", "norm", F.array().cast("array<bigint>").alias("seen"), F.array().cast(ready).alias("best"))
+    state = following(begin.join(scored(asked), "entry", "left"))
     for _ in range(rounds):
-        ranked = state.withColumn("rank", F.row_number().over(order))
-        turn = ranked.where((F.col("rank") <= beam) & ~F.col("walked"))
-        turn = turn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= width).select("query_id", "v")
-        turn = written(turn, "ann-turn")
-        if turn.isEmpty():
+        walking = state.where(F.size("turn") > 0)
+        if walking.isEmpty():
             break
-        near = turn.join(index.edges.withColumnRenamed("v", "w"), turn.v == F.col("u")).select("query_id", F.col("w").alias("v")).distinct()
-        near = near.join(state.select("query_id", "v"), ["query_id", "v"], "left_anti")
-        old = state.join(turn.withColumn("now", F.lit(True)), ["query_id", "v"], "left").select("query_id", "v", "score", (F.col("walked") | F.coalesce("now", F.lit(False))).alias("walked"))
-        state = written(old.union(scored(near).withColumn("walked", F.lit(False))), "ann-walk")
+        turn = walking.select("entry", F.explode("turn").alias("u"))
+        near = turn.join(edges, "u").groupBy("entry").agg(F.collect_set("w").alias("near"))
+        fresh = walking.join(near, "entry").select("entry", "vec", "norm", F.explode(F.array_except("near", "seen")).alias("v"))
+        state = following(state.join(scored(fresh), "entry", "left"))
     # A node stands for all rows with its vector; more of the least than asked for are never needed.
-    best = state.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1).drop("rank")
-    rows = best.join(index.members.withColumnRenamed("id", "vec_id"), F.col("v") == F.col("node")).where("vec_id <> query_id")
+    best = state.select("entry", F.explode(F.slice("best", 1, k + 1)).alias("x")).select("entry", F.col("x.v").alias("node"), (-F.col("x.far")).alias("score"))
+    found = best.join(index.members.withColumnRenamed("id", "vec_id"), "node")
+    first = Window.partitionBy("entry").orderBy(F.desc("score"), "vec_id")
+    found = found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k + 1).drop("rank")
+    rows = queries.join(found, "entry").where("vec_id <> query_id")
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return rows.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -230,5 +244,5 @@ def nearest(rows: DataFrame, id_col: str, vec_col: str, every: int = 50, k: int
     vectors = written(usable(rows, id_col, vec_col).distinct(), "ann-vectors")
     index = build(vectors, spare=k + 1, **options)
     nodes = index.nodes.select(F.col("vec"), F.col("id").alias("entry"))
-    queries = written(vectors.where(F.col("id") % every == 0).join(nodes, "vec").select(F.col("id").alias("query_id"), "vec", "entry").dropDuplicates(["query_id"]), "ann-queries")
+    queries = written(vectors.where(F.col("id") % every == 0).join(nodes, "vec").groupBy(F.col("id").alias("query_id")).agg(F.min("entry").alias("entry")), "ann-queries")
     return search(index, queries, k)
