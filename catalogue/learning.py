@@ -13,7 +13,7 @@ from linenet.operators import sampling as sp
 from linenet.session import scratch_path
 from linenet.sources.tables import checkpoint_table
 
-from .base import d6, query, r6
+from .base import QUERIES, d6, query, r6
 
 
 
@@ -272,7 +272,7 @@ def _(d):
 
     rows, ins = inventory(d), _inputs()
     fits = {}
-    for level in P.STATE_LEVELS[::2]:
+    for level in P.STATE_LEVELS:
         coded = rows.withColumn("code", recode_state(F.col("etat"), level.name))
         fits[level.name] = co.fit_completion(coded, "code", ins, "vec_id", "extra_trees", SMALL["extra_trees"], name="ExtraTrees")
     return co.complete_levels(rows, "etat", fits, ins, "vec_id")
@@ -295,13 +295,58 @@ def _(d):
     return out.select("vec_id", "material", "age", "state")
 
 
+MATERIAL_PARTS = f"""SELECT vec_id, CASE WHEN vec_id % 4 <> 0 THEN 'MAT' || class END AS known,
+  CASE WHEN vec_id % 4 <> 0 THEN 'original' WHEN ({PRESENT}) / 7.0 >= 0.7 THEN 'predict' ELSE 'excluded' END AS part FROM fx_features"""
+AGE_PARTS = """SELECT vec_id, CASE WHEN vec_id % 3 <> 0 AND class + 1 IN (2, 3, 4, 5) THEN class + 1 END AS known FROM fx_features"""
+STATE_PARTS = f"""SELECT vec_id, CASE WHEN vec_id % 5 <> 0 AND class IN (1, 2, 3, 4) THEN class END AS known,
+  CASE WHEN vec_id % 5 <> 0 AND class IN (1, 2, 3, 4) THEN 'original' WHEN ({PRESENT}) / 7.0 >= 0.5 THEN 'predict' ELSE 'excluded' END AS part FROM fx_features"""
+
+
+def _source_sql(part: str, model: str) -> str:
+    return f"CASE {part} WHEN 'original' THEN '{P.SOURCE_ORIGINAL}' WHEN 'predict' THEN '{P.SOURCE_PREDICTED}{model}' ELSE '{P.SOURCE_EXCLUDED}' END"
+
+
+def _settled(c: str) -> list:
+    """What does not depend on a model: values and confidence of known and left-out rows, provenance, and whether a value is there."""
+    source = F.col(f"{c}_source")
+    original = source == P.SOURCE_ORIGINAL
+    return [
+        F.when(original, F.col(c)).alias(f"{c}_known"), source,
+        F.when(~source.startswith(P.SOURCE_PREDICTED), F.col(f"{c}_confiance")).alias(f"{c}_sure"), F.col(c).isNotNull().alias(f"{c}_filled"),
+    ]
+
+
+@query("material_provenance", f"""WITH p AS ({MATERIAL_PARTS})
+  SELECT vec_id, known AS "Materiau_known", {_source_sql("part", "forest")} AS "Materiau_source",
+  CASE WHEN part = 'original' THEN CAST(1 AS DOUBLE) END AS "Materiau_sure", part <> 'excluded' AS "Materiau_filled" FROM p""")
+def _(d):
+    return QUERIES["complete_material"](d.spark, d.folder).select("vec_id", *_settled("Materiau"))
+
+
+@query("age_provenance", f"""WITH p AS (SELECT vec_id, known, CASE WHEN known IS NULL THEN 'predict' ELSE 'original' END AS part FROM ({AGE_PARTS}) q)
+  SELECT vec_id, known AS "classe_age_known", {_source_sql("part", "forest")} AS "classe_age_source",
+  CASE WHEN part = 'original' THEN CAST(1 AS DOUBLE) END AS "classe_age_sure", TRUE AS "classe_age_filled" FROM p""")
+def _(d):
+    return QUERIES["complete_age"](d.spark, d.folder).select("vec_id", *_settled("classe_age"))
+
+
+STATE_CODES = {"EDS_n1": "known", "EDS_n2": "CAST(known = 4 AS INTEGER)", "EDS_n3": "CAST(known >= 3 AS INTEGER)"}
+
+
+@query("state_provenance", f"WITH p AS ({STATE_PARTS}) SELECT vec_id, " + ", ".join(
+    f"""{code} AS "{c}_known", {_source_sql("part", "ExtraTrees")} AS "{c}_source",
+  CASE part WHEN 'original' THEN CAST(1 AS DOUBLE) WHEN 'excluded' THEN CAST(0 AS DOUBLE) END AS "{c}_sure", part <> 'excluded' AS "{c}_filled\""""
+    for c, code in STATE_CODES.items()) + " FROM p")
+def _(d):
+    return QUERIES["complete_state"](d.spark, d.folder).select("vec_id", *(x for c in STATE_CODES for x in _settled(c)))
+
+
 @query("experiment_grid")
 def _(d):
     from linenet.plans.experiment import best_models, run_grid
 
-    kinds = {k: SMALL[k] for k in ("forest", "tree")}
     results = run_grid(
-        inventory(d), {"etat": True, "autre": False}, [P.STATE_LEVELS[0].name, P.STATE_LEVELS[2].name], kinds, _inputs(),
+        inventory(d), {"etat": True, "autre": False}, [level.name for level in P.STATE_LEVELS], SMALL, _inputs(),
         "vec_id", scratch_path(d.spark, "results"), balance=True,
     )
     best = best_models(results).select("target", "level", F.col("model").alias("best"))

@@ -66,7 +66,8 @@ def run_grid(
     """Every active target, level and learner; results are appended to one table as they come.
 
     ``kinds`` maps a learner to its settings, ``search`` to a space it is tuned over. A
-    failing cell is recorded and the rest goes on; an absent target is an error. The
+    failing cell is recorded and the rest goes on, and so is every cell of a level that can't be
+    prepared; an absent target is an error. AdaBoost takes no class weights. The
     driver loops over the cells only: preparing, fitting and scoring are Spark jobs.
     """
     spark = df.sparkSession
@@ -75,8 +76,14 @@ def run_grid(
         raise ValueError(f"target columns not found: {absent}")
     for target in (t for t, on in targets.items() if on):
         for level in levels:
-            learn, test = prepare(df, target, level, features, id_col, balance=balance)
-            weighted = checkpoint_table(en.with_weights(learn, "label"), scratch_path(spark, "weighted"))
+            start = time.time()
+            try:
+                learn, test = prepare(df, target, level, features, id_col, balance=balance)
+                weighted = checkpoint_table(en.with_weights(learn, "label"), scratch_path(spark, "weighted"))
+            except Exception as e:  # noqa: BLE001 - one failing level must not stop the grid
+                rows = [(target, level, kind, None, None, None, None, None, time.time() - start, f"failed: {type(e).__name__}") for kind in kinds]
+                append_results(spark.createDataFrame(rows, RESULT), path, ["target", "level"])
+                continue
             for kind, params in kinds.items():
                 start = time.time()
                 try:

@@ -75,16 +75,16 @@ def test_completion_never_changes_originals(spark, folder, data):
 def test_levels(spark, folder, data):
     before = {r["vec_id"]: r["etat"] for r in inventory(data).collect()}
     after = QUERIES["complete_state"](spark, folder).collect()
-    assert len(after) == len(before) and "EDS_n2" not in after[0]
+    assert len(after) == len(before)
     for r in after:
         old = before[r["vec_id"]]
         assert r["etat"] == old
         if old is not None:
-            assert (r["EDS_n1"], r["EDS_n3"], r["EDS_n1_confiance"]) == (old, int(old >= 3), 1.0)
+            assert (r["EDS_n1"], r["EDS_n2"], r["EDS_n3"], r["EDS_n1_confiance"]) == (old, int(old == 4), int(old >= 3), 1.0)
         elif r["EDS_n1_source"] == P.SOURCE_EXCLUDED:
             assert (r["EDS_n1"], r["EDS_n1_confiance"]) == (None, 0.0)
         else:
-            assert r["EDS_n1"] in (1, 2, 3, 4) and r["EDS_n3"] in (0, 1)
+            assert r["EDS_n1"] in (1, 2, 3, 4) and r["EDS_n2"] in (0, 1) and r["EDS_n3"] in (0, 1)
 
 
 def test_grid_isolates_failures(spark, data):
@@ -102,6 +102,13 @@ def test_grid_query_all_cells_ok(spark, folder):
     assert {r["status"] for r in QUERIES["experiment_grid"](spark, folder).collect()} == {"ok"}
 
 
+def test_grid_goes_on_after_a_bad_level(spark, data):
+    ins = co.Features(FEATURES, ["kind"])
+    out = ex.run_grid(inventory(data), {"etat": True}, ["no such level", P.STATE_LEVELS[2].name], {"tree": {"maxDepth": 3}}, ins, "vec_id", scratch_path(spark, "r"))
+    got = {r["level"]: r["status"] for r in out.collect()}
+    assert got["no such level"].startswith("failed") and got[P.STATE_LEVELS[2].name] == "ok"
+
+
 def test_split_before_learning(spark, data):
     ins = co.Features(FEATURES, ["kind"])
     learn, test = ex.prepare(inventory(data), "etat", P.STATE_LEVELS[0].name, ins, "vec_id", balance=True)
