@@ -86,6 +86,29 @@ def _(d):
     return again.select("seg_id", up["x"].alias("x0"), up["y"].alias("y0"), down["x"].alias("x1"), down["y"].alias("y1"), "doubled")
 
 
+@query("polygon_layer", """SELECT seg_id, CASE WHEN effluent_raw = 'EU' THEN 6 ELSE 3 END AS kind,
+  CASE WHEN effluent_raw = 'EU' THEN 3 ELSE 2 END AS n_rings, x0 - 10 AS xmin, y0 - 10 AS ymin,
+  x0 + CASE WHEN effluent_raw = 'EU' THEN 25 ELSE 10 END AS xmax, y0 + 10 AS ymax,
+  FALSE AS in_hole, TRUE AS in_shell, effluent_raw IS NOT DISTINCT FROM 'EU' AS in_second FROM fx_segments""")
+def _(d):
+    """Areas with a hole, some of two parts, stay areas in a layer."""
+    x, y = F.col("x0"), F.col("y0")
+    rings = F.concat(geo.box_ring(x - 10, y - 10, x + 10, y + 10), geo.box_ring(x - 1, y - 1, x + 1, y + 1))
+    second = F.col("effluent_raw").eqNullSafe("EU")
+    both = F.when(second, F.concat(rings, geo.box_ring(x + 20, y, x + 25, y + 5))).otherwise(rings)
+    path = scratch_path(d.spark, "areas")
+    ly.write_layer(d.view("fx_segments").select("seg_id", "x0", "y0", both.alias("geom")), path, polygons=True)
+    kind = F.conv(F.hex(F.substring("wkb", 2, 1)), 16, 10).cast("int").alias("kind")
+    kinds = d.spark.read.parquet(path).select("seg_id", kind)
+    read = ly.read_layer(d.spark, path)
+    box, g = geo.bbox(F.col("geom")), F.col("geom")
+    return kinds.join(read, "seg_id").select(
+        "seg_id", "kind", F.size(g).alias("n_rings"), *(box[c].alias(c) for c in ("xmin", "ymin", "xmax", "ymax")),
+        geo.point_in_polygon(x, y, g).alias("in_hole"), geo.point_in_polygon(x + 5, y + 5, g).alias("in_shell"),
+        geo.point_in_polygon(x + 22, y + 2, g).alias("in_second"),
+    )
+
+
 # ---------------------------------------------------------------- many sources
 
 SCAN_TYPES = {"Materiau": "string", "Longueur": "double", "Pente": "double", "Age": "string"}

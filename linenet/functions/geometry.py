@@ -292,8 +292,12 @@ def to_wkt(g: Column) -> Column:
 
 
 def parse_wkt(c: Column) -> Column:
-    """LINESTRING, MULTILINESTRING and POLYGON text to the array type; null for anything else."""
-    kinds = r"^(MULTILINESTRING|LINESTRING|POLYGON)\s*(Z\s*)?"
+    """POINT, LINESTRING, POLYGON, MULTILINESTRING and MULTIPOLYGON text to the array type; null for anything else.
+
+    Z and M are left out; the rings of a multi-polygon follow one another, since a place is inside if
+    an odd number of rings is round it.
+    """
+    kinds = r"^(MULTIPOLYGON|MULTILINESTRING|LINESTRING|POLYGON|POINT)\s*(ZM|Z|M)?\s*"
 
     def point(v: Column) -> Column:
         return once(
@@ -302,9 +306,9 @@ def parse_wkt(c: Column) -> Column:
         )
 
     def read(text: Column) -> Column:
-        inner = F.regexp_replace(F.regexp_replace(text, kinds, ""), r"^\(\s*\(?|\)?\s*\)$", "")
+        inner = F.regexp_replace(F.regexp_replace(text, kinds, ""), r"^[\s(]+|[\s)]+$", "")
         parts = F.transform(
-            F.split(inner, r"\s*\)\s*,\s*\(\s*"), lambda p: F.transform(F.split(p, r"\s*,\s*"), point)
+            F.split(inner, r"\)[\s)]*,[\s(]*\("), lambda p: F.transform(F.split(p, r"\s*,\s*"), point)
         )
         return F.when(text.rlike(kinds + "EMPTY$"), F.array().cast(GEOM)).when(text.rlike(kinds + r"\("), parts)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,72 +14,141 @@ from ..functions.geometry import GEOM
 from ..session import scratch_path
 from .tables import checkpoint_table
 
-# Geometry type codes of well-known binary.
-LINE, POLYGON, MULTI_LINE = 2, 3, 5
-
-
-def _read_points(data: bytes, at: int, order: str) -> tuple[list[dict], int]:
-    (n,) = struct.unpack_from(order + "I", data, at)
-    flat = struct.unpack_from(f"{order}{2 * n}d", data, at + 4)
-    return [{"x": x, "y": y} for x, y in zip(flat[::2], flat[1::2])], at + 4 + 16 * n
-
-
-def _decode(data: bytes | None) -> list | None:
-    """Parts of a line, or rings of a polygon; null for other types."""
-    if data is None:
-        return None
-    order = "<" if data[0] == 1 else ">"
-    (kind,) = struct.unpack_from(order + "I", data, 1)
-    if kind == LINE:
-        return [_read_points(data, 5, order)[0]]
-    if kind not in (POLYGON, MULTI_LINE):
-        return None
-    (n,) = struct.unpack_from(order + "I", data, 5)
-    parts, at = [], 9
-    for _ in range(n):
-        if kind == MULTI_LINE:
-            at += 5
-        points, at = _read_points(data, at, order)
-        parts.append(points)
-    return parts
-
-
-def _encode(parts: list | None) -> bytes | None:
+# Geometry type codes of well-known binary, the flags of its extended form, and the
+# further coordinates that the thousands of a code stand for.
+POINT, LINE, POLYGON, MULTI_LINE, MULTI_POLYGON = 1, 2, 3, 5, 6
+HAS_Z, HAS_M, HAS_SRID = 0x80000000, 0x40000000, 0x20000000
+MORE = {0: 0, 1: 1, 2: 1, 3: 2}
+
+
+def _read(data: bytes, at: int, parts: list[np.ndarray]) -> int:
+    """Add the parts of the geometry at a place, as rows of x and y; the place behind it.
+
+    Other types and broken values raise ``ValueError`` or ``struct.error``.
+    """
+    order = "<" if data[at] == 1 else ">"
+    (code,) = struct.unpack_from(order + "I", data, at + 1)
+    at += 9 if code & HAS_SRID else 5
+    plain = code & ~(HAS_Z | HAS_M | HAS_SRID)
+    kind, more = plain % 1000, MORE.get(plain // 1000)
+    if more is None or kind not in (POINT, LINE, POLYGON, MULTI_LINE, MULTI_POLYGON):
+        raise ValueError(f"geometry type {code}")
+    dims = 2 + (more or bool(code & HAS_Z) + bool(code & HAS_M))
+
+    def vertices(n: int) -> None:
+        nonlocal at
+        parts.append(np.frombuffer(data, order + "f8", n * dims, at).reshape(n, dims)[:, :2])
+        at += 8 * dims * n
+
+    def count() -> int:
+        nonlocal at
+        at += 4
+        return struct.unpack_from(order + "I", data, at - 4)[0]
+
+    if kind == POINT:
+        vertices(1)
+        if np.isnan(parts[-1]).all():  # an empty point
+            parts.pop()
+    elif kind == LINE:
+        vertices(count())
+    elif kind == POLYGON:
+        for _ in range(count()):
+            vertices(count())
+    else:
+        for _ in range(count()):
+            at = _read(data, at, parts)
+    return at
+
+
+def _decode(column: pa.Array) -> pa.Array:
+    """Lines as parts, polygons as rings, a point as one part of one vertex; null for other types and broken values."""
+    xy: list[np.ndarray] = []
+    ends, missing = [0], []
+    for data in column.to_pylist():
+        parts: list[np.ndarray] = []
+        try:
+            missing.append(data is None or not _read(data, 0, parts))
+        except (ValueError, IndexError, struct.error):
+            missing.append(True)
+        xy += [] if missing[-1] else parts
+        ends.append(len(xy))
+    flat = np.concatenate([np.zeros((0, 2)), *xy])
+    inner = np.concatenate([[0], np.cumsum([len(v) for v in xy])]).astype(np.int32)
+    points = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, i])) for i in (0, 1)], ["x", "y"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.ListArray.from_arrays(pa.array(inner), points), mask=pa.array(missing, pa.bool_()))
+
+
+def _parts_of(column: pa.Array) -> Iterator[list[np.ndarray] | None]:
+    """The parts of each geometry as rows of x and y."""
+    rings = column.flatten()
+    points = rings.flatten()
+    xy = np.stack([points.field(i).to_numpy(zero_copy_only=False).astype("<f8") for i in (0, 1)], axis=1)
+    cuts = np.concatenate([[0], np.cumsum(rings.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(int)
+    at = 0
+    for n in column.value_lengths().to_pylist():
+        yield None if n is None else [xy[cuts[i] : cuts[i + 1]] for i in range(at, at + n)]
+        at += n or 0
+
+
+def _head(kind: int, n: int) -> bytes:
+    return struct.pack("<BII", 1, kind, n)
+
+
+def _line_bytes(parts: list[np.ndarray]) -> bytes:
     """One part as a line, any other number as a multi-line."""
-    if parts is None:
-        return None
-    lines = []
-    for part in parts:
-        flat = [v for p in part for v in (p["x"], p["y"])]
-        lines.append(struct.pack(f"<BII{len(flat)}d", 1, LINE, len(part), *flat))
-    return lines[0] if len(lines) == 1 else struct.pack("<BII", 1, MULTI_LINE, len(lines)) + b"".join(lines)
+    lines = [_head(LINE, len(p)) + p.tobytes() for p in parts]
+    return lines[0] if len(lines) == 1 else _head(MULTI_LINE, len(lines)) + b"".join(lines)
+
+
+def _around(ring: np.ndarray, x: float, y: float) -> bool:
+    """Whether a ring runs round a point."""
+    a, b = ring[:-1], ring[1:]
+    cross = (a[:, 1] > y) != (b[:, 1] > y)
+    a, b = a[cross], b[cross]
+    return bool((a[:, 0] + (y - a[:, 1]) / (b[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0]) > x).sum() % 2)
+
+
+def _polygon_bytes(rings: list[np.ndarray]) -> bytes:
+    """Rings with an even number of others round them are shells; one shell is a polygon, any other number a multi-polygon."""
+    middle = [(r[0] + r[min(1, len(r) - 1)]) / 2 if len(r) else np.zeros(2) for r in rings]
+    round_it = [[j for j, other in enumerate(rings) if j != i and _around(other, *middle[i])] for i in range(len(rings))]
+    shells = {i: [i] for i, others in enumerate(round_it) if len(others) % 2 == 0}
+    for i, others in enumerate(round_it):
+        if i not in shells:
+            shells[max((j for j in others if j in shells), key=lambda j: len(round_it[j]))].append(i)
+    made = [_head(POLYGON, len(own)) + b"".join(struct.pack("<I", len(rings[i])) + rings[i].tobytes() for i in own) for own in shells.values()]
+    return made[0] if len(made) == 1 else _head(MULTI_POLYGON, len(made)) + b"".join(made)
 
 
 def _swap_column(df: DataFrame, old: str, new: str, kind: str, fn) -> DataFrame:
     """Replace one column batch by batch; the others pass through untouched."""
     keep = [f for f in df.schema.fields if f.name != old]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [f"`{new}` {kind}"])
-    arrow = {
-        "binary": pa.binary(),
-        GEOM: pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))),
-    }[kind]
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(old)
-            made = pa.array([fn(v) for v in batch.column(at).to_pylist()], arrow)
             names = [n for n in batch.schema.names if n != old] + [new]
-            yield pa.RecordBatch.from_arrays([c for i, c in enumerate(batch.columns) if i != at] + [made], names=names)
+            yield pa.RecordBatch.from_arrays([c for i, c in enumerate(batch.columns) if i != at] + [fn(batch.column(at))], names=names)
 
     return df.mapInArrow(convert, schema)
 
 
 def parse_wkb(df: DataFrame, c: str = "wkb", out: str = "geom") -> DataFrame:
+    """Points, lines and polygons, single or (but for points) multiple, with or without Z and M, which are left out."""
     return _swap_column(df, c, out, GEOM, _decode)
 
 
-def to_wkb(df: DataFrame, c: str = "geom", out: str = "wkb") -> DataFrame:
-    return _swap_column(df, c, out, "binary", _encode)
+def undecoded(df: DataFrame, c: str = "wkb") -> DataFrame:
+    """``start`` (the first five bytes: byte order and type) and ``n`` of the values that ``parse_wkb`` makes null."""
+    told = parse_wkb(df.select(F.col(c).alias("wkb"), F.hex(F.substring(F.col(c), 1, 5)).alias("start")))
+    return told.where(F.col("start").isNotNull() & F.col("geom").isNull()).groupBy("start").agg(F.count("*").alias("n"))
+
+
+def to_wkb(df: DataFrame, c: str = "geom", out: str = "wkb", polygons: bool = False) -> DataFrame:
+    """Lines, or with ``polygons`` the areas that the rings enclose."""
+    coded = _polygon_bytes if polygons else _line_bytes
+    return _swap_column(df, c, out, "binary", lambda column: pa.array([None if p is None else coded(p) for p in _parts_of(column)], pa.binary()))
 
 
 def read_layer(spark: SparkSession, path: str, layer: str | None = None, geometry: bool = True) -> DataFrame:
@@ -87,13 +157,13 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, geometr
     return parse_wkb(df) if geometry else df.drop("wkb")
 
 
-def write_layer(df: DataFrame, path: str, layer: str | None = None) -> None:
-    """Write or replace one layer.
+def write_layer(df: DataFrame, path: str, layer: str | None = None, polygons: bool = False) -> None:
+    """Write or replace one layer; ``polygons`` says that ``geom`` holds rings.
 
-    The rows are first written to a new place, so a layer can be replaced by something
-    computed from it, and a failure leaves either the old or a whole new copy.
+    The rows are first written to the shared folder, so a layer can be replaced by something
+    computed from it; if the second write fails, that whole new copy is still there.
     """
     where = f"{path}/{layer}" if layer else path
-    coded = to_wkb(df) if "geom" in df.columns else df
+    coded = to_wkb(df, polygons=polygons) if "geom" in df.columns else df
     staged = checkpoint_table(coded, scratch_path(df.sparkSession, "layer"))
     staged.write.mode("overwrite").parquet(where)

@@ -1,8 +1,11 @@
 """Sources and sinks: bad inputs, fallbacks and replacement."""
 
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
+from linenet.functions.geometry import parse_wkt
 from linenet.session import scratch_path, shared_root
 from linenet.sources import artifacts as ar
 from linenet.sources import catalogs as ct
@@ -85,3 +88,46 @@ def test_class_edges_takes_every_row(spark):
     assert len(edges) == 12_000 and labels[-1] == "12000"
     with pytest.raises(ValueError):
         tb.class_edges(sheet, "max", "label", most=100)
+
+
+def test_kinds_of_binary_geometry(spark):
+    """Flags and thousands for Z and M, both byte orders, points and several polygons; others are counted."""
+    def packed(order, code, *rest):
+        return struct.pack(f"{order}BI", order == "<", code) + b"".join(rest)
+
+    def run(order, *values, n=None):
+        return struct.pack(f"{order}I", n if n is not None else len(values)) + struct.pack(f"{order}{len(values)}d", *values)
+
+    box = [0.0, 0.0, 4.0, 0.0, 4.0, 4.0, 0.0, 4.0, 0.0, 0.0]
+    far = [v + 10 for v in box]
+    hole = [v / 4 + 1 for v in box]
+    poly = packed("<", 3, struct.pack("<I", 2), run("<", *box, n=5), run("<", *hole, n=5))
+    rows = {
+        "point": packed("<", 1, struct.pack("<2d", 1, 2)), "point z": packed(">", 1001, struct.pack(">3d", 1, 2, 3)),
+        "line z": packed("<", 1002, run("<", 1, 2, 9, 3, 4, 9, n=2)), "line m": packed(">", 2002, run(">", 1, 2, 9, 3, 4, 9, n=2)),
+        "line zm": packed("<", 3002, run("<", 1, 2, 8, 9, 3, 4, 8, 9, n=2)),
+        "flags": packed("<", 2 | 0x80000000 | 0x20000000, struct.pack("<I", 2154), run("<", 1, 2, 9, 3, 4, 9, n=2)),
+        "areas": packed("<", 6, struct.pack("<I", 2), poly, packed("<", 3, struct.pack("<I", 1), run("<", *far, n=5))),
+        "collection": packed("<", 7, struct.pack("<I", 0)), "short": packed("<", 2, run("<", 1, 2, n=3)), "none": None, "empty": b"",
+    }
+    df = spark.createDataFrame([(k, None if v is None else bytearray(v)) for k, v in rows.items()], "name string, wkb binary")
+    got = {r["name"]: r["geom"] and [[(p.x, p.y) for p in part] for part in r["geom"]] for r in ly.parse_wkb(df).collect()}
+    pairs = lambda flat: list(zip(flat[::2], flat[1::2], strict=True))
+    assert got["point"] == got["point z"] == [[(1, 2)]]
+    assert all(got[k] == [[(1, 2), (3, 4)]] for k in ("line z", "line m", "line zm", "flags"))
+    assert got["areas"] == [pairs(box), pairs(hole), pairs(far)]
+    assert all(got[k] is None for k in ("collection", "short", "none", "empty"))
+    assert {r["start"]: r["n"] for r in ly.undecoded(df).collect()} == {"0107000000": 1, "0102000000": 1, "": 1}
+    back = ly.to_wkb(ly.parse_wkb(df.where("name = 'areas'")), polygons=True).first()["wkb"]
+    assert bytes(back) == rows["areas"]
+
+
+def test_kinds_of_text_geometry(spark):
+    texts = {
+        "POINT Z (1 2 3)": [[(1, 2)]], "LINESTRING ZM (1 2 3 4, 5 6 7 8)": [[(1, 2), (5, 6)]], "linestring m(1 2 3,5 6 7)": [[(1, 2), (5, 6)]],
+        "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0), (2 2, 3 2, 3 3, 2 2)), ((7 7, 8 7, 8 8, 7 7)))": [[(a, a), (a + 1, a), (a + 1, a + 1), (a, a)] for a in (0, 2, 7)],
+        "MULTIPOLYGON EMPTY": [], "CIRCULARSTRING (1 2, 3 4, 5 6)": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_wkt(F.col("t")).alias("g"))
+    got = {r["t"]: r["g"] if r["g"] is None else [[(p.x, p.y) for p in part] for part in r["g"]] for r in df.collect()}
+    assert got == texts
