@@ -5,12 +5,14 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
@@ -168,9 +170,23 @@ def predict_with_confidence(model, df: DataFrame, pred: str = "prediction", conf
     return out.drop("rawPrediction", "probability")
 
 
+def importances(model) -> np.ndarray:
+    """Importance of each feature; they add up to 1, or are all 0 if no tree splits.
+
+    Boosted stumps count by their votes, classes learnt one against the rest all alike.
+    """
+    if isinstance(model, AdaptiveBoostModel):
+        made = sum(vote * importances(tree) for tree, vote in zip(model.trees, model.votes))
+    elif isinstance(model, OneVsRestModel):
+        made = sum(importances(one) for one in model.models)
+    else:
+        made = model.featureImportances.toArray()
+    return made / (made.sum() or 1.0)
+
+
 def importance_table(model, names: Sequence[str], spark) -> DataFrame:
     """Importance per feature with its rank, the largest first."""
-    values = model.featureImportances.toArray().tolist()
+    values = importances(model).tolist()
     order = sorted(range(len(names)), key=lambda i: (-values[i], names[i]))
     return spark.createDataFrame(
         [(names[i], float(values[i]), r + 1) for r, i in enumerate(order)], "feature string, importance double, rank int"

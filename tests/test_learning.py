@@ -53,6 +53,13 @@ def test_artifacts(spark, folder):
     assert len(rows) == 500 and all(r["prediction"] == r["stored"] for r in rows)
 
 
+@pytest.mark.parametrize("kind", ["boosting", "adaboost", "tree"])
+def test_importances_of_other_learners(spark, data, kind):
+    table = md.importance_table(md.train(ready(data), kind, SMALL[kind]), FEATURES, spark).orderBy("rank").collect()
+    assert [r["rank"] for r in table] == list(range(1, len(FEATURES) + 1))
+    assert sum(r["importance"] for r in table) == pytest.approx(1) and table[0]["importance"] >= table[-1]["importance"] >= 0
+
+
 def test_completion_never_changes_originals(spark, folder, data):
     before = {r["vec_id"]: r for r in inventory(data).collect()}
     for name, target, known in (
