@@ -65,6 +65,7 @@ def run_grid(
 ) -> DataFrame:
     """Every active target, level and learner; results are appended to one table as they come.
 
+    What an earlier run left in the table goes first.
     ``kinds`` maps a learner to its settings, ``search`` to a space it is tuned over. A
     failing cell is recorded and the rest goes on, and so is every cell of a level that can't be
     prepared; an absent target is an error. AdaBoost takes no class weights. The
@@ -74,6 +75,7 @@ def run_grid(
     absent = [t for t, on in targets.items() if on and t not in df.columns]
     if absent:
         raise ValueError(f"target columns not found: {absent}")
+    spark.createDataFrame([], RESULT).write.mode("overwrite").partitionBy("target", "level").parquet(path)
     for target in (t for t, on in targets.items() if on):
         for level in levels:
             start = time.time()

@@ -111,9 +111,12 @@ def test_grid_query_all_cells_ok(spark, folder):
 
 def test_grid_goes_on_after_a_bad_level(spark, data):
     ins = co.Features(FEATURES, ["kind"])
-    out = ex.run_grid(inventory(data), {"etat": True}, ["no such level", P.STATE_LEVELS[2].name], {"tree": {"maxDepth": 3}}, ins, "vec_id", scratch_path(spark, "r"))
+    path = scratch_path(spark, "r")
+    for _ in range(2):
+        assert ex.run_grid(inventory(data), {"etat": True}, ["no such level"], {"tree": {"maxDepth": 3}}, ins, "vec_id", path).count() == 1
+    out = ex.run_grid(inventory(data), {"etat": True}, ["no such level", P.STATE_LEVELS[2].name], {"tree": {"maxDepth": 3}}, ins, "vec_id", path)
     got = {r["level"]: r["status"] for r in out.collect()}
-    assert got["no such level"].startswith("failed") and got[P.STATE_LEVELS[2].name] == "ok"
+    assert out.count() == 2 and got["no such level"].startswith("failed") and got[P.STATE_LEVELS[2].name] == "ok"
 
 
 def test_split_before_learning(spark, data):
