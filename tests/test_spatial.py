@@ -24,7 +24,8 @@ def test_wkt_kinds(spark):
                         "POLYGON ((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 1))"])
     rows = {r["id"]: r for r in out.withColumn("n", geo.line_length(F.col("geom"))).withColumn("ok", geo.is_line(F.col("geom"))).collect()}
     assert rows[0]["n"] == 5.0 and rows[1]["n"] == 3.0 and rows[1]["ok"]
-    assert rows[2]["geom"] is None and rows[3]["geom"] == [] and rows[4]["geom"] is None
+    assert [[(v.x, v.y) for v in part] for part in rows[2]["geom"]] == [[(1.0, 2.0)]]
+    assert rows[3]["geom"] == [] and rows[4]["geom"] is None
     assert [rows[i]["ok"] for i in (2, 3, 4)] == [False] * 3
     assert [len(ring) for ring in rows[5]["geom"]] == [4, 4]
 
