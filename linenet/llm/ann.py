@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from linenet.llm.scratch import written
 
 BLOCK = 2048
-GROUP = 48
+GROUP = 128
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -134,13 +134,13 @@ class Index:
     edges: DataFrame
 
 
-def build(vectors: DataFrame, k: int = 16, rounds: int = 8, enough: float = 0.02, spare: int = 6) -> Index:
+def build(vectors: DataFrame, k: int = 40, rounds: int = 8, enough: float = 0.002, spare: int = 6) -> Index:
     """NN-descent over all distinct vectors.
 
     Equal vectors are one node. Lists begin with the nearest inside two blocks of about 2 048 vectors, dealt by
     two hashes of the id. A round joins every node's list and those that list it with
     their vectors, compares the members of a group with each other (neighbours of neighbours) and merges what is
-    better into the lists. The group of a node that very many list is split by hash into parts of about 48;
+    better into the lists. The group of a node that very many list is split by hash into parts of about 128;
     nothing is left out. Rounds end when less than ``enough`` of all list entries change.
     """
     norm = F.sqrt(_dot(F.col("vec"), F.col("vec"))).alias("norm")
@@ -168,7 +168,7 @@ def build(vectors: DataFrame, k: int = 16, rounds: int = 8, enough: float = 0.02
         dealt = both.join(size, "pivot").withColumn("part", F.pmod(F.xxhash64("v", "pivot"), F.ceil(F.col("n") / GROUP)))
         told = vec.join(least_.withColumnRenamed("u", "v"), "v", "left").withColumn("least", F.coalesce("least", F.lit(-2.0).cast("float")))
         groups = dealt.join(told, "v").groupBy("pivot", "part").agg(F.collect_list(F.struct("v", "least", "new", "half")).alias("members"))
-        found = groups.select("members").mapInArrow(_local_join(k // 2), "u long, v long, sim float").withColumn("new", F.lit(True))
+        found = groups.select("members").mapInArrow(_local_join(k // 4), "u long, v long, sim float").withColumn("new", F.lit(True))
         old = graph.select("u", "v", "sim", F.lit(False).alias("new"))
         graph = written(_top(old.union(found), k), "ann-graph")
         changed = graph.agg(F.avg(F.col("new").cast("int"))).first()[0]
@@ -184,7 +184,7 @@ def _dot(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
 
 
-def search(index: Index, queries: DataFrame, k: int = 5, beam: int = 24, width: int = 8, rounds: int = 20) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int = 5, beam: int = 200, width: int = 32, rounds: int = 20) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score``: the nearest found, none of them the query itself.
 
     ``queries`` has ``query_id`` and ``entry``, the node of its vector, where it begins; equal queries walk once. A
