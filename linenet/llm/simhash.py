@@ -121,6 +121,13 @@ def near_groups(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFrame:
     return _grouped(docs.select("doc_id", "text"), radius, size).select("doc_id", "fingerprint", "component_id")
 
 
+def without(told: DataFrame, gone: DataFrame, columns: list[str]) -> DataFrame:
+    """One row for each ``doc_id`` and ``_text`` that isn't among those gone."""
+    gone = written(gone.select("doc_id", "_text").distinct(), "near-copies")
+    rank = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("doc_id", "_text"))
+    return told.join(gone, ["doc_id", "_text"], "left_anti").withColumn("_text_rank", rank).where("_text_rank = 1").select(*columns)
+
+
 def keep_one(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFrame:
     """The rows of ``docs`` without those whose ``doc_id`` isn't the least of their component.
 
@@ -129,7 +136,4 @@ def keep_one(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFrame:
     Columns are those of ``docs``; names that begin with ``_text`` are reserved.
     """
     told = docs.withColumn("_text", F.xxhash64("text"))
-    gone = _grouped(told.select("doc_id", "_text", "text"), radius, size).where("doc_id <> component_id")
-    gone = written(gone.select("doc_id", "_text").distinct(), "near-copies")
-    rank = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("doc_id", "_text"))
-    return told.join(gone, ["doc_id", "_text"], "left_anti").withColumn("_text_rank", rank).where("_text_rank = 1").select(*docs.columns)
+    return without(told, _grouped(told.select("doc_id", "_text", "text"), radius, size).where("doc_id <> component_id"), docs.columns)
