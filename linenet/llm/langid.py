@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from linenet.llm import text as T
+from linenet.llm.scratch import written
 
 ORDERS = (1, 2, 3, 4)
 WIDTH = 1 << 12
@@ -86,9 +87,13 @@ def fit(labelled: DataFrame, rows_each: int = 500, max_classes: int = 1000, n_la
         raise ValueError(f"more than {max_classes} languages")
     if not classes:
         return None
+    hashed = usable.withColumn("_h", F.xxhash64("text"))
     least = Window.partitionBy("lang").orderBy("_h")
-    chosen = usable.withColumn("_h", F.xxhash64("text")).withColumn("_rank", F.row_number().over(least)).where(F.col("_rank") <= rows_each)
-    found = chosen.select("lang", "_h", "text").mapInArrow(_rows_of_grams, "lang string, h long, grams array<int>").orderBy("lang", "h").toArrow().combine_chunks()
+    once = hashed.select("lang", "_h").distinct().withColumn("_rank", F.row_number().over(least)).where(F.col("_rank") <= rows_each)
+    # Stored first, so that Spark knows how few they are and doesn't move the texts for the join.
+    once = written(once.select("lang", "_h"), "chosen-texts")
+    chosen = hashed.join(once, ["lang", "_h"]).groupBy("lang", "_h").agg(F.min("text").alias("text"))
+    found = chosen.mapInArrow(_rows_of_grams, "lang string, h long, grams array<int>").orderBy("lang", "h").toArrow().combine_chunks()
     grams = found.column("grams").combine_chunks()
     sizes = np.diff(grams.offsets.to_numpy())
     labels = np.searchsorted(np.array(classes, object), np.array(found.column("lang").to_pylist(), object))
