@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linenet.llm import ann, langid, linededup, mixing, negatives, packing, pii, quality, simhash, urlfilter, warc
+from linenet.llm import ann, langid, linededup, mixing, negatives, packing, pii, quality, resample, simhash, urlfilter, warc
 from linenet.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,32 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), "vec_id", "embedding", "label", F.col("id") % 100 == 0)
+
+
+_ALNUM = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_FEATURES = "unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature"
+
+
+@query(
+    "op12_importance_resampling",
+    f"""WITH RECURSIVE tab(i, v, k) AS (SELECT i, i, 0 FROM range(256) t(i) UNION ALL SELECT i, xor(v >> 1, 3988292384 * (v & 1)), k + 1 FROM tab WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM tab WHERE k = 8),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_ALNUM}, []) AS w FROM documents),
+items AS (SELECT {_ALNUM} AS w FROM benchmark),
+f AS (SELECT r, {_FEATURES} FROM docs), g AS (SELECT {_FEATURES} FROM items),
+names AS (SELECT feature, hex(encode(feature)) AS h FROM (SELECT feature FROM f UNION SELECT feature FROM g)),
+told AS (SELECT feature, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, (2 * i + 1)::INTEGER, 2))::BIGINT),
+  lambda c, b: xor(c >> 8, t[1 + xor(c & 255, b)]), 4294967295), 4294967295) % 10000 AS bucket FROM names, crc),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN told USING (feature) GROUP BY bucket), t AS (SELECT bucket, count(*) AS t FROM g JOIN told USING (feature) GROUP BY bucket),
+gains AS (SELECT s.bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + 10000)::DOUBLE) / ((s + 1)::DOUBLE * ((SELECT count(*) FROM g) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t ON t.bucket = s.bucket),
+n AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS total FROM f JOIN told USING (feature) JOIN gains USING (bucket) GROUP BY r),
+w AS (SELECT r, doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE 0 END AS weight FROM docs LEFT JOIN n USING (r)),
+v AS (SELECT *, weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM w),
+d AS (SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST, n_words, n_features) END AS place FROM v)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score,
+  CASE WHEN place <= (SELECT count(*) FROM v WHERE n_words >= 20) * 25 // 100 THEN place END::BIGINT AS rank FROM d""",
+)
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    told = resample.resample(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark").select("text"))
+    return told.select("doc_id", "n_features", "weight", "score", "rank")
