@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linenet.llm import ann, langid, linededup, mixing, negatives, packing, pii, quality, resample, simhash, urlfilter, warc
+from linenet.llm import ann, decontaminate, langid, linededup, mixing, negatives, packing, pii, quality, resample, simhash, urlfilter, warc
 from linenet.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,19 @@ SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score
 def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     told = resample.resample(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark").select("text"))
     return told.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(
+    "op13_decontamination",
+    f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_ALNUM}, []) AS w FROM documents), items AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+hits AS (SELECT r, i, d.n, item_id FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM p))) d JOIN p USING (gram)),
+words AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS at FROM hits) GROUP BY r),
+found AS (SELECT r, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)""",
+)
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark").select("item_id", "text"))
+    items = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
