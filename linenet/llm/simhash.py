@@ -121,19 +121,23 @@ def near_groups(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFrame:
     return _grouped(docs.select("doc_id", "text"), radius, size).select("doc_id", "fingerprint", "component_id")
 
 
-def without(told: DataFrame, gone: DataFrame, columns: list[str]) -> DataFrame:
-    """One row for each ``doc_id`` and ``_text`` that isn't among those gone."""
-    gone = written(gone.select("doc_id", "_text").distinct(), "near-copies")
-    rank = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("doc_id", "_text"))
-    return told.join(gone, ["doc_id", "_text"], "left_anti").withColumn("_text_rank", rank).where("_text_rank = 1").select(*columns)
-
-
 def keep_one(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFrame:
     """The rows of ``docs`` without those whose ``doc_id`` isn't the least of their component.
 
     Rows that repeat an id and a text are reduced to one of them; if an id has several texts, each
     is judged. Rows with a null id can't be the one that stays or goes and all stay, one for each text.
-    Columns are those of ``docs``; names that begin with ``_text`` are reserved.
+    Null and empty texts have the fingerprint zero and form a component like any other. No rows give no rows. Columns
+    are those of ``docs``, whatever they are called.
+
+    Texts are read twice and move only to meet the ids of rows that go or repeat.
     """
-    told = docs.withColumn("_text", F.xxhash64("text"))
-    return without(told, _grouped(told.select("doc_id", "_text", "text"), radius, size).where("doc_id <> component_id"), docs.columns)
+    own = [f"_c{i}" for i in range(len(docs.columns))]
+    doc, text = (F.col(own[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    rows = docs.toDF(*own).withColumn("_text", F.xxhash64(text))
+    told = _grouped(rows.select(doc.alias("doc_id"), "_text", text.alias("text")), radius, size)
+    goes = F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))
+    few = told.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_of")).agg(F.max(goes).alias("_goes"), F.count("*").alias("_n"))
+    few = written(few.where("_goes or _n > 1").drop("_n"), "near-copies")
+    met = rows.join(few, doc.eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left")
+    repeats = met.where("_goes = false").withColumn("_place", F.row_number().over(Window.partitionBy("_id", "_of").orderBy("_of")))
+    return met.where("_goes is null").select(*own).union(repeats.where("_place = 1").select(*own)).toDF(*docs.columns)

@@ -84,11 +84,21 @@ def test_simhash(table, request):
     want = plain_groups(docs.collect())
     got = Counter((r.doc_id, r.fingerprint & (2**64 - 1), r.component_id) for r in simhash.near_groups(docs).collect())
     assert got == want
-    kept = Counter(r.doc_id for r in simhash.keep_one(docs).collect())
+    stay = simhash.keep_one(docs)
+    assert stay.columns == docs.columns
+    rows = {(r.doc_id, r.text) for r in docs.collect()}
+    kept = Counter(r.doc_id for r in stay.collect() if (r.doc_id, r.text) in rows)
     heads = {d for d, _, c in want if d is not None and d == c}
     assert {d for d in kept if d is not None} == heads and all(n == 1 for d, n in kept.items() if d is not None)
 
 
+def test_keep_one_with_clashing_names(spark):
+    rows = [(1, "a b c d", 1, "x", 2), (1, "a b c d", 1, "x", 2), (2, "A b C d", 3, "y", 4), (None, "a b c d", 5, "z", 6), (None, "a b c d", 5, "z", 6), (3, "other words are here", 7, "w", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _text long, fingerprint string, component_id long")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and Counter(map(tuple, kept.collect())) == Counter([rows[0], rows[3], rows[5]])
+
+
 def test_simhash_links_are_whole(spark):
     base = [0, 1, 3, 7, 15, -1, -2, 1 << 40, (1 << 40) + 5, (1 << 63) - 1, -(1 << 63), 0b1100, 0b110011]
     got = simhash.connected_components(simhash.near_links(spark.createDataFrame([(b,) for b in base], "fingerprint long")), "a", "b")
