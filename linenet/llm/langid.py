@@ -156,7 +156,13 @@ def identify(docs: DataFrame, **options: float) -> DataFrame:
     return predict(told, fit(told.where("not held_out").select("text", "lang"), **options))
 
 
-def accepted(docs: DataFrame, least_score: float = 0.2, **options: float) -> DataFrame:
-    """The rows of ``docs`` with a language that is not ``und`` and a score of ``least_score`` or more."""
-    told = identify(docs, **options)
-    return told.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select(*docs.columns)
+def accepted(docs: DataFrame, **options: float) -> DataFrame:
+    """The rows of ``docs`` of which a language is told; those whose prediction is ``und`` go.
+
+    These are null and empty texts and those without a letter, and every row if no row has a language to learn from. Short
+    and very long texts stay. Repeated rows are judged each; a null ``doc_id`` is one like any other. No rows give no
+    rows. Columns are those of ``docs``, whatever they are called.
+    """
+    own = [c if c in ("doc_id", "text", "lang") else f"_c{i}" for i, c in enumerate(docs.columns)]
+    told = identify(docs.toDF(*own), **options)
+    return told.where("lang_pred <> 'und'").select(*own).toDF(*docs.columns)

@@ -205,6 +205,18 @@ def test_language(documents, odd_docs, no_docs):
     assert {r.lang_pred for r in langid.predict(odd_docs, None).collect()} == {"und"}
 
 
+def test_accepted_keeps_all_with_letters(spark, odd_docs, documents):
+    kept = langid.accepted(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert Counter(map(tuple, kept.collect())) == Counter(tuple(r) for r in odd_docs.collect() if any(c.isalpha() for c in r.text or ""))
+    clean = documents.where("lang is not null and text rlike '[a-zA-Z]'")
+    rows = clean.limit(60).collect()
+    long_ = " ".join(r.text for r in rows if r.lang == "fr") * 40
+    docs = spark.createDataFrame([(r.doc_id, r.text, r.lang, "a", 0.5, "b") for r in rows] + [(-1, "A.", "en", "a", 0.1, "b"), (-2, long_, "fr", "a", 0.1, "b")], "doc_id long, text string, lang string, lang_pred string, score double, held_out string")
+    kept = langid.accepted(docs)
+    assert kept.columns == docs.columns and Counter(map(tuple, kept.collect())) == Counter(map(tuple, docs.collect()))
+
+
 def test_queries_have_the_asked_columns(spark):
     columns = {
         "op4_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
