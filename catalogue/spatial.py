@@ -300,6 +300,33 @@ def _(d):
     return ov.overlay_largest(some, d.hazard(), "seg_id", 200.0, 0, "level").select("seg_id", "level")
 
 
+def _span_sql(dx: str, dy: str) -> str:
+    """Length of a segment inside the box of ``fx_hazard``, drawn in by so much on each side."""
+    low = f"greatest(least((xmin+{dx}-x0)/(x1-x0), (xmax-{dx}-x0)/(x1-x0)), least((ymin+{dy}-y0)/(y1-y0), (ymax-{dy}-y0)/(y1-y0)), 0)"
+    high = f"least(greatest((xmin+{dx}-x0)/(x1-x0), (xmax-{dx}-x0)/(x1-x0)), greatest((ymin+{dy}-y0)/(y1-y0), (ymax-{dy}-y0)/(y1-y0)), 1)"
+    return f"greatest({high} - {low}, 0) * {LENGTH}"
+
+
+@query("holed_lengths", f"""WITH t AS (SELECT seg_id, poly_id, {_span_sql('0', '0')} AS outer_, {_span_sql('(xmax-xmin)/4', '(ymax-ymin)/4')} AS inner_
+    FROM fx_segments s JOIN fx_hazard p ON least(x0, x1) <= xmax AND greatest(x0, x1) >= xmin AND least(y0, y1) <= ymax AND greatest(y0, y1) >= ymin)
+  SELECT seg_id, poly_id, {d6('outer_ - inner_')} AS clip_length FROM t WHERE outer_ - inner_ > 1e-6""")
+def _(d):
+    """Boxes with a hole and 4 000 vertices on their border, by bins of 40 m."""
+    c = {n: F.col(n) for n in ("xmin", "ymin", "xmax", "ymax")}
+    corners = [(c["xmin"], c["ymin"]), (c["xmax"], c["ymin"]), (c["xmax"], c["ymax"]), (c["xmin"], c["ymax"])]
+    def side(a, b):
+        along = F.sequence(F.lit(0), F.lit(999))
+        return F.transform(along, lambda i: geo.vertex(a[0] + (b[0] - a[0]) * i / 1000, a[1] + (b[1] - a[1]) * i / 1000))
+
+    sides = [side(a, b) for a, b in zip(corners, [*corners[1:], corners[0]])]
+    shell = F.concat(*sides, F.array(geo.vertex(*corners[0])))
+    dx, dy = (c["xmax"] - c["xmin"]) / 4, (c["ymax"] - c["ymin"]) / 4
+    hole = geo.box_ring(c["xmin"] + dx, c["ymin"] + dy, c["xmax"] - dx, c["ymax"] - dy)
+    holed = d.view("fx_hazard").select("poly_id", F.concat(F.array(shell), hole).alias("rings"))
+    inside = ov.lengths_inside(d.lines(), holed, "seg_id", 40.0)
+    return inside.filter("clip_length > 1e-6").select("seg_id", "poly_id", r6("clip_length").alias("clip_length"))
+
+
 @query("point_in_polygon", """WITH b AS (SELECT *, (xmax - xmin) / 4 AS dx, (ymax - ymin) / 4 AS dy FROM fx_hazard)
   SELECT m.mh_id, h.poly_id, x > xmin AND x < xmax AND y > ymin AND y < ymax
     AND NOT (x >= xmin + dx AND x <= xmax - dx AND y >= ymin + dy AND y <= ymax - dy) AS inside

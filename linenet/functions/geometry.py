@@ -173,7 +173,7 @@ def dist_ps(px: Column, py: Column, x0: Column, y0: Column, x1: Column, y1: Colu
     return hypot(px - (x0 + t * dx), py - (y0 + t * dy))
 
 
-def _axis_span(p0: Column, d: Column, low: Column, high: Column) -> tuple[Column, Column]:
+def slab_span(p0: Column, d: Column, low: Column, high: Column) -> tuple[Column, Column]:
     """Parameters between which ``p0 + t*d`` lies in the slab; an empty span if it never does."""
     a, b = (low - p0) / none_if(d, 0.0), (high - p0) / none_if(d, 0.0)
     flat_in = (p0 >= low) & (p0 <= high)
@@ -184,8 +184,8 @@ def _axis_span(p0: Column, d: Column, low: Column, high: Column) -> tuple[Column
 
 def box_clip_span(p: Column, xmin, ymin, xmax, ymax) -> tuple[Column, Column]:
     """Parameters between which a piece lies in a box; the piece misses it if enter > leave."""
-    ex, lx = _axis_span(p["x0"], p["x1"] - p["x0"], xmin, xmax)
-    ey, ly = _axis_span(p["y0"], p["y1"] - p["y0"], ymin, ymax)
+    ex, lx = slab_span(p["x0"], p["x1"] - p["x0"], xmin, xmax)
+    ey, ly = slab_span(p["y0"], p["y1"] - p["y0"], ymin, ymax)
     return F.greatest(ex, ey, F.lit(0.0)), F.least(lx, ly, F.lit(1.0))
 
 

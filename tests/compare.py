@@ -73,7 +73,7 @@ if __name__ == "__main__":
     spark = local_session(**{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="linenet-")})
     bad = 0
     for name in names:
-        t0 = time.time()
+        t0, n = time.time(), ""
         try:
             if name in ORACLES:
                 diff = difference(spark, folder, name)
