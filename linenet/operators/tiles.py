@@ -90,31 +90,16 @@ def _between(low: Column, high: Column, n: Column) -> Column:
     return F.when(a <= b, F.sequence(a, F.greatest(a, b)))
 
 
-def touched_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
-    """Each cell within a distance of a line once, as ``(key, tile_id, row, col)``.
+def reached_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
+    """Cells within a distance of a straight piece of a line, as ``(key, tile_id, row, col)``, once for each such piece.
 
-    Rows of cells are taken in the height range of a straight piece, and in each row only
+    Rows of cells are taken in the height range of a piece, and in each row only
     the columns the piece can reach there, so a long slanting piece does not fill its
-    whole box. A cell that an earlier piece of the same line reaches too is left to that
-    piece: this makes cells distinct without a shuffle.
+    whole box. Pieces go on their own: a line of n pieces costs n rows, none of which knows the others.
     """
     r = F.lit(float(radius))
-
-    def near(q: Column) -> Column:
-        # Pieces further apart than this in either direction share no cell.
-        return (
-            (F.least(q["x0"], q["x1"]) <= F.greatest("_p.x0", "_p.x1") + F.col("_reach"))
-            & (F.greatest(q["x0"], q["x1"]) >= F.least("_p.x0", "_p.x1") - F.col("_reach"))
-            & (F.least(q["y0"], q["y1"]) <= F.greatest("_p.y0", "_p.y1") + F.col("_reach"))
-            & (F.greatest(q["y0"], q["y1"]) >= F.least("_p.y0", "_p.y1") - F.col("_reach"))
-        )
-
-    widest = tiles.agg(F.max("cell")).scalar()
-    pieces = lines.select(key, geo.line_pieces(F.col(geom)).alias("_ps")).select(
-        key, "_ps", F.posexplode("_ps").alias("_i", "_p")
-    )
-    pieces = pieces.withColumn("_reach", 2 * r + widest).select(
-        key, "_p", F.when(F.col("_i") > 0, F.filter(F.slice("_ps", F.lit(1), F.col("_i")), near)).alias("_before"),
+    pieces = lines.select(key, F.explode(geo.line_pieces(F.col(geom))).alias("_p")).select(
+        key, "_p",
         (F.least("_p.x0", "_p.x1") - r).alias("_x0"), (F.greatest("_p.x0", "_p.x1") + r).alias("_x1"),
         (F.least("_p.y0", "_p.y1") - r).alias("_y0"), (F.greatest("_p.y0", "_p.y1") + r).alias("_y1"),
     )
@@ -132,7 +117,7 @@ def touched_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, s
     xmin, ymax, cell = F.col("t_xmin"), F.col("t_ymax"), F.col("t_cell")
     rows = _between(F.ceil((ymax - F.col("_y1")) / cell) - 1, F.floor((ymax - F.col("_y0")) / cell), F.col("t_nrows"))
     by_row = binned.join(_tile_bins(tiles, size), cond).select(
-        key, "t_tile_id", "_p", "_before", "t_xmin", "t_ymax", "t_cell", "t_ncols", F.explode(rows).alias("row")
+        key, "t_tile_id", "_p", "t_xmin", "t_ymax", "t_cell", "t_ncols", F.explode(rows).alias("row")
     )
     low, dy = ymax - (F.col("row") + 1) * cell, none_if(F.col("_p.y1") - F.col("_p.y0"), 0.0)
     ta, tb = (low - r - F.col("_p.y0")) / dy, (low + cell + r - F.col("_p.y0")) / dy
@@ -146,15 +131,16 @@ def touched_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, s
     cols = _between(
         F.ceil((F.least(xa, xb) - r - xmin) / cell) - 1, F.floor((F.greatest(xa, xb) + r - xmin) / cell), F.col("t_ncols")
     )
-    by_cell = by_row.select(key, "t_tile_id", "_p", "_before", "_low", "t_xmin", "t_cell", "row", F.explode(cols).alias("col"))
+    by_cell = by_row.select(key, "t_tile_id", "_p", "_low", "t_xmin", "t_cell", "row", F.explode(cols).alias("col"))
     left = xmin + F.col("col") * cell
 
-    def reaches(p: Column) -> Column:
-        return geo.dist_seg_square(p, left, F.col("_low"), left + cell, F.col("_low") + cell) <= r
+    near = geo.dist_seg_square(F.col("_p"), left, F.col("_low"), left + cell, F.col("_low") + cell) <= r
+    return by_cell.filter(near).select(key, F.col("t_tile_id").alias("tile_id"), "row", "col")
 
-    mine = by_cell.filter(reaches(F.col("_p")))
-    first = mine.filter(F.when(F.size("_before") > 0, ~F.exists("_before", reaches)).otherwise(F.lit(True)))
-    return first.select(key, F.col("t_tile_id").alias("tile_id"), "row", "col")
+
+def touched_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
+    """Each cell within a distance of a line once, as ``(key, tile_id, row, col)``."""
+    return reached_cells(lines, tiles, radius, key, size, geom).distinct()
 
 
 def zonal_mean(
@@ -162,11 +148,13 @@ def zonal_mean(
 ) -> DataFrame:
     """Mean of all cells within a distance of each line, as ``(key, mean, n_cells)``.
 
-    Shuffles: the equality join with the cells and one average per line. Lines without
-    any valid cell get 0.0; they enter as empty rows of the same average, not by a join.
+    Cells meet their values by equality and are made distinct afterwards, where those of one
+    place already lie together, so what several pieces of a line reach costs no shuffle of its own.
+    Lines without any valid cell get 0.0; they enter as empty rows of the same average, not by a join.
     """
     values = cells.filter(F.col("value").isNotNull()).select("tile_id", "row", "col", "value")
-    hits = touched_cells(lines, tiles, radius, key, size, geom).join(values, ["tile_id", "row", "col"]).select(key, "value")
+    hits = reached_cells(lines, tiles, radius, key, size, geom).join(values, ["tile_id", "row", "col"])
+    hits = hits.dropDuplicates([key, "tile_id", "row", "col"]).select(key, "value")
     every = lines.select(key, F.lit(None).cast("double").alias("value"))
     return hits.union(every).groupBy(key).agg(
         F.coalesce(F.avg("value"), F.lit(0.0)).alias("mean"), F.count("value").alias("n_cells")

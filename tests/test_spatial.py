@@ -121,6 +121,64 @@ def test_overlay_rules(spark):
     assert got == {0: 1, 1: 2, 2: 1, 3: 0, 4: 2, 5: None}
 
 
+def blob(rnd, n, x, y, r):
+    """A star-shaped ring of whole or broken coordinates."""
+    whole = rnd.random() < 0.5
+    points = []
+    for i in range(n):
+        a, d = 2 * math.pi * i / n, r * rnd.uniform(0.4, 1)
+        px, py = x + d * math.cos(a), y + d * math.sin(a)
+        points.append((float(round(px)), float(round(py))) if whole else (px, py))
+    return [*points, points[0]]
+
+
+def text(kind, parts):
+    return f"{kind} (" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in p) + ")" for p in parts) + ")"
+
+
+@pytest.mark.parametrize("size", [3.0, 10.0, 64.0])
+def test_overlay_against_whole_polygons(spark, size):
+    """Bins against every line met with every whole polygon: holes, borders on bin borders, lines along edges and through vertices."""
+    rnd = random.Random(size)
+    rings = [[blob(rnd, rnd.choice([3, 5, 9, 40]), rnd.uniform(-60, 60), rnd.uniform(-60, 60), rnd.uniform(3, 60))] for _ in range(12)]
+    rings += [[[(-30.0, -30.0), (60.0, -30.0), (60.0, 30.0), (-30.0, 30.0), (-30.0, -30.0)], [(-10.0, -20.0), (20.0, -20.0), (20.0, 10.0), (-10.0, 10.0), (-10.0, -20.0)]]]
+    lines = [[(rnd.uniform(-90, 90), rnd.uniform(-90, 90)) for _ in range(rnd.choice([2, 2, 3, 6]))] for _ in range(60)]
+    lines += [[(float(rnd.randrange(-70, 70)), float(rnd.randrange(-70, 70))) for _ in range(3)] for _ in range(60)]
+    lines += [[(-30.0, 0.0), (60.0, 0.0)], [(60.0, -30.0), (60.0, 30.0)], [(60.0, 30.0), (60.0, -30.0)], [(-30.0, -30.0), (20.0, 10.0)], [(-40.0, 30.0), (70.0, 30.0)], [(5.0, 5.0), (5.0, 5.0)], [(-30.0, 10.0), (20.0, 10.0)]]
+    polys = geoms(spark, [text("POLYGON", r) for r in rings]).select(F.col("id").alias("poly_id"), F.col("id").alias("value"), F.col("geom").alias("rings"))
+    shapes = geoms(spark, [text("MULTILINESTRING", [x]) for x in lines])
+    every = shapes.select("id", "geom", F.lit(1).alias("k")).join(polys.withColumn("k", F.lit(1)), "k")
+    want = {(r["id"], r["poly_id"]): r["n"] for r in every.select("id", "poly_id", geo.clip_length(F.col("geom"), geo.line_pieces(F.col("rings"))).alias("n")).collect()}
+    rows = ov.lengths_inside(shapes, polys, "id", size).collect()
+    got = {(r["id"], r["poly_id"]): r["clip_length"] for r in rows}
+    assert len(got) == len(rows)
+    point = len(lines) - 2
+    for k, n in want.items():
+        if k[0] != point:
+            assert got.get(k, 0.0) == pytest.approx(n, abs=1e-6), (k, lines[k[0]], rings[k[1]])
+    inside = every.filter(F.col("id") == point).select("poly_id", geo.point_in_polygon(F.lit(5.0), F.lit(5.0), F.col("rings")).alias("n")).collect()
+    assert {p for i, p in got if i == point} == {r["poly_id"] for r in inside if r["n"]}
+    # Turning a line round changes nothing, also along a border.
+    back = geoms(spark, [text("MULTILINESTRING", [x[::-1]]) for x in lines])
+    for r in ov.lengths_inside(back, polys, "id", size).collect():
+        assert r["clip_length"] == pytest.approx(got[r["id"], r["poly_id"]], abs=1e-6)
+
+
+def test_overlay_of_a_polygon_with_very_many_vertices(spark):
+    n, r = 100_000, 5000.0
+    a = F.col("id") * (2 * math.pi / n)
+    far = F.lit(r) * (1 + 0.1 * F.sin(a * 7))
+    ring = spark.range(n + 1).withColumn("id", F.col("id") % n).select(F.struct((far * F.cos(a)).alias("x"), (far * F.sin(a)).alias("y")).alias("v"), F.monotonically_increasing_id().alias("i"))
+    hole = geo.box_ring(F.lit(-50.0), F.lit(-50.0), F.lit(50.0), F.lit(50.0))
+    polys = ring.agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("l")).select(F.lit(1).alias("poly_id"), F.lit(3).alias("value"), F.concat(F.array(F.transform("l", lambda x: x["v"])), hole).alias("rings"))
+    polys = spark.createDataFrame(polys.collect(), polys.schema)
+    lines = geoms(spark, ["LINESTRING (-9000 0, 9000 0)", "LINESTRING (100 100, 900 700)", "LINESTRING (0 -20, 30 20)", "LINESTRING (6000 6000, 7000 7000)"])
+    got = {x["id"]: x["clip_length"] for x in ov.lengths_inside(lines, polys, "id", 100.0).collect()}
+    assert got == {0: pytest.approx(2 * r - 100, abs=1e-3), 1: pytest.approx(1000.0)}
+    plan = ov.lengths_inside(lines, polys, "id", 100.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and plan.count("line_pieces") == 0
+
+
 def test_clip_respects_holes(spark):
     rings = geoms(spark, ["POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0), (4 0.5, 6 0.5, 6 9, 4 9, 4 0.5))"]).first()["wkt"]
     df = geoms(spark, ["LINESTRING (-5 5, 15 5)", "LINESTRING (1 1, 3 3)", "LINESTRING (4.5 5, 5.5 5)", "LINESTRING (-5 5, 5 5, 5 20)"])
@@ -156,6 +214,14 @@ def test_zonal_counts_each_cell_once(spark):
     assert got == {0: (5.0, 2), 1: (0.0, 0), 2: (0.0, 1)}
 
 
+def test_zonal_of_a_line_with_thousands_of_vertices(spark):
+    tiles, cells = raster(spark)
+    zigzag = [(0.5 + 0.005 * i, 25.0 if i % 2 else 15.5) for i in range(5000)]
+    lines = geoms(spark, [text("MULTILINESTRING", [zigzag]), "LINESTRING (5 25, 5 24)"])
+    got = {r["id"]: (r["mean"], r["n_cells"]) for r in ti.zonal_mean(lines, tiles.filter("tile_id = 0"), cells, 1.0, "id", 20.0).collect()}
+    assert got == {0: (pytest.approx((0 + 1 + 2 + 10 + 12) / 5), 5), 1: (0.0, 1)}
+
+
 def test_zonal_against_brute_force(spark):
     rnd = random.Random(5)
     tiles, cells = raster(spark)
