@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, filterfalse, islice
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -16,52 +21,106 @@ from pyspark.sql.types import LongType, StructField, StructType
 from linenet.llm import text as T
 from linenet.llm.scratch import written
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 CACHED_WORDS = 300_000
 APART = "\x01"
+# Letters of Latin-1, then marks that no letter joins.
+LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
 TEXT_BYTES = 1 << 20
 
 
+class Words(dict):
+    """The ids of words asked for earlier, and, in ``now``, of those asked for now that had no room."""
+
+    now: dict[bytes, bytes]
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.now[word]
+
+
+@dataclass
+class Vocabulary:
+    """A tokenizer, the ids of words it was asked for, and, where ``plain`` words can be asked for together, which ids end one."""
+
+    tokenizer: Tokenizer
+    known: Words
+    plain: re.Pattern | None
+    ends: np.ndarray
+
+
 @lru_cache(maxsize=1)
-def _tokenizer(path: str):
+def _vocabulary(path: str) -> Vocabulary:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    tokenizer = Tokenizer.from_file(path)
+    told = json.loads(tokenizer.to_str())
+    suffix = told["model"].get("end_of_word_suffix")
+    # Letters are split from marks, case is dropped, and the last id of each letter run is one that ends a word.
+    apart = suffix and '"Lowercase"' in json.dumps(told["normalizer"]) and "[\\\\p{L}]+" in json.dumps(told["pre_tokenizer"])
+    ends = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+    ends[[i for w, i in tokenizer.get_vocab().items() if suffix and w.endswith(suffix)]] = True
+    return Vocabulary(tokenizer, Words(), LETTERS if apart else None, ends)
 
 
-def token_ids(texts: list[bytes], path: str) -> list[bytes]:
-    """The ids of every text, as little-endian unsigned 32-bit numbers.
+def _cut_at(ids: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+    body = ids.tobytes()
+    return [body[4 * i : 4 * j] for i, j in zip(first.tolist(), last.tolist())]
 
-    The tokenizer drops white space and never looks across it, so ids of a text are those of its
-    words one after another; each word is asked for once, and up to 300 000 are remembered (the
-    number changes the time, not the result).
-    """
-    tokenizer, known = _tokenizer(path)
-    cut = [t.split() for t in texts]
-    new = list({w for words in cut for w in words if w not in known})
-    found = {}
+
+def _asked(vocabulary: Vocabulary, words: list[bytes]) -> dict[bytes, bytes]:
+    """The ids of words of any kind."""
+    encode, found = vocabulary.tokenizer.encode, {}
     # Many words at once, with a control character between them; its id comes from no other word.
-    odd = [w for w in new if APART.encode() in w]
-    some = new if not odd else [w for w in new if APART.encode() not in w]
-    (apart,) = tokenizer.encode(APART, add_special_tokens=False).ids
-    between = f" {APART} ".encode()
+    some, odd = [w for w in words if APART.encode() not in w], [w for w in words if APART.encode() in w]
+    (apart,) = encode(APART, add_special_tokens=False).ids
     for at in range(0, len(some), 1000):
         part = some[at : at + 1000]
-        (told,) = tokenizer.encode_batch_fast([between.join(part).decode()], add_special_tokens=False)
+        (told,) = vocabulary.tokenizer.encode_batch_fast([f" {APART} ".encode().join(part).decode()], add_special_tokens=False)
         ids = np.array(told.ids, "<u4")
         cuts = np.flatnonzero(ids == apart)
-        body = ids.tobytes()
-        for word, i, j in zip(part, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(body)]):
-            found[word] = body[i:j]
+        found.update(zip(part, _cut_at(ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))))
     for word in odd:
-        found[word] = np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-    if len(known) + len(found) <= CACHED_WORDS:
-        known.update(found)
-        found = known
-    else:
-        get = known.get
-        return [b"".join([get(w) or found.get(w, b"") for w in words]) for words in cut]
-    return [b"".join([found[w] for w in words]) for words in cut]
+        found[word] = np.array(encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    return found
+
+
+def _asked_plain(vocabulary: Vocabulary, words: list[bytes]) -> dict[bytes, bytes]:
+    """The ids of words of letters: one after another, a word ends with an id that ends one."""
+    found = {}
+    for at in range(0, len(words), 1000):
+        part = words[at : at + 1000]
+        (told,) = vocabulary.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
+        ids = np.array(told.ids, "<u4")
+        stop = np.flatnonzero(vocabulary.ends[ids]) + 1
+        found.update(zip(part, _cut_at(ids, np.append(0, stop[:-1]), stop)))
+    return found
+
+
+def token_ids(texts: list[bytes], path: str) -> list[bytes]:
+    """The ids of every text, as little-endian unsigned 32-bit numbers.
+
+    The tokenizer drops white space and never looks across it, so ids of a text are those of its
+    words one after another; each word is asked for once, and up to 300 000 are remembered (the
+    number changes the time, not the result). Where the vocabulary splits letters from marks, a word with marks behind it is
+    put together from both.
+    """
+    vocabulary = _vocabulary(path)
+    known, plain = vocabulary.known, vocabulary.plain
+    cut = [t.split() for t in texts]
+    unknown = lambda words: set(filterfalse(known.__contains__, words))
+    new = unknown(set(chain.from_iterable(cut)))
+    parts = {w: (m[1].lower(), m[2]) for w in new if (m := plain.fullmatch(w))} if plain else {}
+    letters = unknown(core for core, _ in parts.values())
+    others = unknown({tail for _, tail in parts.values() if tail}.union(new.difference(parts)))
+    known.now = {**_asked(vocabulary, list(others)), **_asked_plain(vocabulary, list(letters))}
+    known.now |= {w: known[core] + (known[tail] if tail else b"") for w, (core, tail) in parts.items()}
+    room = CACHED_WORDS - len(known)
+    if room > 0:
+        known.update(islice(known.now.items(), room))
+    return [b"".join(map(known.__getitem__, ws)) for ws in cut]
 
 
 class Windows:
