@@ -17,7 +17,7 @@ GROUP = 128
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``id`` and ``vec`` (double) of the rows that take part.
+    """``id`` and ``vec`` (double, scaled by a power of two) of the rows that take part.
 
     Null or empty vectors, those with a null or non-finite component, and zero vectors don't; nor do rows
     with a null id.
@@ -25,7 +25,20 @@ def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     vec = F.col(vec_col).cast("array<double>")
     bad = F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     told = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("raw"), vec.alias("vec")).where(F.col("id").isNotNull() & (F.size("vec") > 0) & ~bad)
-    return told.where(F.exists("vec", lambda x: x != 0)).select("id", "vec")
+    # Divided by a power of two near their largest component, which is exact and leaves cosines as they are, squares neither
+    # vanish nor overflow.
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(F.array_max(F.transform("vec", F.abs)))))
+    scaled = told.where(F.exists("vec", lambda x: x != 0)).withColumn("scale", scale)
+    return scaled.select("id", F.transform("vec", lambda x: x / F.col("scale")).alias("vec"))
+
+
+def _even(vectors: DataFrame) -> DataFrame:
+    """Shorter vectors padded with zeros to the longest."""
+    least, most = vectors.agg(F.min(F.size("vec")), F.max(F.size("vec"))).first()
+    if least == most:
+        return vectors
+    padded = F.concat("vec", F.array_repeat(F.lit(0.0), F.lit(most) - F.size("vec")))
+    return written(vectors.select("id", padded.alias("vec")).distinct(), "ann-padded")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -238,10 +251,10 @@ def nearest(rows: DataFrame, id_col: str, vec_col: str, every: int = 50, k: int
     """Search the rows whose id is a multiple of ``every`` among all rows, each from its own node of the graph.
 
     Of rows that repeat an id and a vector one counts; an id with several vectors has each of them. Rows left out
-    (see ``usable``) are neither queries nor found. Vectors must have one length. Fewer rows than ``k`` give
+    (see ``usable``) are neither queries nor found. Shorter vectors are padded with zeros. Fewer rows than ``k`` give
     all of them; no rows give no rows.
     """
-    vectors = written(usable(rows, id_col, vec_col).distinct(), "ann-vectors")
+    vectors = _even(written(usable(rows, id_col, vec_col).distinct(), "ann-vectors"))
     index = build(vectors, spare=k + 1, **options)
     nodes = index.nodes.select(F.col("vec"), F.col("id").alias("entry"))
     queries = written(vectors.where(F.col("id") % every == 0).join(nodes, "vec").groupBy(F.col("id").alias("query_id")).agg(F.min("entry").alias("entry")), "ann-queries")
