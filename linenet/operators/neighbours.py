@@ -1,28 +1,27 @@
 """Exact nearest neighbours between rows with missing values, and what builds on them.
 
 The distance is Euclidean over the features both rows have, scaled up by the share of
-features compared. Donors are grouped into blocks of similar rows with a known box.
-From the boxes alone each query learns which blocks can hold one of its neighbours; only
-those are searched, and their best rows are merged. No block is skipped that could
-matter, so the answer is that of comparing everything, without doing so.
+features compared. Donors lie in the leaves of a tree of boxes (``boxes.py``). A query
+first searches the leaf its features lead to, and then, down the tree again, those that
+can hold a row nearer than the k-th found. No leaf is skipped that could matter, so the
+answer is that of comparing everything, without doing so.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import local_rows, scratch_path
+from ..session import scratch_path
 from ..sources.tables import checkpoint_table
+from . import boxes
 
-BLOCK_ROWS = 4_096  # donors one task holds at a time
+BLOCK_ROWS = 4_096  # donors a leaf holds, and one task at a time
 QUERY_ROWS = 8_192  # queries one task holds at a time
-MAX_BLOCKS = 4_096  # boxes sent to the tasks: bounded, whatever the donors number
 MATRIX_ROWS = 256  # queries compared in one matrix operation
 
 
@@ -46,78 +45,6 @@ def _distinct_donors(donors: DataFrame, keep: int) -> DataFrame:
     return donors.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= keep).drop("_n")
 
 
-def _label(donors: DataFrame, cols: Sequence[str], blocks: int) -> Column:
-    """Block of a donor: its group, which features it has, and its place among quantiles."""
-    d = len(cols)
-    mask = F.concat_ws("", *[F.when(F.isnan(F.get("vec", F.lit(i))), F.lit("0")).otherwise(F.lit("1")) for i in range(d)])
-    if blocks <= 1:
-        return F.concat_ws("|", F.col("grp").cast("string"), mask)
-    split = min(d, max(1, int(np.ceil(np.log2(blocks)))))
-    per = max(2, int(np.ceil(blocks ** (1 / split))))
-    shares = [j / per for j in range(1, per)]
-    value = lambda i: F.nanvl(F.get("vec", F.lit(i)), F.lit(None).cast("double"))
-    row = donors.agg(*[F.percentile_approx(value(i), shares, 1000).alias(f"q{i}") for i in range(split)]).first()
-    places = []
-    for i in range(split):
-        cuts = sorted(set(row[i] or []))
-        place = sum(((value(i) >= cut).cast("int") for cut in cuts), F.lit(0))
-        places.append(F.coalesce(place, F.lit(-1)).cast("string"))
-    return F.concat_ws("|", F.col("grp").cast("string"), mask, *places)
-
-
-def _boxes(donors: DataFrame, d: int):
-    """Box and count per block on the driver, or None if there are more than the bound."""
-    aggs = [F.count(F.lit(1)).alias("n"), F.first("grp").alias("grp")]
-    for i in range(d):
-        v = F.get("vec", F.lit(i))
-        aggs += [F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
-    rows = donors.groupBy("label").agg(*aggs).limit(MAX_BLOCKS + 1).toPandas()
-    return None if len(rows) > MAX_BLOCKS else rows.sort_values("label", ignore_index=True)
-
-
-class _Chooser:
-    """Finds, from the boxes, the blocks that can hold a query's neighbours."""
-
-    def __init__(self, boxes: pd.DataFrame, d: int, k: int, per_column: bool):
-        self.lo = boxes[[f"lo{i}" for i in range(d)]].to_numpy(float)
-        self.hi = boxes[[f"hi{i}" for i in range(d)]].to_numpy(float)
-        # A block is uniform in what it has; NaN is the largest value in both extremes.
-        self.has = ~np.isnan(self.lo)
-        self.n = boxes["n"].to_numpy()
-        self.grp = boxes["grp"].to_numpy()
-        self.d, self.k, self.per_column = d, k, per_column
-
-    def __call__(self, q: np.ndarray, grp: np.ndarray) -> np.ndarray:
-        low = np.zeros((len(q), len(self.n)))
-        high, shared = low.copy(), low.copy()
-        for f in range(self.d):
-            v = q[:, f][:, None]
-            use = ~np.isnan(v) & self.has[:, f]
-            near = np.maximum(np.maximum(self.lo[:, f] - v, v - self.hi[:, f]), 0)
-            far = np.maximum(np.abs(v - self.lo[:, f]), np.abs(v - self.hi[:, f]))
-            low += np.where(use, near**2, 0)
-            high += np.where(use, far**2, 0)
-            shared += use
-        ok = (shared > 0) & (grp[:, None] == self.grp)
-        scale = self.d / np.maximum(shared, 1)
-        low, high = np.where(ok, low * scale, np.inf), np.where(ok, high * scale, np.inf)
-        chosen = np.zeros(low.shape, bool)
-        for f in range(self.d) if self.per_column else [None]:
-            rows = np.isnan(q[:, f]) if f is not None else np.ones(len(q), bool)
-            if not rows.any():
-                continue
-            fits = ok[rows] & (self.has[:, f] if f is not None else True)
-            reach = np.where(fits, high[rows], np.inf)
-            order = np.argsort(reach, axis=1)
-            total = np.cumsum(np.where(np.take_along_axis(fits, order, 1), self.n[order], 0), axis=1)
-            enough = total >= self.k
-            at = np.where(enough.any(1), enough.argmax(1), order.shape[1] - 1)
-            limit = np.take_along_axis(reach, np.take_along_axis(order, at[:, None], 1), 1)
-            limit = np.where(enough.any(1)[:, None], limit * (1 + 1e-9) + 1e-300, np.inf)
-            chosen[rows] |= fits & (low[rows] <= limit)
-        return chosen
-
-
 def _distances(q: np.ndarray, donors: np.ndarray) -> np.ndarray:
     total = np.zeros((len(q), len(donors)))
     shared = np.zeros_like(total)
@@ -129,49 +56,63 @@ def _distances(q: np.ndarray, donors: np.ndarray) -> np.ndarray:
     return np.sqrt(np.where(shared > 0, total * (q.shape[1] / np.maximum(shared, 1)), np.inf))
 
 
-def _best(dist: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k smallest finite distances, the earlier one first among equals."""
-    if len(dist) > k:
-        kth = np.partition(dist, k - 1)[k - 1]
-        near = np.flatnonzero(dist <= kth)
-    else:
-        near = np.arange(len(dist))
-    near = near[np.isfinite(dist[near])]
-    return near[np.argsort(dist[near], kind="stable")][:k]
+def _closest(dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and position of the k smallest finite distances of each row, the earlier position first among equals."""
+    fits = np.isfinite(dist)
+    if dist.shape[1] > k:
+        fits &= dist <= np.partition(dist, k - 1, axis=1)[:, k - 1:k]
+    rows, at = np.nonzero(fits)
+    order = np.lexsort((at, dist[rows, at], rows))
+    rows, at = rows[order], at[order]
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows[rank < k], at[rank < k]
 
 
-def _searcher(k: int, per_column: bool, skip_self: bool, grouped: bool):
+def _searcher(k: int, skip_self: bool):
     def search(_key, queries: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {c: [] for c in ("query_id", "slot", "distance", "donor_id", "features")}
+        found = []
         if len(queries) and len(donors):
             donors = donors.sort_values("donor_id", ignore_index=True)
-            ids, groups = donors["donor_id"].to_numpy(), donors["grp"].to_numpy()
-            have = np.array(donors["vec"].tolist(), float)
-            for start in range(0, len(queries), MATRIX_ROWS):
-                part = queries.iloc[start:start + MATRIX_ROWS]
-                asked = np.array(part["vec"].tolist(), float)
-                dist = _distances(asked, have)
-                if grouped:
-                    dist[part["grp"].to_numpy()[:, None] != groups] = np.inf
-                if skip_self:
-                    dist[part["query_id"].to_numpy()[:, None] == ids] = np.inf
-                for i, qid in enumerate(part["query_id"]):
-                    for slot in np.flatnonzero(np.isnan(asked[i])) if per_column else [-1]:
-                        pool = np.flatnonzero(~np.isnan(have[:, slot])) if per_column else slice(None)
-                        best = _best(dist[i][pool], k)
-                        best = pool[best] if per_column else best
-                        out["query_id"] += [qid] * len(best)
-                        out["slot"] += [int(slot)] * len(best)
-                        out["distance"] += dist[i][best].tolist()
-                        out["donor_id"] += ids[best].tolist()
-                        out["features"] += [[have[b, slot]] if per_column else have[b].tolist() for b in best]
-        # Types are stated because a block may find nothing at all.
-        kinds = {"slot": "int32", "distance": "float64"}
-        return pd.DataFrame({c: pd.Series(v, dtype=kinds.get(c, object)) for c, v in out.items()})
+            ids, have = donors["donor_id"].to_numpy(), np.array(donors["vec"].tolist(), float)
+            for slot, same in queries.groupby("slot"):
+                pool = np.flatnonzero(~np.isnan(have[:, slot])) if slot >= 0 else np.arange(len(have))
+                for start in range(0, len(same) if len(pool) else 0, MATRIX_ROWS):
+                    part = same.iloc[start:start + MATRIX_ROWS]
+                    dist = _distances(np.array(part["vec"].tolist(), float), have[pool])
+                    if skip_self:
+                        dist[part["query_id"].to_numpy()[:, None] == ids[pool]] = np.inf
+                    rows, at = _closest(dist, k)
+                    best = pool[at]
+                    features = have[best, slot][:, None] if slot >= 0 else have[best]
+                    found.append(pd.DataFrame({
+                        "query_id": part["query_id"].to_numpy()[rows], "slot": np.int32(slot),
+                        "distance": dist[rows, at], "donor_id": ids[best], "features": list(features),
+                    }))
+        # Types are stated because a leaf may find nothing at all.
+        nothing = pd.DataFrame({c: pd.Series(dtype=object) for c in ("query_id", "slot", "distance", "donor_id", "features")})
+        found = [f for f in found if len(f)]
+        out = pd.concat(found, ignore_index=True) if found else nothing
+        return out.astype({"slot": "int32", "distance": "float64"})
 
     return search
 
 
+def _search(visits: DataFrame, leaves: DataFrame, k: int, skip_self: bool) -> DataFrame:
+    """The k best of each leaf for each row that visits it."""
+    # A leaf many queries visit is copied to several tasks, each with a share of them.
+    load = visits.groupBy(F.col("node").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("_s"))
+    same = F.col("node") == F.col("_b")
+    asked = visits.join(load, same).withColumn("salt", F.pmod(F.xxhash64("query_id", "slot"), F.col("_s")).cast("int"))
+    held = leaves.join(load, same).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
+    kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((visits, "query_id"), (leaves, "donor_id"))}
+    schema = f"query_id {kinds['query_id']}, slot int, distance double, donor_id {kinds['donor_id']}, features array<double>"
+    return (
+        asked.select("query_id", "slot", "vec", "node", "salt").groupBy("node", "salt")
+        .cogroup(held.select("donor_id", "vec", "node", "salt").groupBy("node", "salt"))
+        .applyInPandas(_searcher(k, skip_self), schema)
+    )
+
+
 def _nearest(queries: DataFrame, donors: DataFrame, cols: Sequence[str], k: int, per_column: bool, skip_self: bool) -> DataFrame:
     """Neighbours as ``(query_id, slot, rank, distance, donor_id, features)``.
 
@@ -182,61 +123,25 @@ def _nearest(queries: DataFrame, donors: DataFrame, cols: Sequence[str], k: int,
     spark, d = queries.sparkSession, len(cols)
     reach = k + 1 if skip_self else k
     pool = checkpoint_table(_distinct_donors(donors, reach), scratch_path(spark, "donors"))
-    n = pool.count()
-    wanted = min(1024, -(-n // BLOCK_ROWS))
-    labelled = pool.withColumn("label", _label(pool, cols, wanted))
-    boxes = _boxes(labelled, d)
-    pruned = boxes is not None
-    if not pruned:
-        # Too many kinds of rows for boxes: even blocks, all of which every query visits.
-        labelled = pool.withColumn("label", F.pmod(F.xxhash64("donor_id"), F.lit(max(1, wanted))).cast("string"))
-        boxes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("label", ignore_index=True)
-    sizes = np.maximum(1, -(-boxes["n"].to_numpy() // BLOCK_ROWS)) if len(boxes) else np.zeros(0, int)
-    blocks = local_rows(
-        spark,
-        {"label": boxes["label"].astype(str).tolist(), "block": list(range(len(boxes))), "chunks": sizes.tolist()},
-        {"label": pa.string(), "block": pa.int32(), "chunks": pa.int32()},
-    )
-    parts = labelled.join(blocks, "label").select(
-        "donor_id", "grp", "vec", "block", F.pmod(F.xxhash64("donor_id"), F.col("chunks")).cast("int").alias("chunk")
-    )
-    chooser = _Chooser(boxes, d, reach, per_column) if pruned else None
-    chunks = sizes.tolist()
-
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), MATRIX_ROWS):
-                part = batch.iloc[start:start + MATRIX_ROWS]
-                if chooser is None:
-                    hits = np.ones((len(part), len(chunks)), bool)
-                else:
-                    hits = chooser(np.array(part["vec"].tolist(), float), part["grp"].to_numpy())
-                rows, found = np.nonzero(hits)
-                lists = [found[rows == i].tolist() for i in range(len(part))]
-                yield part.assign(blocks=lists)
-
-    id_type = queries.schema["query_id"].dataType.simpleString()
-    picked = queries.mapInPandas(choose, f"query_id {id_type}, grp bigint, vec array<double>, blocks array<int>")
-    # Which blocks a query visits is kept as a list of numbers; the vector is copied to
-    # each of them only in the shuffle that needs it.
-    picked = checkpoint_table(picked, scratch_path(spark, "visits"))
-    spans = blocks.select("block", F.sequence(F.lit(0), F.col("chunks") - 1).alias("_cs"))
-    visits = picked.select("query_id", "grp", "vec", F.explode("blocks").alias("block")).join(spans, "block")
-    visits = visits.select("query_id", "grp", "vec", "block", F.explode("_cs").alias("chunk"))
-    # A block many queries visit is copied to several tasks, each with a share of them.
-    load = visits.groupBy("block", "chunk").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("_s"))
-    load = load.select(F.col("block").alias("_b"), F.col("chunk").alias("_c"), "_s")
-    same = (F.col("block") == F.col("_b")) & (F.col("chunk") == F.col("_c"))
-    asked = visits.join(load, same).withColumn("salt", F.pmod(F.xxhash64("query_id"), F.col("_s")).cast("int"))
-    held = parts.join(load, same).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
-    keys = ["block", "chunk", "salt"]
-    did_type = donors.schema["donor_id"].dataType.simpleString()
-    schema = f"query_id {id_type}, slot int, distance double, donor_id {did_type}, features array<double>"
-    found = (
-        asked.select("query_id", "grp", "vec", *keys).groupBy(*keys)
-        .cogroup(held.select("donor_id", "grp", "vec", *keys).groupBy(*keys))
-        .applyInPandas(_searcher(k, per_column, skip_self, not pruned), schema)
-    )
+    # More points than copies kept of one of them can always be parted.
+    tree = boxes.build(pool, d, max(BLOCK_ROWS, reach))
+    slots = F.lit(-1)
+    if per_column:
+        slots = F.explode(F.filter(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: F.isnan(F.get("vec", i))))
+    asked = queries.withColumn("slot", slots)
+    first = boxes.closest_leaf(tree, asked, reach)
+    found = _search(first, tree.leaves, k, skip_self)
+    if tree.levels:
+        first = checkpoint_table(first, scratch_path(spark, "first"))
+        found = checkpoint_table(_search(first, tree.leaves, k, skip_self), scratch_path(spark, "found"))
+        # The k-th distance found so far bounds the search; without k of them every leaf counts.
+        far = F.max("distance")
+        bound = F.when(F.count(F.lit(1)) >= k, far * far * (1 + 1e-9) + 1e-300)
+        bounds = found.groupBy(F.col("query_id").alias("_q"), F.col("slot").alias("_s")).agg(bound.alias("reach"))
+        same = (F.col("query_id") == F.col("_q")) & (F.col("slot") == F.col("_s"))
+        again = first.withColumnRenamed("node", "seen").join(bounds, same, "left").drop("_q", "_s")
+        visits = boxes.leaves_within(tree, again).filter(F.col("node") != F.col("seen"))
+        found = found.unionByName(_search(visits, tree.leaves, k, skip_self))
     w = Window.partitionBy("query_id", "slot").orderBy("distance", "donor_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

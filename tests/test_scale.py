@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from linenet.operators import boxes
 from linenet.operators import encoding as en
 from linenet.operators import neighbours as nb
 from linenet.operators import ordering as od
@@ -80,12 +81,11 @@ def brute(rows, donors, k):
     return out
 
 
-@pytest.mark.parametrize("block,boxes", [(4096, 4096), (64, 4096), (64, 3)])
-def test_knn_impute_is_exact(spark, monkeypatch, block, boxes):
-    """One block, many pruned blocks, and the way without boxes; a third of the donors are equal."""
+@pytest.mark.parametrize("block", [4096, 64, 8])
+def test_knn_impute_is_exact(spark, monkeypatch, block):
+    """One leaf, and trees of several levels; a third of the donors are equal."""
     monkeypatch.setattr(nb, "BLOCK_ROWS", block)
     monkeypatch.setattr(nb, "QUERY_ROWS", 50)
-    monkeypatch.setattr(nb, "MAX_BLOCKS", boxes)
     rng = np.random.default_rng(11)
     x = np.round(rng.normal(size=(600, 3)), 3)
     x[::3] = x[0]
@@ -102,6 +102,31 @@ def test_knn_impute_is_exact(spark, monkeypatch, block, boxes):
         assert got[i] == pytest.approx(want[i].tolist(), abs=1e-9), i
 
 
+def test_few_leaves_of_many_are_visited(spark):
+    """Twelve features that may be missing, rows around some hundred places: what may be near is a small share."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(scale=20, size=(100, 12))[rng.integers(0, 100, 20_000)] + rng.normal(size=(20_000, 12))
+    x[rng.random(x.shape) < 0.08] = np.nan
+    points = spark.createDataFrame([(i, 0, [float(v) for v in r]) for i, r in enumerate(x)], "donor_id int, grp long, vec array<double>")
+    tree = boxes.build(points, 12, 64)
+    sizes = {r["node"]: r["n"] for r in tree.leaves.groupBy("node").agg(F.count("*").alias("n")).collect()}
+    assert sum(sizes.values()) == len(x) and max(sizes.values()) <= 64 and len(tree.levels) >= 3
+    queries = x[:40]
+    diff = x[None] - queries[:, None]
+    shared = (~np.isnan(diff)).sum(2)
+    dist = np.where(shared > 0, 12 / np.maximum(shared, 1) * np.nansum(diff**2, 2), np.inf)
+    kth = np.sort(dist, axis=1)[:, 5]
+    asked = spark.createDataFrame(
+        [(i, 0, [float(v) for v in q], -1, float(kth[i] * (1 + 1e-9))) for i, q in enumerate(queries)],
+        "query_id int, grp long, vec array<double>, slot int, reach double",
+    )
+    visits = boxes.leaves_within(tree, asked).select("query_id", "node").collect()
+    at = {r["donor_id"]: r["node"] for r in tree.leaves.select("donor_id", "node").collect()}
+    seen = {(r["query_id"], r["node"]) for r in visits}
+    assert all((i, at[j]) in seen for i in range(len(queries)) for j in np.flatnonzero(dist[i] <= kth[i]))
+    assert sum(sizes[r["node"]] for r in visits) < 0.15 * len(queries) * len(x)
+
+
 def test_few_donors(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 2.0, 10.0), (3, 3.0, 20.0)], "id int, a double, b double")
     got = {r["id"]: r["b"] for r in nb.knn_impute(df, df, ["a", "b"], 7, "id").collect()}
