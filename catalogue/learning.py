@@ -125,9 +125,28 @@ def _(d):
     return sp.smote_plan(d.view("fx_features"), "class")
 
 
-@query("smote_rows")
+def _smote_sql(k: int, seed: int) -> str:
+    zeroed = ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in FEATURES)
+    dist = " + ".join(f"pow(b.{c} - o.{c}, 2)" for c in FEATURES)
+    drawn = ", ".join(d6(f"m.{c} + m.gap * (o.{c} - m.{c})") + f" AS {c}" for c in FEATURES)
+    return f"""WITH x AS (SELECT vec_id, class, {zeroed} FROM fx_features),
+      sizes AS (SELECT class, count(*) AS n FROM x GROUP BY 1),
+      plan AS (SELECT class, n, (SELECT max(n) FROM sizes) - n AS make FROM sizes WHERE n > 1),
+      turn AS (SELECT x.*, make // n + CASE WHEN row_number() OVER (PARTITION BY x.class ORDER BY md5('{seed}|' || vec_id), CAST(vec_id AS VARCHAR)) <= make % n
+        THEN 1 ELSE 0 END AS copies FROM x JOIN plan ON x.class = plan.class WHERE make > 0),
+      near AS (SELECT * FROM (SELECT b.vec_id, o.vec_id AS other, row_number() OVER (PARTITION BY b.vec_id ORDER BY sqrt({dist}), o.vec_id) - 1 AS place
+        FROM turn b JOIN x o ON b.class = o.class AND b.vec_id <> o.vec_id WHERE b.copies > 0) q WHERE place < {k}),
+      found AS (SELECT vec_id, count(*) AS many FROM near GROUP BY 1),
+      drawn AS (SELECT *, md5('{seed}|' || vec_id || '|' || copy) AS draw FROM (SELECT *, unnest(range(0, CAST(copies AS BIGINT))) AS copy FROM turn) t),
+      m AS (SELECT d.*, CAST('0x' || substr(draw, 1, 7) AS BIGINT) % many AS pick, CAST('0x' || substr(draw, 9, 7) AS BIGINT) / 268435456.0 AS gap
+        FROM drawn d JOIN found ON found.vec_id = d.vec_id)
+      SELECT m.vec_id AS base_id, m.copy, m.class, {drawn} FROM m JOIN near ON near.vec_id = m.vec_id AND near.place = m.pick JOIN x o ON o.vec_id = near.other"""
+
+
+@query("smote_rows", _smote_sql(P.NEIGHBOURS_SMOTE, P.SEED))
 def _(d):
-    return sp.smote(complete_rows(d), "class", FEATURES, "vec_id", P.NEIGHBOURS_SMOTE, P.SEED)
+    made = sp.smote(complete_rows(d), "class", FEATURES, "vec_id", P.NEIGHBOURS_SMOTE, P.SEED)
+    return made.select("base_id", "copy", "class", *rounded(FEATURES))
 
 
 # ---------------------------------------------------------------- evaluation
