@@ -8,3 +8,9 @@ from pyspark.sql import SparkSession
 def exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(where) and files.getFileStatus(where).isDirectory()

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as val
 from ..operators.ordering import first_by
 from ..operators.schema import stringify_complex
+from .files import is_folder
 
 
 # Spark reads Latin-1 but not Windows-1252, which differs from it in the bytes 0x80 to 0x9F.
@@ -23,26 +26,49 @@ def _as_windows(df: DataFrame) -> DataFrame:
     return named.withColumns({c: F.translate(F.col(c), old, new) for c in texts})
 
 
+def _is_utf8(encoding: str) -> bool:
+    return encoding.upper() in ("UTF-8", "UTF8")
+
+
+def _file_path(uri: str) -> str:
+    """A file as the reader takes it: signs of a URI undone, those of a pattern escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def _read_as(reader: DataFrameReader, paths: str | list[str], encoding: str) -> DataFrame:
+    if encoding.lower() in ("cp1252", "windows-1252"):
+        return _as_windows(reader.option("encoding", "ISO-8859-1").csv(paths))
+    return reader.option("encoding", encoding).csv(paths)
+
+
 def read_table(
     spark: SparkSession, path: str, encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), schema: str | None = None
 ) -> DataFrame:
-    """Delimited text with a header; falls back to the next encoding if a text does not decode.
+    """Delimited text with a header; a file that does not decode is read in the last encoding.
 
-    The reader replaces bytes it cannot decode instead of failing, so the raw lines are
-    checked first; the check stops at the first line that is no UTF-8. A single-byte
-    encoding decodes anything, so it is taken as it comes.
+    Every file is judged by itself: only UTF-8 can be told from the bytes, since a
+    single-byte encoding fits anything, and the reader replaces bytes it cannot decode
+    instead of failing. Files of both kinds under one path are matched by column names, a
+    column some of them lack is null there. The driver holds the names of files, as the reader does.
     """
     reader = spark.read.option("sep", ";").option("header", True)
     if schema:
         reader = reader.schema(schema)
-    for encoding in encodings[:-1]:
-        # Only UTF-8 can be told from the bytes; a single-byte encoding fits anything.
-        broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).select(F.lit(1))
-        if encoding.upper() not in ("UTF-8", "UTF8") or not broken.take(1):
-            return reader.option("encoding", encoding).csv(path)
-    if encodings[-1].lower() in ("cp1252", "windows-1252"):
-        return _as_windows(reader.option("encoding", "ISO-8859-1").csv(path))
-    return reader.option("encoding", encodings[-1]).csv(path)
+    first, last = encodings[0], encodings[-1]
+    if len(encodings) == 1 or not _is_utf8(first):
+        return _read_as(reader, path, first)
+    lines = spark.read.text(path)
+    found = lines.filter(~F.is_valid_utf8("value")).select(F.input_file_name().alias("f")).distinct().collect()
+    broken = {row["f"] for row in found}
+    if not broken:
+        return _read_as(reader, path, first)
+    whole = set(lines.inputFiles()) - broken
+    if not whole:
+        return _read_as(reader, path, last)
+    if is_folder(spark, path):
+        reader = reader.option("basePath", path)
+    good, other = ([_file_path(f) for f in sorted(files)] for files in (whole, broken))
+    return _read_as(reader, good, first).unionByName(_read_as(reader, other, last), allowMissingColumns=True)
 
 
 def write_table(df: DataFrame, path: str) -> None:

@@ -26,6 +26,28 @@ def test_bom_and_fallback(spark, tmp_path):
     assert tb.read_table(spark, str(tmp_path / "west.csv"), ("UTF-8", "windows-1252")).first()["nom"] == "é €œ"
 
 
+def test_encoding_of_each_file(spark, tmp_path):
+    """Names of files may hold signs that mean something in paths or patterns; columns are matched by name."""
+    (tmp_path / "é {a} [1].csv").write_bytes("id;nom\n1;é€\n".encode())
+    (tmp_path / "b%20c.csv").write_bytes("nom;id\né €œ;2\n".encode("cp1252"))
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "no_rows.csv").write_bytes(b"id;nom\n")
+    rows = {(r["id"], r["nom"]) for r in tb.read_table(spark, str(tmp_path), ("UTF-8", "cp1252")).collect()}
+    assert rows == {("1", "é€"), ("2", "é €œ")}
+    (tmp_path / "c d.csv").write_bytes("id;âge\n3;ü\n".encode("cp1252"))
+    (tmp_path / "b%20c.csv").write_bytes("id;nom\n2;a\n".encode())
+    rows = {(r["id"], r["nom"], r["âge"]) for r in tb.read_table(spark, str(tmp_path)).collect()}
+    assert rows == {("1", "é€", None), ("2", "a", None), ("3", None, "ü")}
+
+
+def test_partitions_stay_when_encodings_differ(spark, tmp_path):
+    for city, code in (("a", "utf-8"), ("b", "latin-1")):
+        (tmp_path / f"city={city}").mkdir()
+        (tmp_path / f"city={city}" / "t.csv").write_bytes(f"id;nom\n{city}1;é\n".encode(code))
+    rows = {(r["id"], r["nom"], r["city"]) for r in tb.read_table(spark, str(tmp_path)).collect()}
+    assert rows == {("a1", "é", "a"), ("b1", "é", "b")}
+
+
 def test_lookup_last_wins(spark, tmp_path):
     (tmp_path / "l.csv").write_text("k;v\n a ;1\nb;2\na;3\n;9\n")
     got = {r["key"]: r["value"] for r in tb.read_lookup(spark, str(tmp_path / "l.csv"), "k", "v").collect()}
