@@ -151,6 +151,25 @@ def _(d):
     return out.select("seg_id", r6("distance").alias("distance"), *[F.col(f"near_{c}").alias(c) for c in ("mh_id", "ground", "invert", "depth")])
 
 
+BY_CITY = """WITH m AS (SELECT *, concat('C', CAST(CAST(substr(mh_id, 2) AS BIGINT) % 25 AS VARCHAR)) AS city FROM fx_manholes),
+  near AS (SELECT s.seg_id, sqrt((m.x-s.x0)*(m.x-s.x0)+(m.y-s.y0)*(m.y-s.y0)) AS dist, m.mh_id, m.ground FROM fx_segments s
+    JOIN m ON m.city = s.city AND m.x BETWEEN s.x0 - 50 AND s.x0 + 50 AND m.y BETWEEN s.y0 - 50 AND s.y0 + 50),
+  tied AS (SELECT *, rank() OVER (PARTITION BY seg_id ORDER BY dist) AS rk FROM near WHERE dist <= 50),
+  best AS (SELECT seg_id, min(dist) AS dist, min(mh_id) AS mh_id, arg_min(ground, mh_id) FILTER (WHERE ground IS NOT NULL) AS ground
+    FROM tied WHERE rk = 1 GROUP BY 1)"""
+
+
+@query("nearest_by_city", f"""{BY_CITY} SELECT s.seg_id, s.city, {d6('b.dist')} AS distance, b.mh_id, b.ground
+  FROM fx_segments s LEFT JOIN best b ON b.seg_id = s.seg_id""")
+def _(d):
+    starts = d.segments().select("seg_id", "city", F.col("x0").alias("x"), F.col("y0").alias("y"))
+    city = F.concat(F.lit("C"), F.substring("mh_id", 2, 20).cast("bigint") % 25)
+    holes = d.view("fx_manholes").withColumn("city", city)
+    # Small leaves, so that bins are split.
+    out = nn.nearest_join(starts, holes, 50.0, ["mh_id", "ground"], "mh_id", partition=["city"], leaf=4)
+    return out.select("seg_id", "city", r6("distance").alias("distance"), F.col("near_mh_id").alias("mh_id"), F.col("near_ground").alias("ground"))
+
+
 def with_nodes(d: Data):
     fields = {"id": "mh_id", "ground": "ground", "invert": "invert", "mdepth": "depth"}
     lines = d.lines().drop("ground")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -12,8 +12,9 @@ from ..functions import values as val
 from ..session import scratch_path
 from ..sources.tables import checkpoint_table
 
-CROWDED = 1_000  # places in one bin from which the search goes step by step
-CROWDED_STEPS = (1 / 256, 1 / 32, 1 / 4)  # shares of the distance tried before all of it
+LEAF = 128  # places a bin may hold before it is split
+SPLIT = 4  # cells a split bin has along each side
+BOX = ("_x0", "_x1", "_y0", "_y1")
 
 
 def _bin(c: Column, size: float) -> Column:
@@ -25,53 +26,106 @@ def _first_present(key: str, c: str) -> Column:
     return F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(key).alias("k"), F.col(c).alias("v"))))
 
 
-def _meet(asked: DataFrame, places: DataFrame, by: Sequence[str], x: str, y: str, reach: float) -> DataFrame:
-    """Pairs of places at most ``reach`` apart, met in square bins of that side.
+def _located(c: Column) -> Column:
+    """Neither null, NaN nor infinite."""
+    return F.abs(c) < F.lit(float("inf"))
 
-    The join key is equality of bins, never a distance condition. The nine bins around a
-    place come from two explodes.
-    """
-    offset = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
-    around = (
-        places.withColumn("_i", F.explode(offset)).withColumn("_j", F.explode(offset))
-        .withColumn("_bx", _bin(F.col("_rx"), reach) + F.col("_i"))
-        .withColumn("_by", _bin(F.col("_ry"), reach) + F.col("_j"))
-        .drop("_i", "_j")
+
+def _boxes(members: DataFrame, key: Sequence[str], leaf: int) -> DataFrame:
+    """Bins with the smallest box around their places, and whether they are to be split."""
+    return members.groupBy(*key).agg(
+        (F.count(F.lit(1)) > leaf).alias("_split"), F.min("_rx").alias("_x0"), F.max("_rx").alias("_x1"),
+        F.min("_ry").alias("_y0"), F.max("_ry").alias("_y1"),
     )
-    binned = asked.withColumn("_lx", _bin(F.col(x), reach)).withColumn("_ly", _bin(F.col(y), reach))
-    cond = (F.col("_lx") == F.col("_bx")) & (F.col("_ly") == F.col("_by"))
-    for c in by:
-        cond = cond & (F.col(c) == F.col(f"_p_{c}"))
-    dist = geo.dist_pp(F.col(x), F.col(y), F.col("_rx"), F.col("_ry"))
-    met = binned.join(around, cond).withColumn("_d", dist).filter(F.col("_d") <= reach)
-    return met.drop("_lx", "_ly", "_bx", "_by")
 
 
-def _meet_crowded(asked: DataFrame, places: DataFrame, by: Sequence[str], x: str, y: str, reach: float) -> DataFrame:
-    """``_meet`` where some bins hold very many places.
+def _cell(c: str, low: str, high: str) -> Column:
+    """Which of the cells between two bounds a value falls in; the bounds lie in the first and the last."""
+    share = (F.col(c) - F.col(low)) / (F.col(high) - F.col(low))
+    inner = F.least(F.floor(share * SPLIT), F.lit(SPLIT - 1))
+    return F.when(F.col(low) == F.col(high), 0).when(F.col(c) == F.col(high), SPLIT - 1).otherwise(inner).cast("int")
+
+
+def bin_tree(places: DataFrame, by: Sequence[str], reach: float, leaf: int = LEAF) -> list[tuple[DataFrame, DataFrame]]:
+    """Bins and their places, level by level; a bin of more than ``leaf`` places is split on the next level.
 
-    A place with a neighbour within a small distance needs no wider search, so growing
-    distances are tried and only the places without any neighbour yet go on. Nothing is
-    left out: whatever remains takes the full distance.
+    The first level is a grid of side ``reach``. A bin is split along the box around its places, so that a dense
+    spot in a wide bin is found in one step. Places differ, and those at the bounds of a box part, so every
+    split makes the bins smaller and the last level has none to split. ``_path`` has one digit a level.
+    Both frames of a level are written tables.
     """
-    spark, found = asked.sparkSession, None
-    open_places = asked
-    for part in CROWDED_STEPS:
-        met = checkpoint_table(_meet(open_places, places, by, x, y, reach * part), scratch_path(spark, "near"))
-        found = met if found is None else found.union(met)
-        settled = met.select(*by, x, y).distinct()
-        open_places = checkpoint_table(open_places.join(settled, [*by, x, y], "left_anti"), scratch_path(spark, "open"))
-    return found.union(_meet(open_places, places, by, x, y, reach).select(*found.columns))
+    spark, key = places.sparkSession, [*by, "_bx", "_by", "_path"]
+    members = places.withColumns({"_bx": _bin(F.col("_rx"), reach), "_by": _bin(F.col("_ry"), reach), "_path": F.lit("")})
+    levels = []
+    while True:
+        members = checkpoint_table(members, scratch_path(spark, "places"))
+        bins = checkpoint_table(_boxes(members, key, leaf), scratch_path(spark, "bins"))
+        levels.append((members, bins))
+        full = bins.filter("_split")
+        if full.isEmpty():
+            return levels
+        digit = F.hex(_cell("_rx", "_x0", "_x1") * SPLIT + _cell("_ry", "_y0", "_y1"))
+        inside = members.join(full.select(*key, *BOX), key)
+        members = inside.withColumn("_path", F.concat("_path", digit)).select(*members.columns)
+
+
+def _span(x: Column, y: Column, farthest: bool = False) -> Column:
+    """Distance from a point to the nearest spot of a box, or to its farthest.
+
+    It is made of the same steps as the distance of two points, each of which keeps order, so no rounding puts
+    a place of the box outside these bounds.
+    """
+    if farthest:
+        dx = F.greatest(F.abs(x - F.col("_x0")), F.abs(F.col("_x1") - x))
+        dy = F.greatest(F.abs(y - F.col("_y0")), F.abs(F.col("_y1") - y))
+    else:
+        dx = F.greatest(F.col("_x0") - x, F.lit(0.0), x - F.col("_x1"))
+        dy = F.greatest(F.col("_y0") - y, F.lit(0.0), y - F.col("_y1"))
+    return geo.hypot(dx, dy)
+
 
+def _meet(asked: DataFrame, levels: Sequence[tuple[DataFrame, DataFrame]], by: Sequence[str], x: str, y: str, reach: float) -> DataFrame:
+    """Pairs of asked and right places at most ``reach`` apart, the nearest of each asked place among them.
 
-def _is_crowded(places: DataFrame, by: Sequence[str], reach: float, crowded: int) -> bool:
-    bins = [*[F.col(f"_p_{c}") for c in by], _bin(F.col("_rx"), reach), _bin(F.col("_ry"), reach)]
-    return bool(places.groupBy(*bins).count().filter(F.col("count") > crowded).take(1))
+    Asked places meet the bins around them by equality of bins, never by a distance condition; the nine bins
+    around come from two explodes over bins, not places. If any bin was split, an asked place goes on only to those
+    that begin nearer than the nearest bin ends, level by level. At last it meets the places of the bins left to it.
+    """
+    spark, place = asked.sparkSession, [*[f"_q_{c}" for c in by], "_qx", "_qy"]
+    key = [*[f"_p_{c}" for c in by], "_bx", "_by", "_path"]
+    offset = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
+    around = levels[0][1].withColumn("_i", F.explode(offset)).withColumn("_j", F.explode(offset)).withColumns(
+        {"_lx": F.col("_bx") + F.col("_i"), "_ly": F.col("_by") + F.col("_j")}
+    ).drop("_i", "_j")
+    points = asked.select(
+        *[F.col(c).alias(f"_q_{c}") for c in by], F.col(x).alias("_qx"), F.col(y).alias("_qy"),
+        _bin(F.col(x), reach).alias("_ax"), _bin(F.col(y), reach).alias("_ay"),
+    )
+    cond = (F.col("_ax") == F.col("_lx")) & (F.col("_ay") == F.col("_ly"))
+    for c in by:
+        cond = cond & (F.col(f"_q_{c}") == F.col(f"_p_{c}"))
+    pairs = points.join(around, cond).drop("_ax", "_ay", "_lx", "_ly").withColumn("_bound", F.lit(float(reach)))
+    near, far = _span(F.col("_qx"), F.col("_qy")), _span(F.col("_qx"), F.col("_qy"), farthest=True)
+    found = None
+    for level, (members, _) in enumerate(levels):
+        if level:
+            above = pairs.filter("_split").select(*place, *key[:-1], F.col("_path").alias("_above"), "_bound")
+            children = levels[level][1].withColumn("_above", F.substring("_path", 1, level - 1))
+            pairs = above.join(children, [*key[:-1], "_above"]).drop("_above")
+        if len(levels) > 1:
+            best = F.min(far).over(Window.partitionBy(*place))
+            pairs = pairs.withColumn("_bound", F.least("_bound", best)).filter(near <= F.col("_bound"))
+            pairs = checkpoint_table(pairs, scratch_path(spark, "walk"))
+        ends = pairs.filter(~F.col("_split") & (near <= F.col("_bound"))).select(*place, *key)
+        dist = geo.dist_pp(F.col("_qx"), F.col("_qy"), F.col("_rx"), F.col("_ry"))
+        met = ends.join(members, key).drop(*key).withColumn("_d", dist).filter(F.col("_d") <= reach)
+        found = met if found is None else found.unionByName(met)
+    return found
 
 
 def nearest_join(
     left: DataFrame, right: DataFrame, max_distance: float, cols: Sequence[str], tie_key: str,
-    xy: tuple[str, str] = ("x", "y"), partition: Sequence[str] = (), crowded: int = CROWDED,
+    xy: tuple[str, str] = ("x", "y"), partition: Sequence[str] = (), leaf: int = LEAF,
 ) -> DataFrame:
     """Attach to every left row the columns of its nearest right row within a distance.
 
@@ -81,22 +135,25 @@ def nearest_join(
 
     Right rows at one place always tie, and left rows at one place share their answer,
     so both sides are first reduced to one row per place with partial aggregation. A
-    place that holds a third of the table therefore costs one row. If a bin still holds
-    more than ``crowded`` places, growing distances are searched in turn.
+    place that holds a third of the table therefore costs one row. Places lie in bins that
+    are split until none holds more than ``leaf`` of them (``bin_tree``). Coordinates that are
+    null, NaN or infinite are near nothing.
     """
     x, y = xy
     by = list(partition)
-    places = right.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, x, y).agg(
+    reach = float(max_distance)
+    places = right.filter(_located(F.col(x)) & _located(F.col(y))).groupBy(*by, x, y).agg(
         *[_first_present(tie_key, c).alias(f"_r_{c}") for c in cols]
     )
     places = places.select(
         *[F.col(c).alias(f"_p_{c}") for c in by], F.col(x).alias("_rx"), F.col(y).alias("_ry"), *[f"_r_{c}" for c in cols]
     )
-    asked = left.select(*by, x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
-    meet = _meet_crowded if _is_crowded(places, by, max_distance, crowded) else _meet
-    met = meet(asked, places, by, x, y, float(max_distance))
+    asked = left.select(*by, x, y).filter(_located(F.col(x)) & _located(F.col(y))).distinct()
+    levels = bin_tree(places, [f"_p_{c}" for c in by], reach, leaf)
+    place = [*[f"_q_{c}" for c in by], "_qx", "_qy"]
+    met = _meet(asked, levels, by, x, y, reach)
     # Smallest (distance, tie key) that has a value; it counts if it is at the least distance.
-    picks = met.groupBy(*by, x, y).agg(
+    picks = met.groupBy(*place).agg(
         F.min("_d").alias("distance"),
         *[
             F.min(F.when(F.col(f"_r_{c}").isNotNull(), F.struct(F.col("_d").alias("d"), F.col(f"_r_{c}").alias("r"))))
@@ -105,7 +162,7 @@ def nearest_join(
         ],
     )
     answers = picks.select(
-        *[F.col(c).alias(f"_a_{c}") for c in [*by, x, y]],
+        *[F.col(q).alias(f"_a_{c}") for q, c in zip(place, [*by, x, y])],
         F.col("distance"),
         *[F.when(F.col(f"_m_{c}.d") == F.col("distance"), F.col(f"_m_{c}.r.v")).alias(f"near_{c}") for c in cols],
     )

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def test_nearest_in_crowded_bins(spark):
     left = [(i, rnd.gauss(5, 0.06), rnd.gauss(5, 0.06)) for i in range(200)] + [(500, 6.4, 5.0), (501, 9.0, 9.0), (502, 6.9, 5.0)]
     out = nn.nearest_join(
         spark.createDataFrame(left, "id int, x double, y double"), spark.createDataFrame(right, "k int, x double, y double"), 2.0, ["k"], "k",
-        crowded=50,
+        leaf=16,
     )
     got = {r["id"]: (r["distance"], r["near_k"]) for r in out.collect()}
     assert len(got) == len(left)
@@ -95,6 +96,36 @@ def test_nearest_in_crowded_bins(spark):
         assert got[i] == (pytest.approx(best[0]), best[1]) if best[0] <= 2 else got[i] == (None, None)
 
 
+def test_nearest_odd_coordinates(spark):
+    """Infinite, NaN and missing coordinates are near nothing and hide nothing; equal distances in two leaves tie."""
+    nan, inf = float("nan"), float("inf")
+    right = [("n", nan, 0.0), ("i", inf, 0.0), ("m", None, 0.0), ("b", 1.0, 0.0), ("a", -1.0, 0.0), ("c", 0.0, 1.0), ("f", 0.9, 1.7)]
+    left = [(1, 0.0, 0.0), (2, nan, 0.0), (3, inf, 0.0), (4, None, None)]
+    lefts, rights = spark.createDataFrame(left, "id int, x double, y double"), spark.createDataFrame(right, "k string, x double, y double")
+    for leaf in (1, 256):
+        out = {r["id"]: (r["distance"], r["near_k"]) for r in nn.nearest_join(lefts, rights, 4.0, ["k"], "k", leaf=leaf).collect()}
+        assert out == {1: (1.0, "a"), 2: (None, None), 3: (None, None), 4: (None, None)}
+        assert nn.nearest_join(lefts, rights.limit(0), 4.0, ["k"], "k", leaf=leaf).filter("distance IS NULL").count() == 4
+
+
+def test_dense_cluster_is_near_linear(spark):
+    """100 000 places on a spot of a thousandth of the distance: each asked place meets few of them."""
+    n = 100_000
+    u = (F.xxhash64("id", F.lit(1)).cast("double") / 2.0**63) * 1e-3
+    v = (F.xxhash64("id", F.lit(2)).cast("double") / 2.0**63) * 1e-3
+    right = spark.range(n).select(F.col("id").alias("k"), u.alias("x"), v.alias("y"))
+    asked = spark.range(n, n + 4_000).select("id", u.alias("x"), v.alias("y"))
+    places = right.select(F.col("x").alias("_rx"), F.col("y").alias("_ry"), F.struct("k").alias("_r_k"))
+    levels = nn.bin_tree(places, [], 1.0)
+    assert levels[-1][1].filter("_split").isEmpty()
+    assert nn._meet(asked, levels, [], "x", "y", 1.0).count() < 4_000 * n / 100
+    got = {r["id"]: r["near_k"] for r in nn.nearest_join(asked, right, 1.0, ["k"], "k").filter("id % 40 = 0").collect()}
+    r = np.array([[a["k"], a["x"], a["y"]] for a in right.collect()])
+    for a in asked.filter("id % 40 = 0").collect():
+        d = np.sqrt((r[:, 1] - a["x"]) ** 2 + (r[:, 2] - a["y"]) ** 2)
+        assert got[a["id"]] == int(r[d == d.min(), 0].min())
+
+
 def test_nearest_by_city(spark):
     left = spark.createDataFrame([(1, "A", 0.0, 0.0), (2, "B", 0.0, 0.0)], "id int, city string, x double, y double")
     right = spark.createDataFrame([("m", "A", 0.5, 0.0)], "k string, city string, x double, y double")
