@@ -20,6 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed
 from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ from ..sources.tables import checkpoint_table
 from .evaluate import MacroF1
 from .sampling import stratified_folds
 
+REWRITE = 10  # rounds of adaptive boosting between two writes of the rows
+
 KINDS = ("forest", "extra_trees", "boosting", "adaboost", "tree")
 
 
@@ -47,8 +50,9 @@ class AdaptiveBoost(Estimator, _Rounds, HasLabelCol, HasFeaturesCol, HasPredicti
     """Multi-class adaptive boosting of shallow trees (the SAMME rule).
 
     Each round fits one distributed tree on weighted rows, takes the weighted error in one
-    aggregate, and raises the weights of the rows it got wrong. The reweighted rows are
-    written to the shared folder after every round, which keeps the plan short.
+    aggregate, and raises the weights of the rows it got wrong. The weight of a row follows from
+    the trees since the rows were last written, in one expression; every ``REWRITE`` rounds
+    the rows are written anew, so neither the work of a round nor the plan grows with the rounds.
     """
 
     @keyword_only
@@ -70,26 +74,36 @@ class AdaptiveBoost(Estimator, _Rounds, HasLabelCol, HasFeaturesCol, HasPredicti
             labelCol=label, featuresCol=features, weightCol="_w", maxDepth=self.getOrDefault(self.maxDepth),
             predictionCol="_pred", probabilityCol="_prob", rawPredictionCol="_raw", seed=self.getSeed(),
         )
-        trees, votes = [], []
-        for _ in range(self.getOrDefault(self.rounds)):
-            fitted = tree.fit(rows)
-            scored = fitted.transform(rows).withColumn("_miss", (F.col("_pred") != F.col(label)).cast("double"))
+        trees, votes, fresh = FlatTrees(), [], FlatTrees()
+        gains = np.zeros(0)
+        weighted, scale = rows, 1.0
+        for turn in range(self.getOrDefault(self.rounds)):
+            fitted = tree.fit(weighted)
+            scored = fitted.transform(weighted).withColumn("_miss", (F.col("_pred") != F.col(label)).cast("double"))
             sums = scored.agg(F.sum(F.col("_w") * F.col("_miss")).alias("e"), F.sum("_w").alias("t")).first()
             error = sums["e"] / sums["t"]
-            if error >= 1 - 1 / k:
-                if not trees:
-                    trees, votes = [fitted], [1.0]
-                break
-            if error <= 0:
-                trees.append(fitted)
-                votes.append(1.0)
+            useless, perfect = error >= 1 - 1 / k, error <= 0
+            if useless and votes:
                 break
-            vote = rate * float(_log((1 - error) / error) + _log(k - 1))
-            trees.append(fitted)
+            vote = 1.0 if useless or perfect else rate * float(_log((1 - error) / error) + _log(k - 1))
+            trees.add(fitted)
             votes.append(vote)
-            heavier = F.col("_w") * F.exp(F.col("_miss") * vote) / sums["t"]
-            rows = checkpoint_table(scored.select(label, features, heavier.alias("_w")), scratch_path(spark, "boost"))
-        return AdaptiveBoostModel(trees, votes, k, features, self.getPredictionCol())
+            gain = vote * fitted.featureImportances.toArray()
+            gains = gain if turn == 0 else gains + gain
+            if useless or perfect:
+                break
+            fresh.add(fitted)
+            missed = F.zip_with(
+                fresh.leaves(features), _numbers(votes[-len(fresh.roots):], "double"),
+                lambda c, v: F.when(c != F.col(label), v).otherwise(F.lit(0.0)),
+            )
+            scale *= sums["t"]  # keeps the weights near 1/n
+            heavier = F.col("_w") * F.exp(F.aggregate(missed, F.lit(0.0), lambda a, b: a + b)) / F.lit(float(scale))
+            weighted = rows.withColumn("_w", heavier)
+            if len(fresh.roots) == REWRITE:
+                rows = weighted = checkpoint_table(weighted, scratch_path(spark, "boost"))
+                fresh, scale = FlatTrees(), 1.0
+        return AdaptiveBoostModel.of(trees, votes, k, gains, features, self.getPredictionCol())
 
 
 def _log(x: float) -> float:
@@ -98,27 +112,100 @@ def _log(x: float) -> float:
     return math.log(x) if x > 0 else 0.0
 
 
-class AdaptiveBoostModel(Model):
-    """Trees with their votes; the class with the largest vote wins."""
+def _numbers(values: Sequence, kind: str) -> Column:
+    """A list of any length as one literal; the text of a float says it exactly."""
+    return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast(f"array<{kind}>")
 
-    def __init__(self, trees=(), votes=(), classes: int = 2, features: str = "features", prediction: str = "prediction"):
-        super().__init__()
-        self.trees, self.votes, self.classes = list(trees), list(votes), classes
-        self.features, self.prediction = features, prediction
+
+class FlatTrees:
+    """Trees as arrays over all their nodes: the feature asked (-1 in a leaf), the threshold, both children, the class.
+
+    Rows are scored by one expression whose size does not depend on the number of trees.
+    """
+
+    def __init__(self, feature=(), threshold=(), left=(), right=(), leaf=(), roots=(), depth=0):
+        self.feature, self.threshold, self.left, self.right = list(feature), list(threshold), list(left), list(right)
+        self.leaf, self.roots, self.depth = list(leaf), list(roots), int(depth)
+
+    def add(self, tree) -> None:
+        """Append a fitted tree over measures."""
+        self.roots.append(len(self.feature))
+        self.depth = max(self.depth, tree.depth)
+        waiting = [(tree._java_obj.rootNode(), None, None)]
+        while waiting:
+            node, side, parent = waiting.pop()
+            at = len(self.feature)
+            if parent is not None:
+                side[parent] = at
+            inner = node.subtreeDepth() > 0
+            if inner and not hasattr(node.split(), "threshold"):
+                raise ValueError("a tree that splits by categories; give measures or codes without nominal metadata")
+            self.feature.append(int(node.split().featureIndex()) if inner else -1)
+            self.threshold.append(float(node.split().threshold()) if inner else 0.0)
+            self.left.append(0)
+            self.right.append(0)
+            self.leaf.append(int(node.prediction()))
+            if inner:
+                waiting += [(node.leftChild(), self.left, at), (node.rightChild(), self.right, at)]
+
+    def leaves(self, features: str) -> Column:
+        """Class each tree gives, as an array."""
+        feature, threshold = _numbers(self.feature, "int"), _numbers(self.threshold, "double")
+        left, right, leaf = _numbers(self.left, "int"), _numbers(self.right, "int"), _numbers(self.leaf, "int")
+        steps = F.array_repeat(F.lit(0), self.depth)
+
+        def fall(x: Column, root: Column) -> Column:
+            def step(at: Column, _: Column) -> Column:
+                asked = F.get(feature, at)
+                below = F.when(F.get(x, asked) <= F.get(threshold, at), F.get(left, at)).otherwise(F.get(right, at))
+                return F.when(asked < 0, at).otherwise(below)
+
+            return F.get(leaf, F.aggregate(steps, root, step))
+
+        # The vector is unpacked once a row, by its name in the outer function.
+        unpacked = F.array(vector_to_array(F.col(features)))
+        return F.transform(unpacked, lambda x: F.transform(_numbers(self.roots, "int"), lambda root: fall(x, root)))[0]
+
+
+class AdaptiveBoostModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Flat trees with their votes; the class with the largest vote wins. All of it are parameters, so it can be stored."""
+
+    feature = Param(Params._dummy(), "feature", "feature a node asks, -1 in a leaf", TypeConverters.toListInt)
+    threshold = Param(Params._dummy(), "threshold", "largest value that goes left", TypeConverters.toListFloat)
+    left = Param(Params._dummy(), "left", "left child", TypeConverters.toListInt)
+    right = Param(Params._dummy(), "right", "right child", TypeConverters.toListInt)
+    leaf = Param(Params._dummy(), "leaf", "class of a node", TypeConverters.toListInt)
+    roots = Param(Params._dummy(), "roots", "first node of each tree", TypeConverters.toListInt)
+    depth = Param(Params._dummy(), "depth", "depth of the deepest tree", TypeConverters.toInt)
+    votes = Param(Params._dummy(), "votes", "vote of each tree", TypeConverters.toListFloat)
+    classes = Param(Params._dummy(), "classes", "number of classes", TypeConverters.toInt)
+    gains = Param(Params._dummy(), "gains", "importance of each feature, by votes", TypeConverters.toListFloat)
+
+    @classmethod
+    def of(cls, trees: FlatTrees, votes, classes: int, gains, features: str, prediction: str) -> AdaptiveBoostModel:
+        made = cls()
+        made._set(**vars(trees), votes=list(votes), classes=classes, gains=[float(g) for g in gains])
+        return made._set(featuresCol=features, predictionCol=prediction)
+
+    def flat(self) -> FlatTrees:
+        return FlatTrees(**{n: self.getOrDefault(n) for n in vars(FlatTrees())})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        total = sum(self.votes) or 1.0
-        out = dataset.withColumn("_score", F.array(*[F.lit(0.0)] * self.classes))
-        other = -1.0 / (self.classes - 1)
-        for tree, vote in zip(self.trees, self.votes):
-            tree.setFeaturesCol(self.features)
-            scored = tree.transform(out)
-            share = vote / total
-            votes = F.array(*[F.when(F.col("_pred") == c, F.lit(share)).otherwise(F.lit(share * other)) for c in range(self.classes)])
-            out = scored.withColumn("_score", F.zip_with("_score", votes, lambda a, b: a + b)).drop("_pred", "_prob", "_raw")
-        probability = softmax(F.transform("_score", lambda s: s / (self.classes - 1)))
+        votes, k = self.getOrDefault(self.votes), self.getOrDefault(self.classes)
+        total = sum(votes) or 1.0
+        shares = [v / total for v in votes]
+        cast = dataset.withColumn("_cast", F.zip_with(
+            self.flat().leaves(self.getFeaturesCol()), _numbers(shares, "double"), lambda c, v: F.struct(c.alias("c"), v.alias("v"))
+        ))
+
+        def score(c: Column) -> Column:
+            given = F.transform("_cast", lambda one: F.when(one["c"] == c, one["v"]).otherwise(one["v"] * (-1.0 / (k - 1))))
+            return F.aggregate(given, F.lit(0.0), lambda a, b: a + b)
+
+        scored = cast.withColumn("_score", F.transform(F.sequence(F.lit(0), F.lit(k - 1)), score))
+        probability = softmax(F.transform("_score", lambda v: v / (k - 1)))
         best = (F.array_position("_score", F.array_max("_score")) - 1).cast("double")
-        return out.withColumn("probability", array_to_vector(probability)).withColumn(self.prediction, best).drop("_score")
+        return scored.withColumn("probability", array_to_vector(probability)).withColumn(self.getPredictionCol(), best).drop("_score", "_cast")
 
 
 def softmax(scores: Column) -> Column:
@@ -176,7 +263,7 @@ def importances(model) -> np.ndarray:
     Boosted stumps count by their votes, classes learnt one against the rest all alike.
     """
     if isinstance(model, AdaptiveBoostModel):
-        made = sum(vote * importances(tree) for tree, vote in zip(model.trees, model.votes))
+        made = np.array(model.getOrDefault(model.gains))
     elif isinstance(model, OneVsRestModel):
         made = sum(importances(one) for one in model.models)
     else:
