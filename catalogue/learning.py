@@ -232,6 +232,25 @@ def _(d):
     return d.spark.createDataFrame(rows, "depth int, leaf int, impurity string, f1 double")
 
 
+@query("artifact_kinds", " UNION ALL ".join(f"SELECT vec_id AS id, '{k}' AS kind, true AS same FROM fx_features" for k in sorted(SMALL)))
+def _(d):
+    """Every kind of learner, stored and read again: does each row get the same class and confidence?"""
+    from linenet.operators.models import predict_with_confidence, train
+    from linenet.sources import artifacts as ar
+
+    rows, path = checkpoint_table(ready(d), scratch_path(d.spark, "rows")), scratch_path(d.spark, "artifacts")
+    models = {kind: train(rows, kind, SMALL[kind]) for kind in sorted(SMALL)}
+    ar.save_artifacts(d.spark, path, models, {}, {})
+    stored, _, _ = ar.load_artifacts(d.spark, path, list(models), [])
+    out = None
+    for kind, model in models.items():
+        there = predict_with_confidence(stored[kind], rows).select(F.col("id").alias("_id"), F.struct("prediction", "confidence").alias("there"))
+        here = predict_with_confidence(model, rows).select("id", F.struct("prediction", "confidence").alias("here"))
+        same = here.join(there, F.col("id") == F.col("_id")).select("id", F.lit(kind).alias("kind"), (F.col("here") == F.col("there")).alias("same"))
+        out = same if out is None else out.union(same)
+    return out
+
+
 @query("artifact_round_trip")
 def _(d):
     """Predictions of a stored forest next to those of the one that was stored."""
@@ -360,6 +379,24 @@ def _(d):
     return QUERIES["complete_state"](d.spark, d.folder).select("vec_id", *(x for c in STATE_CODES for x in _settled(c)))
 
 
+def _level_sql(c: str) -> str:
+    return f"""{STATE_CODES[c]} AS "{c}_known", {_source_sql("part", "ExtraTrees")} AS "{c}_source",
+  CASE part WHEN 'original' THEN CAST(1 AS DOUBLE) WHEN 'excluded' THEN CAST(0 AS DOUBLE) END AS "{c}_sure", part <> 'excluded' AS "{c}_filled\""""
+
+
+@query("state_from_store", f"""WITH p AS ({STATE_PARTS}) SELECT vec_id, 'EDS_n1,EDS_n3' AS levels, {_level_sql("EDS_n1")}, {_level_sql("EDS_n3")} FROM p""")
+def _(d):
+    """Completion from a store that holds the first and the third level; the second is passed over."""
+    from linenet.plans import completion as co
+
+    rows, ins, path = inventory(d), _inputs(), scratch_path(d.spark, "store")
+    there = [level for level in P.STATE_LEVELS if level.column != "EDS_n2"]
+    co.stored_levels(rows, "etat", path, ins, "vec_id", "extra_trees", SMALL["extra_trees"], there, name="ExtraTrees")
+    out = co.complete_levels(rows, "etat", co.load_levels(d.spark, path), ins, "vec_id")
+    levels = ",".join(level.column for level in P.STATE_LEVELS if level.column in out.columns)
+    return out.select("vec_id", F.lit(levels).alias("levels"), *(x for level in there for x in _settled(level.column)))
+
+
 @query("experiment_grid")
 def _(d):
     from linenet.plans.experiment import best_models, run_grid

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import presets as P
@@ -15,6 +15,7 @@ from ..operators.models import assemble, predict_with_confidence, train
 from ..operators.neighbours import knn_impute
 from ..operators.schema import drop_suffix
 from ..session import scratch_path
+from ..sources.artifacts import load_artifacts, missing_artifacts, read_manifest, save_artifacts
 from ..sources.tables import checkpoint_table
 
 
@@ -87,6 +88,54 @@ def fit_completion(
     return Fitted(model, codes, donors.drop("label"), labels, name or kind)
 
 
+def save_fitted(spark: SparkSession, path: str, fitted: Fitted) -> None:
+    """Store all of it, or nothing that counts."""
+    tables = {"donors": fitted.donors, **{f"codes_{i}": codes for i, codes in enumerate(fitted.codes.values())}}
+    if fitted.labels is not None:
+        tables["labels"] = fitted.labels
+    save_artifacts(spark, path, {"model": fitted.model}, tables, {"name": fitted.name, "categories": list(fitted.codes)})
+
+
+def load_fitted(spark: SparkSession, path: str) -> Fitted | None:
+    """What ``save_fitted`` left, or None if there is no whole save or one of its parts is gone."""
+    manifest = read_manifest(spark, path)
+    if manifest is None or missing_artifacts(spark, path, [*manifest["models"], *manifest["tables"]]):
+        return None
+    models, tables, settings = load_artifacts(spark, path, manifest["models"], manifest["tables"])
+    codes = {c: tables[f"codes_{i}"] for i, c in enumerate(settings["categories"])}
+    return Fitted(models["model"], codes, tables["donors"], tables.get("labels"), settings["name"])
+
+
+def stored_completion(df: DataFrame, path: str, target: str, features: Features, id_col: str, kind: str, params: Mapping, **options) -> Fitted:
+    """``fit_completion``, unless the store already holds its result."""
+    spark = df.sparkSession
+    found = load_fitted(spark, path)
+    if found is None:
+        save_fitted(spark, path, fit_completion(df, target, features, id_col, kind, params, **options))
+        found = load_fitted(spark, path)
+    return found
+
+
+def stored_levels(
+    df: DataFrame, target: str, path: str, features: Features, id_col: str, kind: str, params: Mapping,
+    levels: Sequence[P.StateLevel] = P.STATE_LEVELS, name: str | None = None,
+) -> dict[str, Fitted]:
+    """A model per state level, each in a folder of its own below ``path``; only those not there are trained."""
+    return {
+        level.name: stored_completion(
+            df.withColumn("_code", val.recode_state(F.col(target), level.name)), f"{path}/{level.name}", "_code", features, id_col,
+            kind, params, name=name,
+        )
+        for level in levels
+    }
+
+
+def load_levels(spark: SparkSession, path: str, levels: Sequence[P.StateLevel] = P.STATE_LEVELS) -> dict[str, Fitted]:
+    """The levels whose store is whole; ``complete_levels`` passes over the others."""
+    found = {level.name: load_fitted(spark, f"{path}/{level.name}") for level in levels}
+    return {name: fitted for name, fitted in found.items() if fitted is not None}
+
+
 def _predictions(df: DataFrame, fitted: Fitted, features: Features, id_col: str) -> DataFrame:
     encoded = _encode(df.select(id_col, *features.all), features, fitted.codes).select(id_col, *features.encoded)
     filled = knn_impute(encoded, fitted.donors, features.encoded, P.NEIGHBOURS_IMPUTE, id_col)

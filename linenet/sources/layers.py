@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import GEOM
-from ..session import scratch_path
-from .tables import checkpoint_table
+from .files import replace_folder
 
 # Geometry type codes of well-known binary, the flags of its extended form, and the
 # further coordinates that the thousands of a code stand for.
@@ -160,10 +160,12 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, geometr
 def write_layer(df: DataFrame, path: str, layer: str | None = None, polygons: bool = False) -> None:
     """Write or replace one layer; ``polygons`` says that ``geom`` holds rings.
 
-    The rows are first written to the shared folder, so a layer can be replaced by something
-    computed from it; if the second write fails, that whole new copy is still there.
+    The rows are written once, beside the layer, and then take its name. So a layer can be replaced by
+    something computed from it, and a write that fails leaves the old one as it was.
     """
-    where = f"{path}/{layer}" if layer else path
+    where = (f"{path}/{layer}" if layer else path).rstrip("/")
     coded = to_wkb(df, polygons=polygons) if "geom" in df.columns else df
-    staged = checkpoint_table(coded, scratch_path(df.sparkSession, "layer"))
-    staged.write.mode("overwrite").parquet(where)
+    folder, name = where.rsplit("/", 1)
+    fresh = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    coded.write.parquet(fresh)
+    replace_folder(df.sparkSession, fresh, where)

@@ -1,5 +1,9 @@
 """Properties of what SQL cannot check: models, completion and the grid of experiments."""
 
+import random
+import shutil
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +17,8 @@ from linenet.operators import models as md
 from linenet.plans import completion as co
 from linenet.plans import experiment as ex
 from linenet.session import scratch_path
+from linenet.sources import artifacts as ar
+from linenet.sources.tables import checkpoint_table
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +59,73 @@ def test_artifacts(spark, folder):
     assert len(rows) == 500 and all(r["prediction"] == r["stored"] for r in rows)
 
 
+def test_thousand_flat_trees_against_a_plain_walk(spark):
+    rnd = random.Random(5)
+    flat, votes = md.FlatTrees(depth=2), []
+    for _ in range(1_000):
+        # A root, a leaf on its left and a further question on its right.
+        at = len(flat.feature)
+        flat.roots.append(at)
+        flat.feature += [rnd.randrange(3), -1, rnd.randrange(3), -1, -1]
+        flat.threshold += [rnd.random(), 0.0, rnd.random(), 0.0, 0.0]
+        flat.left += [at + 1, 0, at + 3, 0, 0]
+        flat.right += [at + 2, 0, at + 4, 0, 0]
+        flat.leaf += [rnd.randrange(4) for _ in range(5)]
+        votes.append(rnd.random())
+    model = md.AdaptiveBoostModel.of(flat, votes, 4, [1.0, 1.0, 2.0], "features", "prediction")
+    rows = [(i, *(rnd.random() for _ in range(3))) for i in range(60)] + [(60, *flat.threshold[:1] * 3)]
+    df = md.assemble(spark.createDataFrame(rows, "id int, a double, b double, c double"), ["a", "b", "c"])
+    got = {r["id"]: r["prediction"] for r in model.transform(df).collect()}
+    for i, *x in rows:
+        score = [0.0] * 4
+        for root, vote in zip(flat.roots, votes):
+            while flat.feature[root] >= 0:
+                root = (flat.left if x[flat.feature[root]] <= flat.threshold[root] else flat.right)[root]
+            score[flat.leaf[root]] += vote
+        assert got[i] == max(range(4), key=lambda c: score[c])
+    assert list(md.importances(model)) == [0.25, 0.25, 0.5]
+
+
+def test_boosting_past_a_rewrite(spark, data):
+    """More rounds than go between two writes of the rows; weights stay the plain rule's."""
+    rows = checkpoint_table(ready(data), scratch_path(spark, "rows"))
+    model = md.train(rows, "adaboost", {"rounds": md.REWRITE + 2, "maxDepth": 1})
+    flat, votes = model.flat(), model.getOrDefault(model.votes)
+    assert len(votes) == len(flat.roots) == md.REWRITE + 2
+    x = [(r["label"], r["features"].toArray()) for r in rows.collect()]
+    w = np.full(len(x), 1.0 / len(x))
+    for root, vote in zip(flat.roots, votes):
+        leaf = [flat.leaf[(flat.left if f[flat.feature[root]] <= flat.threshold[root] else flat.right)[root]] for _, f in x]
+        miss = np.array([c != label for c, (label, _) in zip(leaf, x)], dtype=float)
+        error = (w * miss).sum() / w.sum()
+        assert vote == pytest.approx(np.log((1 - error) / error) + np.log(3))
+        w = w * np.exp(miss * vote) / w.sum()
+
+
+def test_store_is_whole_or_absent(spark, data, tmp_path, monkeypatch):
+    rows, ins, path = inventory(data), co.Features(FEATURES, ["kind"], logs=["f1"]), str(tmp_path / "store")
+    two = P.STATE_LEVELS[:2]
+    first = co.stored_levels(rows, "etat", path, ins, "vec_id", "tree", SMALL["tree"], two)
+    assert set(first) == {level.name for level in two}
+
+    def no(*_, **__):
+        raise AssertionError("trained again")
+
+    monkeypatch.setattr(co, "train", no)
+    again = co.stored_levels(rows, "etat", path, ins, "vec_id", "tree", SMALL["tree"], two)
+    assert [f.name for f in again.values()] == ["tree", "tree"]
+    # A save that ends before its manifest leaves the former one.
+    broken = first[two[0].name].donors.select(F.raise_error(F.lit("lost")).alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        ar.save_artifacts(spark, f"{path}/{two[0].name}", {}, {"donors": broken}, {})
+    assert two[0].name in co.load_levels(spark, path)
+    # A part that is gone takes its level away.
+    level = f"{path}/{two[1].name}"
+    shutil.rmtree(f"{level}/{ar.read_manifest(spark, level)['folder']}/codes_0")
+    assert set(co.load_levels(spark, path)) == {two[0].name}
+    assert co.load_fitted(spark, f"{path}/none") is None
+
+
 @pytest.mark.parametrize("kind", ["boosting", "adaboost", "tree"])
 def test_importances_of_other_learners(spark, data, kind):
     table = md.importance_table(md.train(ready(data), kind, SMALL[kind]), FEATURES, spark).orderBy("rank").collect()

@@ -92,6 +92,16 @@ def test_grid_header_forms(spark, tmp_path):
     assert sorted(r["stem"] for r in gr.list_tiles(spark, str(tmp_path)).collect()) == ["a", "b"]
 
 
+def test_failing_write_leaves_the_layer(spark, tmp_path):
+    path = str(tmp_path / "net")
+    ly.write_layer(spark.createDataFrame([(1,), (2,)], "a int"), path, "one")
+    with pytest.raises(Exception, match="lost"):
+        ly.write_layer(spark.range(2).select(F.raise_error(F.lit("lost")).cast("int").alias("a")), path, "one")
+    assert sorted(r["a"] for r in ly.read_layer(spark, path, "one", geometry=False).collect()) == [1, 2]
+    ly.write_layer(ly.read_layer(spark, path, "one", geometry=False).filter("a > 1"), path, "one")
+    assert [r["a"] for r in ly.read_layer(spark, path, "one", geometry=False).collect()] == [2]
+
+
 def test_missing_artifacts(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "there"))
     assert ar.missing_artifacts(spark, str(tmp_path), ["there", "gone"]) == ["gone"]
