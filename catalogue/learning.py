@@ -204,6 +204,22 @@ for _kind in SMALL:
     query(f"train_{_kind}")(_train(_kind))
 
 
+@query("early_stopping", """WITH v AS (SELECT CASE WHEN coalesce(f1, 0) <= 0 THEN 0 WHEN coalesce(f2, 0) <= 0 THEN 1 ELSE 2 END AS label FROM fx_features)
+  SELECT label, count(*) AS n, CAST(round(count(*) * 0.15) AS BIGINT) AS n_held, true AS stopped FROM v GROUP BY 1""")
+def _(d):
+    """Classes that two features tell apart: rows held back of each, and whether its booster ended before the last round."""
+    from linenet.operators.models import assemble, rounds_of, train_stopping
+
+    rule = F.when(F.col("f1") <= 0, 0).when(F.col("f2") <= 0, 1).otherwise(2)
+    rows = assemble(complete_rows(d).withColumn("label", rule), FEATURES).select(F.col("vec_id").alias("id"), "label", "features")
+    rows = checkpoint_table(rows, scratch_path(d.spark, "rows"))
+    made = rounds_of(train_stopping(rows, {"maxIter": 20, "maxDepth": 3, "stepSize": 0.5, "validationTol": 0.2}, "id"))
+    stopped = F.element_at(F.array(*[F.lit(n < 20) for n in made]), F.col("label") + 1)
+    held = sp.stratified_split(rows, "label", P.VALIDATION_SHARE, "id", P.SEED, out="held")
+    counts = held.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("held").cast("bigint")).alias("n_held"))
+    return counts.withColumn("stopped", stopped)
+
+
 @query("predict_confidence")
 def _(d):
     """Rows per predicted class with their confidence, trained on one part and read on the other."""

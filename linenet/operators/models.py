@@ -28,7 +28,7 @@ from .. import presets as P
 from ..session import scratch_path
 from ..sources.tables import checkpoint_table
 from .evaluate import MacroF1
-from .sampling import stratified_folds
+from .sampling import stratified_folds, stratified_split
 
 REWRITE = 10  # rounds of adaptive boosting between two writes of the rows
 
@@ -246,6 +246,33 @@ def train(df: DataFrame, kind: str, params: Mapping, label: str = "label", weigh
     return estimator(kind, params, class_total(df, label), label, weight).fit(df)
 
 
+def train_stopping(
+    df: DataFrame, params: Mapping, id_col: str, label: str = "label", weight: str | None = None,
+    share: float = P.VALIDATION_SHARE, seed: int = P.SEED,
+):
+    """Gradient boosting that ends as soon as the loss of held-back rows no longer falls.
+
+    A ``share`` of each class is held back. No tree is grown on these rows; the trees up to the round of their
+    least loss stay. ``maxIter`` is the most rounds, ``validationTol`` the least gain that counts. Of several
+    classes each is learnt against the rest and ends by itself.
+    """
+    held = stratified_split(df, label, share, id_col, seed, out="_held")
+    kept = held.select(label, "features", "_held", *([weight] if weight else []))
+    rows = checkpoint_table(kept, scratch_path(df.sparkSession, "held"))
+    classes = class_total(rows, label)
+    if classes <= 2:
+        return estimator("boosting", {**params, "validationIndicatorCol": "_held"}, 2, label, weight).fit(rows)
+    booster = estimator("boosting", {**params, "validationIndicatorCol": "_held"}, 2, "_one", weight)
+    models = [booster.fit(rows.withColumn("_one", (F.col(label) == c).cast("double"))) for c in range(classes)]
+    whole = OneVsRest(classifier=booster, labelCol=label, featuresCol="features")
+    return whole._copyValues(OneVsRestModel(models=models))
+
+
+def rounds_of(model) -> list[int]:
+    """Trees of a booster, or of each of its classes."""
+    return [one.getNumTrees for one in (model.models if isinstance(model, OneVsRestModel) else [model])]
+
+
 def predict_with_confidence(model, df: DataFrame, pred: str = "prediction", confidence: str = "confidence") -> DataFrame:
     """Predicted class and the probability given to it."""
     scored = model.transform(df)

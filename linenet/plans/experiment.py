@@ -13,7 +13,7 @@ from ..functions import values as val
 from ..operators import cleaning as cl
 from ..operators import encoding as en
 from ..operators.evaluate import macro_scores
-from ..operators.models import assemble, predict_with_confidence, random_search, train
+from ..operators.models import assemble, predict_with_confidence, random_search, train, train_stopping
 from ..operators.neighbours import knn_impute
 from ..operators.ordering import auc, best_per_group
 from ..operators.sampling import smote, stratified_split
@@ -68,7 +68,8 @@ def run_grid(
     What an earlier run left in the table goes first.
     ``kinds`` maps a learner to its settings, ``search`` to a space it is tuned over. A
     failing cell is recorded and the rest goes on, and so is every cell of a level that can't be
-    prepared; an absent target is an error. AdaBoost takes no class weights. The
+    prepared; an absent target is an error. AdaBoost takes no class weights, boosting
+    with given settings ends early by a validation part. The
     driver loops over the cells only: preparing, fitting and scoring are Spark jobs.
     """
     spark = df.sparkSession
@@ -92,6 +93,8 @@ def run_grid(
                     weight = None if kind == "adaboost" else "weight"
                     if search and kind in search:
                         model, _, _ = random_search(weighted, kind, search[kind], draws, "id", weight=weight)
+                    elif kind == "boosting":
+                        model = train_stopping(weighted, params, "id", weight=weight)
                     else:
                         model = train(weighted, kind, params, weight=weight)
                     scored = checkpoint_table(

@@ -102,6 +102,24 @@ def test_boosting_past_a_rewrite(spark, data):
         w = w * np.exp(miss * vote) / w.sum()
 
 
+def test_early_stopping(spark, tmp_path):
+    """Noise is not learnt for long, a rule is learnt whole, and a stopped model of several classes can be stored."""
+    rnd = random.Random(2)
+    rows = [(i, i % 3, rnd.randrange(2), float(i % 3), rnd.random()) for i in range(300)]
+    df = md.assemble(spark.createDataFrame(rows, "id int, label int, noise int, a double, b double"), ["a", "b"])
+    most = {"maxIter": 20, "maxDepth": 3, "stepSize": 0.5}
+    # The loss of a rule learnt whole falls for ever, by less and less of it.
+    ruled = md.train_stopping(df, {**most, "validationTol": 0.2}, "id")
+    assert len(md.rounds_of(ruled)) == 3 and max(md.rounds_of(ruled)) < 20
+    assert evl.MacroF1().evaluate(md.predict_with_confidence(ruled, df)) == 1.0
+    noisy = md.train_stopping(df, most, "id", label="noise")
+    assert md.rounds_of(noisy)[0] < 10
+    assert md.rounds_of(md.train(df, "boosting", most, label="noise")) == [20]
+    ar.save_artifacts(spark, str(tmp_path / "s"), {"m": ruled}, {}, {})
+    again = ar.load_artifacts(spark, str(tmp_path / "s"), ["m"], [])[0]["m"]
+    assert md.rounds_of(again) == md.rounds_of(ruled)
+
+
 def test_store_is_whole_or_absent(spark, data, tmp_path, monkeypatch):
     rows, ins, path = inventory(data), co.Features(FEATURES, ["kind"], logs=["f1"]), str(tmp_path / "store")
     two = P.STATE_LEVELS[:2]
