@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions.values import none_if
+from ..session import scratch_path
+from ..sources.tables import checkpoint_table
 
 
 def bins_between(low: Column, high: Column, size: float) -> Column:
@@ -24,6 +26,17 @@ def _tile_bins(tiles: DataFrame, size: float) -> DataFrame:
     )
 
 
+def _met_bins(tiles: DataFrame, size: float, bins: DataFrame) -> DataFrame:
+    """Tiles by bin, of those bins alone that hold something.
+
+    They are written, so a join knows their size: few bins, which may each hold much, are sent to
+    every task, and only many are shuffled.
+    """
+    taken = bins.toDF("_ox", "_oy").distinct()
+    met = _tile_bins(tiles, size).join(taken, (F.col("_bx") == F.col("_ox")) & (F.col("_by") == F.col("_oy")), "left_semi")
+    return checkpoint_table(met, scratch_path(tiles.sparkSession, "bins"))
+
+
 def points_in_boxes(points: DataFrame, tiles: DataFrame, size: float) -> DataFrame:
     """Points with every tile whose interior holds them; an edge belongs to no tile.
 
@@ -37,7 +50,8 @@ def points_in_boxes(points: DataFrame, tiles: DataFrame, size: float) -> DataFra
         & (F.col("y") > F.col("t_ymin")) & (F.col("y") < F.col("t_ymax"))
     )
     cond = (F.col("_px") == F.col("_bx")) & (F.col("_py") == F.col("_by")) & inside
-    return placed.join(_tile_bins(tiles, size), cond, "left").drop("_px", "_py", "_bx", "_by")
+    met = _met_bins(tiles, size, placed.select("_px", "_py"))
+    return placed.join(met, cond, "left").drop("_px", "_py", "_bx", "_by")
 
 
 def cell_of(x: Column, y: Column, xmin: Column, ymax: Column, cell: Column) -> tuple[Column, Column]:
