@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from ..sources.tables import checkpoint_table
 from .neighbours import nearest_rows
 from .profiles import class_counts
 
@@ -27,8 +29,10 @@ def hash_cuts(
     A rank is an expression over the class size ``n`` and, if given, the columns of a
     plan that has one row per class, the class named ``_pl``. Counting per bucket finds the
     bucket a rank falls in; only the rows of those buckets are put in order. A row is
-    then placed by comparing its hash with the cuts, so the wide rows never shuffle.
+    then placed by comparing its hash with the cuts. Buckets and cuts are written: both are a few rows
+    per class, and a join that knows their size need not gather all rows of a class in one task.
     """
+    spark = df.sparkSession
     keyed = df.select(F.col(label).alias("_label"), row_hash(seed, id_col).alias("_h"), F.col(id_col).cast("string").alias("_id"))
     keyed = keyed.withColumn("_bucket", F.substring("_h", 1, DIGITS))
     counts = keyed.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -44,14 +48,16 @@ def hash_cuts(
         "_want", F.filter(wanted, lambda w: (w["r"] > F.col("_before")) & (w["r"] <= F.col("_before") + F.col("_n")))
     ).filter(F.size("_want") > 0)
     falls = falls.select(F.col("_label").alias("_fl"), F.col("_bucket").alias("_fb"), "_before", "_want")
+    falls = checkpoint_table(falls, scratch_path(spark, "falls"))
     near = keyed.join(falls, F.col("_label").eqNullSafe(F.col("_fl")) & (F.col("_bucket") == F.col("_fb")))
     order = Window.partitionBy("_label", "_bucket").orderBy("_h", "_id")
     ranked = near.withColumn("_rank", F.row_number().over(order) + F.col("_before"))
     hits = ranked.select("_label", "_rank", F.struct("_h", "_id").alias("_cut"), F.explode("_want").alias("_w"))
     hits = hits.filter(F.col("_w.r") == F.col("_rank"))
-    return hits.groupBy("_label").agg(
+    cuts = hits.groupBy("_label").agg(
         *[F.max(F.when(F.col("_w.i") == i, F.col("_cut"))).alias(f"cut_{i}") for i in range(len(ranks))]
     )
+    return checkpoint_table(cuts, scratch_path(spark, "cuts"))
 
 
 def _placed(df: DataFrame, label: str, id_col: str, seed: int, cuts: DataFrame) -> DataFrame:

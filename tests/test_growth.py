@@ -53,3 +53,9 @@ def test_points_meet_few_tiles_without_gathering(spark):
     met = ti.points_in_boxes(points, grid(spark), 10.0)
     assert "SortMergeJoin" not in first_plan(met) and "BroadcastHashJoin" in first_plan(met)
     assert met.filter("t_tile_id IS NULL").count() == 0 and met.count() == 1_000_000
+
+
+@pytest.mark.parametrize("made", [lambda df: sp.stratified_split(df, "y", 0.2, "id", 1), lambda df: sp.stratified_folds(df, "y", 3, "id", 1)])
+def test_classes_are_not_gathered(spark, made):
+    df = spark.range(3_000_000).select("id", F.when(F.col("id") % 5 > 0, F.lit("hot")).alias("y"))
+    assert "SortMergeJoin" not in first_plan(made(df))
