@@ -6,14 +6,20 @@ rows ``(tile_id, row, col, value)`` with null for "no data", row 0 at the top.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..functions.values import none_if
 from ..session import scratch_path
 from ..sources.tables import checkpoint_table
 
+ROWS_AT_ONCE, CELLS_AT_ONCE = 65_536, 131_072  # that a task measures
+RUN = 16  # neighbouring cells of a raster row that meet lines as one row
+
 
 def bins_between(low: Column, high: Column, size: float) -> Column:
     return F.sequence(F.floor(low / size).cast("bigint"), F.floor(high / size).cast("bigint"))
@@ -98,18 +104,102 @@ def ground_levels(
     return filled.withColumn(mean, (F.col(up) + F.col(down)) / 2).drop("_line", "_up", "_down")
 
 
-def _between(low: Column, high: Column, n: Column) -> Column:
-    """Whole numbers of a range inside 0..n-1; null, hence no rows, where there is none."""
-    a, b = F.greatest(low.cast("int"), F.lit(0)), F.least(high.cast("int"), n - 1)
-    return F.when(a <= b, F.sequence(a, F.greatest(a, b)))
-
-
-def reached_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
-    """Cells within a distance of a straight piece of a line, as ``(key, tile_id, row, col)``, once for each such piece.
-
-    Rows of cells are taken in the height range of a piece, and in each row only
-    the columns the piece can reach there, so a long slanting piece does not fill its
-    whole box. Pieces go on their own: a line of n pieces costs n rows, none of which knows the others.
+def _expand(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Position of the owner of each of so many items in turn, and the item's place among its owner's."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _shares(counts: np.ndarray, most: int) -> Iterator[slice]:
+    """Stretches of owners with about ``most`` items, at least one owner each."""
+    total, start = np.cumsum(counts), 0
+    while start < len(counts):
+        end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + most, "right")))
+        yield slice(start, end)
+        start = end
+
+
+def _near_boxes(x0, y0, x1, y1, left, low, right, high, r: float) -> np.ndarray:
+    """``geo.dist_seg_square`` at most ``r``, over arrays."""
+    dx, dy = x1 - x0, y1 - y0
+
+    def slab(p, d, a, b):
+        flat = (p >= a) & (p <= b)
+        u, v = (a - p) / d, (b - p) / d
+        return np.where(d == 0, np.where(flat, 0.0, 2.0), np.minimum(u, v)), np.where(d == 0, np.where(flat, 1.0, -1.0), np.maximum(u, v))
+
+    def to_box(px, py):
+        h, v = np.maximum(np.maximum(left - px, 0.0), px - right), np.maximum(np.maximum(low - py, 0.0), py - high)
+        return np.sqrt(h * h + v * v)
+
+    def to_piece(px, py):
+        norm = dx * dx + dy * dy
+        t = np.clip(np.where(norm > 0, ((px - x0) * dx + (py - y0) * dy) / norm, 0.0), 0.0, 1.0)
+        h, v = px - (x0 + t * dx), py - (y0 + t * dy)
+        return np.sqrt(h * h + v * v)
+
+    (ex, lx), (ey, ly) = slab(x0, dx, left, right), slab(y0, dy, low, high)
+    near = np.maximum(np.maximum(ex, ey), 0.0) <= np.minimum(np.minimum(lx, ly), 1.0)
+    for gap in (to_box(x0, y0), to_box(x1, y1), to_piece(left, low), to_piece(right, low), to_piece(left, high), to_piece(right, high)):
+        near |= gap <= r
+    return near
+
+
+def _spans(radius: float, key: str):
+    """First and last column that each piece reaches in each row of its tile, in batches."""
+    r = float(radius)
+
+    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        names = ("_px0", "_py0", "_px1", "_py1", "t_xmin", "t_ymax", "t_cell", "t_nrows", "t_ncols")
+        x0, y0, x1, y1, xmin, ymax, cell, nrows, ncols = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names)
+        top = np.maximum(np.ceil((ymax - (np.maximum(y0, y1) + r)) / cell) - 1, 0)
+        end = np.minimum(np.floor((ymax - (np.minimum(y0, y1) - r)) / cell), nrows - 1)
+        high = np.maximum(end - top + 1, 0).astype(int)
+        for share in _shares(high, ROWS_AT_ONCE):
+            i, down = _expand(high[share])
+            i += share.start
+            row, dx, dy = top[i] + down, (x1 - x0)[i], (y1 - y0)[i]
+            low = ymax[i] - (row + 1) * cell[i]
+            # The stretch of the piece near the row bounds the columns.
+            ta, tb = (low - r - y0[i]) / dy, (low + cell[i] + r - y0[i]) / dy
+            t0 = np.where(dy == 0, 0.0, np.clip(np.minimum(ta, tb), 0.0, 1.0))
+            t1 = np.where(dy == 0, 1.0, np.clip(np.maximum(ta, tb), 0.0, 1.0))
+            xa, xb = x0[i] + t0 * dx, x0[i] + t1 * dx
+            a = np.maximum(np.ceil((np.minimum(xa, xb) - r - xmin[i]) / cell[i]) - 1, 0)
+            b = np.minimum(np.floor((np.maximum(xa, xb) + r - xmin[i]) / cell[i]), ncols[i] - 1)
+            wide = np.maximum(b - a + 1, 0).astype(int)
+            for part in _shares(wide, CELLS_AT_ONCE):
+                j, along = _expand(wide[part])
+                j += part.start
+                col, k = a[j] + along, i[j]
+                left, size = xmin[k] + col * cell[k], cell[k]
+                near = _near_boxes(x0[k], y0[k], x1[k], y1[k], left, low[j], left + size, low[j] + size, r)
+                hit = np.flatnonzero(near)
+                own, first = np.unique(j[hit], return_index=True)
+                last = np.append(first[1:], len(hit)) - 1
+                # What lies within a distance of a straight piece is convex: no gaps in a row.
+                c0, c1 = (pa.array(col[hit[at]].astype(np.int32)) for at in (first, last))
+                who = pa.array(i[own])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(key).take(who), batch.column("tile_id").take(who), pa.array(row[own].astype(np.int32)), c0, c1],
+                    names=[key, "tile_id", "row", "c0", "c1"],
+                )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for batch in batches:
+                yield from of(batch)
+
+    return run
+
+
+def reached_spans(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
+    """Cells within a distance of a straight piece of a line, as ``(key, tile_id, row, c0, c1)`` with their first and last column.
+
+    Rows of cells are taken in the height range of a piece, and in each row only the columns the piece
+    can reach there are measured, so a long slanting piece does not fill its whole box. Cells are measured in
+    arrays: as column expressions they make one method too long for the JVM to compile. Pieces go on their
+    own: a line of n pieces costs n rows, none of which knows the others.
     """
     r = F.lit(float(radius))
     pieces = lines.select(key, F.explode(geo.line_pieces(F.col(geom))).alias("_p")).select(
@@ -128,33 +218,28 @@ def reached_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, s
         & (F.col("_x0") <= F.col("t_xmax")) & (F.col("_x1") >= F.col("t_xmin"))
         & (F.col("_y0") <= F.col("t_ymax")) & (F.col("_y1") >= F.col("t_ymin"))
     )
-    xmin, ymax, cell = F.col("t_xmin"), F.col("t_ymax"), F.col("t_cell")
-    rows = _between(F.ceil((ymax - F.col("_y1")) / cell) - 1, F.floor((ymax - F.col("_y0")) / cell), F.col("t_nrows"))
-    by_row = binned.join(_tile_bins(tiles, size), cond).select(
-        key, "t_tile_id", "_p", "t_xmin", "t_ymax", "t_cell", "t_ncols", F.explode(rows).alias("row")
-    )
-    low, dy = ymax - (F.col("row") + 1) * cell, none_if(F.col("_p.y1") - F.col("_p.y0"), 0.0)
-    ta, tb = (low - r - F.col("_p.y0")) / dy, (low + cell + r - F.col("_p.y0")) / dy
-    by_row = by_row.select(
-        "*", low.alias("_low"),
-        F.coalesce(F.least(F.greatest(F.least(ta, tb), F.lit(0.0)), F.lit(1.0)), F.lit(0.0)).alias("_t0"),
-        F.coalesce(F.least(F.greatest(ta, tb, F.lit(0.0)), F.lit(1.0)), F.lit(1.0)).alias("_t1"),
-    )
-    dx = F.col("_p.x1") - F.col("_p.x0")
-    xa, xb = F.col("_p.x0") + F.col("_t0") * dx, F.col("_p.x0") + F.col("_t1") * dx
-    cols = _between(
-        F.ceil((F.least(xa, xb) - r - xmin) / cell) - 1, F.floor((F.greatest(xa, xb) + r - xmin) / cell), F.col("t_ncols")
-    )
-    by_cell = by_row.select(key, "t_tile_id", "_p", "_low", "t_xmin", "t_cell", "row", F.explode(cols).alias("col"))
-    left = xmin + F.col("col") * cell
-
-    near = geo.dist_seg_square(F.col("_p"), left, F.col("_low"), left + cell, F.col("_low") + cell) <= r
-    return by_cell.filter(near).select(key, F.col("t_tile_id").alias("tile_id"), "row", "col")
+    met = _met_bins(tiles, size, binned.select("_lx", "_ly"))
+    ends = [F.col(f"_p.{c}").alias(f"_p{c}") for c in ("x0", "y0", "x1", "y1")]
+    pairs = binned.join(met, cond).select(
+        key, F.col("t_tile_id").alias("tile_id"), *ends, "t_xmin", "t_ymax", "t_cell", "t_nrows", "t_ncols"
+    ).dropna(subset=["t_nrows", "t_ncols", "t_cell", "t_ymax"])
+    kinds = {c: pairs.schema[c].dataType.simpleString() for c in (key, "tile_id")}
+    return pairs.mapInArrow(_spans(radius, key), f"`{key}` {kinds[key]}, tile_id {kinds['tile_id']}, row int, c0 int, c1 int")
 
 
 def touched_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
     """Each cell within a distance of a line once, as ``(key, tile_id, row, col)``."""
-    return reached_cells(lines, tiles, radius, key, size, geom).distinct()
+    spans = reached_spans(lines, tiles, radius, key, size, geom)
+    return spans.select(key, "tile_id", "row", F.explode(F.sequence("c0", "c1")).alias("col")).distinct()
+
+
+def _runs(cells: DataFrame) -> DataFrame:
+    """Cells of a row in runs of neighbours, ``(tile_id, row, run, values)``; a cell given twice counts with its larger value."""
+    present = cells.filter(F.col("value").isNotNull())
+    at = F.pmod(F.col("col"), F.lit(RUN))
+    return present.groupBy("tile_id", "row", F.floor(F.col("col") / RUN).cast("int").alias("run")).agg(
+        F.array(*[F.max(F.when(at == i, F.col("value"))) for i in range(RUN)]).alias("values")
+    )
 
 
 def zonal_mean(
@@ -162,13 +247,21 @@ def zonal_mean(
 ) -> DataFrame:
     """Mean of all cells within a distance of each line, as ``(key, mean, n_cells)``.
 
-    Cells meet their values by equality and are made distinct afterwards, where those of one
-    place already lie together, so what several pieces of a line reach costs no shuffle of its own.
+    What several pieces of a line reach in a row of cells is cut into stretches that don't overlap, from left to right;
+    these meet runs of cells by equality, so only stretches are shuffled and no single cells.
     Lines without any valid cell get 0.0; they enter as empty rows of the same average, not by a join.
     """
-    values = cells.filter(F.col("value").isNotNull()).select("tile_id", "row", "col", "value")
-    hits = reached_cells(lines, tiles, radius, key, size, geom).join(values, ["tile_id", "row", "col"])
-    hits = hits.dropDuplicates([key, "tile_id", "row", "col"]).select(key, "value")
+    spark = lines.sparkSession
+    spans = reached_spans(lines, tiles, radius, key, size, geom)
+    before = Window.partitionBy(key, "tile_id", "row").orderBy("c0").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = spans.withColumn("c0", F.greatest(F.col("c0"), F.max("c1").over(before) + 1)).filter("c0 <= c1")
+    first, last = F.floor(F.col("c0") / RUN).cast("int"), F.floor(F.col("c1") / RUN).cast("int")
+    fresh = fresh.withColumn("run", F.explode(F.sequence(first, last)))
+    # Written, as the bins are: a join then knows their size.
+    held = checkpoint_table(_runs(cells), scratch_path(spark, "runs"))
+    start = F.greatest(F.col("c0") - F.col("run") * RUN, F.lit(0))
+    end = F.least(F.col("c1") - F.col("run") * RUN, F.lit(RUN - 1))
+    hits = fresh.join(held, ["tile_id", "row", "run"]).select(key, F.explode(F.slice("values", start + 1, end - start + 1)).alias("value"))
     every = lines.select(key, F.lit(None).cast("double").alias("value"))
     return hits.union(every).groupBy(key).agg(
         F.coalesce(F.avg("value"), F.lit(0.0)).alias("mean"), F.count("value").alias("n_cells")

@@ -48,6 +48,33 @@ def cells(spark):
     return at.withColumn("value", F.when((F.col("row") < 4) & ~F.expr("row = 1 AND col = 1"), F.col("tile_id") * 100.0 + F.col("row") * 10 + F.col("col")))
 
 
+def test_zonal_is_compiled(spark):
+    lines = spark.range(10).select("id", geo.two_point_line(F.col("id"), F.col("id"), F.col("id") + 5, F.col("id") + 3).alias("geom"))
+    assert longest_method(ti.zonal_mean(lines, grid(spark), cells(spark), 1.0, "id", 10.0)) < LONGEST
+
+
+def test_zonal_of_overlapping_pieces(spark):
+    """Lines that run back over themselves, share a key, or have none; cells that come twice count once."""
+    texts = [
+        (1, "LINESTRING (0.5 0.5, 19.5 1.5, 0.5 2.5, 19.5 0.5)"), (1, "LINESTRING (15 1, 15 19)"), (None, "LINESTRING (3 3, 3 3.5)"),
+        (2, "LINESTRING (-9 -9, -8 -8)"), (3, "LINESTRING (5 5, 5 5)"), (4, None), (5, "LINESTRING (2 9, 18 9)"),
+    ]
+    lines = spark.createDataFrame(texts, "id int, t string").select("id", geo.parse_wkt(F.col("t")).alias("geom"))
+    tiles, held, r = grid(spark), cells(spark), 1.0
+    got = {x["id"]: (x["mean"], x["n_cells"]) for x in ti.zonal_mean(lines, tiles, held, r, "id", 10.0).collect()}
+    boxes = tiles.join(held.dropDuplicates(["tile_id", "row", "col"]).dropna(subset=["value"]), "tile_id").select(
+        "tile_id", "row", "col", "value", (F.col("xmin") + F.col("col") * 2).alias("x"), (F.col("ymax") - (F.col("row") + 1) * 2).alias("y")
+    )
+    pieces = lines.select("id", F.explode(geo.line_pieces(F.col("geom"))).alias("p"))
+    near = geo.dist_seg_square(F.col("p"), F.col("x"), F.col("y"), F.col("x") + 2, F.col("y") + 2) <= r
+    met = pieces.crossJoin(boxes).filter(near).select("id", "tile_id", "row", "col", "value").distinct()
+    want = {x["id"]: (x["m"], x["n"]) for x in met.groupBy("id").agg(F.avg("value").alias("m"), F.count("*").alias("n")).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, None}
+    for key, (mean, n) in got.items():
+        m, many = want.get(key, (0.0, 0))
+        assert n == many and mean == pytest.approx(m), key
+
+
 def test_points_meet_few_tiles_without_gathering(spark):
     points = spark.range(1_000_000).select("id", (F.col("id") % 20 + 0.5).alias("x"), (F.col("id") % 19 + 0.5).alias("y"))
     met = ti.points_in_boxes(points, grid(spark), 10.0)
