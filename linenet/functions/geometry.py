@@ -9,20 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .values import none_if
+from .values import none_if, once
 
 GEOM = "array<array<struct<x:double,y:double>>>"
 
 
-def once(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out a single time.
-
-    Spark shares repeated expressions in generated code only; the array functions used
-    here are interpreted and would otherwise build a geometry anew for every mention.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def vertex(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 

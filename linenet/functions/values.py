@@ -27,6 +27,16 @@ SHORT_DATE = "^" + _DAY_MONTH + r"[-/.](\d{2})$"
 CENTURY_PIVOT = 69
 
 
+def once(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out a single time.
+
+    Spark shares repeated expressions in generated code only; the array functions used
+    here are interpreted and would otherwise build a geometry anew for every mention. Code generated for a
+    long expression can also outgrow what the JVM compiles; this keeps it short.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def trim_text(c: Column) -> Column:
     return F.btrim(c.cast("string"), F.lit(BLANKS))
 
@@ -119,11 +129,15 @@ def install_year(c: Column, tokens: Sequence[str]) -> Column:
 
 def year_of_date(text: Column) -> Column:
     """``install_year`` of a text already trimmed and free of null tokens."""
-    # Only one of the two groups takes part in a match, so both together are the year.
-    year = F.when(text.rlike(LONG_DATE), F.regexp_replace(text, LONG_DATE, "$1$2").try_cast("int"))
-    short = F.regexp_extract(text, SHORT_DATE, 1).try_cast("int")
-    century = F.pmod(short + (100 - CENTURY_PIVOT), F.lit(100)) + (1900 + CENTURY_PIVOT)
-    return F.coalesce(year, century, year_in_text(text))
+
+    def year(t: Column) -> Column:
+        # Only one of the two groups takes part in a match, so both together are the year.
+        long = F.when(t.rlike(LONG_DATE), F.regexp_replace(t, LONG_DATE, "$1$2").try_cast("int"))
+        short = F.regexp_extract(t, SHORT_DATE, 1).try_cast("int")
+        century = F.pmod(short + (100 - CENTURY_PIVOT), F.lit(100)) + (1900 + CENTURY_PIVOT)
+        return F.coalesce(long, century, year_in_text(t))
+
+    return once(text, year)
 
 
 def flag_text(pieces: Sequence[tuple[Column, str]]) -> Column:

@@ -84,6 +84,11 @@ def dense_index(df: DataFrame, key: str, name: str) -> DataFrame:
 def percentiles(df: DataFrame, c: str, shares: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
     """Exact percentiles with linear interpolation as columns ``p0``, ``p1``, ... and ``n``."""
     counts = df.filter(F.col(c).isNotNull()).groupBy(*groups, c).agg(F.count(F.lit(1)).alias("_n"))
+    return counted_percentiles(counts, c, shares, groups)
+
+
+def counted_percentiles(counts: DataFrame, c: str, shares: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
+    """``percentiles`` of values that come once for each group, with their number ``_n``."""
     running = prefix_totals(counts, c, ["_n"], groups)
     sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_total"))
     if groups:

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as val
-from .ordering import percentiles
+from ..session import scratch_path
+from ..sources.tables import checkpoint_table
+from .ordering import counted_percentiles, percentiles
 
 
 def _rows(df: DataFrame, names: Sequence[str], fields: Sequence[str], key: str) -> DataFrame:
@@ -149,9 +151,12 @@ def year_profile(df: DataFrame, c: str, floor: int, as_of: int) -> DataFrame:
 
 
 def year_summary(df: DataFrame, c: str, floor: int, as_of: int) -> DataFrame:
-    rows = df.filter(F.col(c).between(floor, as_of))
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.avg(c).alias("mean_year"), (as_of - F.avg(c)).alias("mean_age"))
-    return stats.withColumn("median_year", percentiles(rows, c, [0.5]).select("p0").scalar())
+    """One row; years are counted first and written, so that each text is read for its year a single time."""
+    years = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+    rows = checkpoint_table(years, scratch_path(df.sparkSession, "years")).filter(F.col(c).between(floor, as_of))
+    mean = F.sum(F.col(c) * F.col("_n")) / F.sum("_n")
+    stats = rows.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), mean.alias("mean_year"), (as_of - mean).alias("mean_age"))
+    return stats.withColumn("median_year", counted_percentiles(rows, c, [0.5]).select("p0").scalar())
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:

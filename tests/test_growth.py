@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from linenet.functions import geometry as geo
+from linenet.functions import values as val
+from linenet.operators import profiles as pr
 from linenet.operators import sampling as sp
 from linenet.operators import tiles as ti
 
@@ -86,3 +88,18 @@ def test_points_meet_few_tiles_without_gathering(spark):
 def test_classes_are_not_gathered(spark, made):
     df = spark.range(3_000_000).select("id", F.when(F.col("id") % 5 > 0, F.lit("hot")).alias("y"))
     assert "SortMergeJoin" not in first_plan(made(df))
+
+
+def test_years_are_read_once_and_compiled(spark):
+    texts = ["15/10/1990", "2001-09-02T00:00:00", "pose 1975", "31/12/99", "NC", None, "1700", "1990.0"]
+    df = spark.createDataFrame([(t,) for t in texts for _ in range(3)], "t string")
+    dated = df.select(val.install_year(F.col("t"), ["NC"]).alias("y"))
+    assert longest_method(dated) < LONGEST
+    # The summary itself works on counts alone.
+    out = pr.year_summary(dated, "y", 1880, 2025)
+    assert "rlike" not in first_plan(out).lower()
+    row, years = out.first(), [1990, 2001, 1975, 1999, 1990]
+    assert row["n"] == 15 and row["mean_year"] == pytest.approx(sum(years) / 5) and row["median_year"] == 1990
+    assert row["mean_age"] == pytest.approx(2025 - sum(years) / 5)
+    none = pr.year_summary(dated.filter("y < 0"), "y", 1880, 2025).first()
+    assert none["n"] == 0 and none["mean_year"] is None and none["median_year"] is None
