@@ -120,16 +120,16 @@ def _shares(counts: np.ndarray, most: int) -> Iterator[slice]:
 
 
 def _near_boxes(x0, y0, x1, y1, left, low, right, high, r: float) -> np.ndarray:
-    """``geo.dist_seg_square`` at most ``r``, over arrays."""
+    """``geo.dist_seg_square`` at most ``r``, over arrays; NaN stands for null, which least and greatest pass over."""
     dx, dy = x1 - x0, y1 - y0
 
     def slab(p, d, a, b):
         flat = (p >= a) & (p <= b)
         u, v = (a - p) / d, (b - p) / d
-        return np.where(d == 0, np.where(flat, 0.0, 2.0), np.minimum(u, v)), np.where(d == 0, np.where(flat, 1.0, -1.0), np.maximum(u, v))
+        return np.where(d == 0, np.where(flat, 0.0, 2.0), np.fmin(u, v)), np.where(d == 0, np.where(flat, 1.0, -1.0), np.fmax(u, v))
 
     def to_box(px, py):
-        h, v = np.maximum(np.maximum(left - px, 0.0), px - right), np.maximum(np.maximum(low - py, 0.0), py - high)
+        h, v = np.fmax(np.fmax(left - px, 0.0), px - right), np.fmax(np.fmax(low - py, 0.0), py - high)
         return np.sqrt(h * h + v * v)
 
     def to_piece(px, py):
@@ -139,7 +139,7 @@ def _near_boxes(x0, y0, x1, y1, left, low, right, high, r: float) -> np.ndarray:
         return np.sqrt(h * h + v * v)
 
     (ex, lx), (ey, ly) = slab(x0, dx, left, right), slab(y0, dy, low, high)
-    near = np.maximum(np.maximum(ex, ey), 0.0) <= np.minimum(np.minimum(lx, ly), 1.0)
+    near = np.fmax(np.fmax(ex, ey), 0.0) <= np.fmin(np.fmin(lx, ly), 1.0)
     for gap in (to_box(x0, y0), to_box(x1, y1), to_piece(left, low), to_piece(right, low), to_piece(left, high), to_piece(right, high)):
         near |= gap <= r
     return near
@@ -152,9 +152,9 @@ def _spans(radius: float, key: str):
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         names = ("_px0", "_py0", "_px1", "_py1", "t_xmin", "t_ymax", "t_cell", "t_nrows", "t_ncols")
         x0, y0, x1, y1, xmin, ymax, cell, nrows, ncols = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names)
-        top = np.maximum(np.ceil((ymax - (np.maximum(y0, y1) + r)) / cell) - 1, 0)
-        end = np.minimum(np.floor((ymax - (np.minimum(y0, y1) - r)) / cell), nrows - 1)
-        high = np.maximum(end - top + 1, 0).astype(int)
+        top = np.fmax(np.ceil((ymax - (np.fmax(y0, y1) + r)) / cell) - 1, 0)
+        end = np.fmin(np.floor((ymax - (np.fmin(y0, y1) - r)) / cell), nrows - 1)
+        high = np.fmax(end - top + 1, 0).astype(int)
         for share in _shares(high, ROWS_AT_ONCE):
             i, down = _expand(high[share])
             i += share.start
@@ -162,12 +162,12 @@ def _spans(radius: float, key: str):
             low = ymax[i] - (row + 1) * cell[i]
             # The stretch of the piece near the row bounds the columns.
             ta, tb = (low - r - y0[i]) / dy, (low + cell[i] + r - y0[i]) / dy
-            t0 = np.where(dy == 0, 0.0, np.clip(np.minimum(ta, tb), 0.0, 1.0))
-            t1 = np.where(dy == 0, 1.0, np.clip(np.maximum(ta, tb), 0.0, 1.0))
+            t0 = np.where(dy == 0, 0.0, np.fmin(np.fmax(np.fmin(ta, tb), 0.0), 1.0))
+            t1 = np.where(dy == 0, 1.0, np.fmin(np.fmax(np.fmax(ta, tb), 0.0), 1.0))
             xa, xb = x0[i] + t0 * dx, x0[i] + t1 * dx
-            a = np.maximum(np.ceil((np.minimum(xa, xb) - r - xmin[i]) / cell[i]) - 1, 0)
-            b = np.minimum(np.floor((np.maximum(xa, xb) + r - xmin[i]) / cell[i]), ncols[i] - 1)
-            wide = np.maximum(b - a + 1, 0).astype(int)
+            a = np.fmax(np.ceil((np.fmin(xa, xb) - r - xmin[i]) / cell[i]) - 1, 0)
+            b = np.fmin(np.floor((np.fmax(xa, xb) + r - xmin[i]) / cell[i]), ncols[i] - 1)
+            wide = np.fmax(b - a + 1, 0).astype(int)
             for part in _shares(wide, CELLS_AT_ONCE):
                 j, along = _expand(wide[part])
                 j += part.start
