@@ -102,11 +102,14 @@ def _(d):
     kinds = d.spark.read.parquet(path).select("seg_id", kind)
     read = ly.read_layer(d.spark, path)
     box, g = geo.bbox(F.col("geom")), F.col("geom")
-    return kinds.join(read, "seg_id").select(
-        "seg_id", "kind", F.size(g).alias("n_rings"), *(box[c].alias(c) for c in ("xmin", "ymin", "xmax", "ymax")),
+    # Areas are measured where they are read, so that no geometry is shuffled and each box is made once.
+    measured = read.select(
+        "seg_id", F.size(g).alias("n_rings"), box.alias("box"),
         geo.point_in_polygon(x, y, g).alias("in_hole"), geo.point_in_polygon(x + 5, y + 5, g).alias("in_shell"),
         geo.point_in_polygon(x + 22, y + 2, g).alias("in_second"),
     )
+    sides = (F.col(f"box.{c}") for c in ("xmin", "ymin", "xmax", "ymax"))
+    return kinds.join(measured, "seg_id").select("seg_id", "kind", "n_rings", *sides, "in_hole", "in_shell", "in_second")
 
 
 # ---------------------------------------------------------------- many sources

@@ -8,10 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import GEOM
+from ..operators.tiles import _expand, _shares
 from .files import replace_folder
 
 # Geometry type codes of well-known binary, the flags of its extended form, and the
@@ -19,6 +21,7 @@ from .files import replace_folder
 POINT, LINE, POLYGON, MULTI_LINE, MULTI_POLYGON = 1, 2, 3, 5, 6
 HAS_Z, HAS_M, HAS_SRID = 0x80000000, 0x40000000, 0x20000000
 MORE = {0: 0, 1: 1, 2: 1, 3: 2}
+AT_ONCE = 131_072  # vertices or pairs of rings that are worked on together
 
 
 def _read(data: bytes, at: int, parts: list[np.ndarray]) -> int:
@@ -100,24 +103,93 @@ def _line_bytes(parts: list[np.ndarray]) -> bytes:
     return lines[0] if len(lines) == 1 else _head(MULTI_LINE, len(lines)) + b"".join(lines)
 
 
-def _around(ring: np.ndarray, x: float, y: float) -> bool:
-    """Whether a ring runs round a point."""
-    a, b = ring[:-1], ring[1:]
-    cross = (a[:, 1] > y) != (b[:, 1] > y)
-    a, b = a[cross], b[cross]
-    return bool((a[:, 0] + (y - a[:, 1]) / (b[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0]) > x).sum() % 2)
+def _pairs_inside(xy: np.ndarray, cuts: np.ndarray, at: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a ring and another of the same geometry that runs round the ring's point ``at``.
 
-
-def _polygon_bytes(rings: list[np.ndarray]) -> bytes:
+    ``first`` and ``n`` are the first ring and the number of rings of each ring's geometry.
+    """
+    inner, outer = [], []
+    edges = np.maximum(np.diff(cuts) - 1, 0)
+    for rings in _shares(n, AT_ONCE):
+        i, k = _expand(n[rings])
+        i += rings.start
+        j = first[i] + k
+        i, j = i[i != j], j[i != j]
+        for pairs in _shares(edges[j], AT_ONCE):
+            own, k = _expand(edges[j[pairs]])
+            own += pairs.start
+            p = at[i[own]]
+            a, b = xy[cuts[j[own]] + k], xy[cuts[j[own]] + k + 1]
+            cross = np.flatnonzero((a[:, 1] > p[:, 1]) != (b[:, 1] > p[:, 1]))
+            own, p, a, b = own[cross], p[cross], a[cross], b[cross]
+            right = a[:, 0] + (p[:, 1] - a[:, 1]) / (b[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0]) > p[:, 0]
+            odd = np.flatnonzero(np.bincount(own[right] - pairs.start, minlength=pairs.stop - pairs.start) % 2) + pairs.start
+            inner.append(i[odd])
+            outer.append(j[odd])
+    none = np.zeros(0, int)
+    return np.concatenate([none, *inner]), np.concatenate([none, *outer])
+
+
+def _encode_polygons(column: pa.Array) -> pa.Array:
     """Rings with an even number of others round them are shells; one shell is a polygon, any other number a multi-polygon."""
-    middle = [(r[0] + r[min(1, len(r) - 1)]) / 2 if len(r) else np.zeros(2) for r in rings]
-    round_it = [[j for j, other in enumerate(rings) if j != i and _around(other, *middle[i])] for i in range(len(rings))]
-    shells = {i: [i] for i, others in enumerate(round_it) if len(others) % 2 == 0}
-    for i, others in enumerate(round_it):
-        if i not in shells:
-            shells[max((j for j in others if j in shells), key=lambda j: len(round_it[j]))].append(i)
-    made = [_head(POLYGON, len(own)) + b"".join(struct.pack("<I", len(rings[i])) + rings[i].tobytes() for i in own) for own in shells.values()]
-    return made[0] if len(made) == 1 else _head(MULTI_POLYGON, len(made)) + b"".join(made)
+    rings = column.flatten()
+    points = rings.flatten()
+    xy = np.stack([points.field(i).to_numpy(zero_copy_only=False).astype("<f8") for i in (0, 1)], axis=1)
+    size = rings.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(int)
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    many = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(int)
+    owner, place = _expand(many)
+    second = np.minimum(cuts[:-1] + 1, np.maximum(cuts[1:] - 1, 0))
+    at = np.zeros((len(size), 2))
+    some = np.flatnonzero(size)
+    at[some] = (xy[cuts[:-1][some]] + xy[second[some]]) / 2
+    inner, outer = _pairs_inside(xy, cuts, at, np.arange(len(size)) - place, many[owner])
+    depth = np.bincount(inner, minlength=len(size))
+    shell = depth % 2 == 0
+    # A hole goes to the deepest shell round it, the first among equals.
+    use = ~shell[inner] & shell[outer]
+    holes, round_it = inner[use], outer[use]
+    order = np.lexsort((round_it, -depth[round_it], holes))
+    found, top = np.unique(holes[order], return_index=True)
+    if len(found) < (~shell).sum():
+        raise ValueError("a hole without a shell")
+    home = np.arange(len(size))
+    home[found] = round_it[order][top]
+    order = np.lexsort((np.arange(len(size)), ~shell, home))
+    size, shell, start, place = size[order], shell[order], cuts[:-1][order], owner[order]
+    # Rings now stand in the order of their bytes: each behind its length, the first of a polygon behind
+    # a head, the first of a multi-polygon behind one more.
+    shells = np.bincount(place[shell], minlength=len(many))
+    opens = np.diff(place, prepend=-1) > 0
+    before = 4 + 9 * shell + 9 * (opens & (shells[place] != 1))
+    length = np.bincount(place, before + 16 * size, len(many)).astype(int) + 9 * (many == 0)
+    offsets = np.concatenate([[0], np.cumsum(np.where(column.is_valid().to_numpy(zero_copy_only=False), length, 0))])
+    out = np.zeros(offsets[-1], np.uint8)
+
+    def put(where: np.ndarray, value: np.ndarray) -> None:
+        out[where[:, None] + np.arange(4)] = np.asarray(value, "<u4").reshape(-1, 1).view(np.uint8)
+
+    def head(where: np.ndarray, kind: int, n: np.ndarray) -> None:
+        out[where] = 1
+        put(where + 1, np.full(len(where), kind))
+        put(where + 5, n)
+
+    ends = np.cumsum(before + 16 * size)
+    # Geometries without rings shift all that come behind them.
+    bare = 9 * np.concatenate([[0], np.cumsum((many == 0) & (np.diff(offsets) > 0))])[:-1]
+    body = ends - 16 * size + bare[place] if len(size) else ends
+    put(body - 4, size)
+    polygons = np.flatnonzero(shell)
+    head(body[polygons] - 13, POLYGON, np.diff(np.append(polygons, len(size))))
+    multi = np.flatnonzero((shells != 1) & (np.diff(offsets) > 0))
+    head(offsets[:-1][multi], MULTI_POLYGON, shells[multi])
+    raw = np.ascontiguousarray(xy).view(np.uint8).reshape(-1, 16)
+    for part in _shares(size, AT_ONCE):
+        ring, k = _expand(size[part])
+        ring += part.start
+        out[(body[ring] + 16 * k)[:, None] + np.arange(16)] = raw[start[ring] + k]
+    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)])
+    return pc.if_else(column.is_valid(), packed, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
 
 def _swap_column(df: DataFrame, old: str, new: str, kind: str, fn) -> DataFrame:
@@ -147,8 +219,10 @@ def undecoded(df: DataFrame, c: str = "wkb") -> DataFrame:
 
 def to_wkb(df: DataFrame, c: str = "geom", out: str = "wkb", polygons: bool = False) -> DataFrame:
     """Lines, or with ``polygons`` the areas that the rings enclose."""
-    coded = _polygon_bytes if polygons else _line_bytes
-    return _swap_column(df, c, out, "binary", lambda column: pa.array([None if p is None else coded(p) for p in _parts_of(column)], pa.binary()))
+    def lines(column: pa.Array) -> pa.Array:
+        return pa.array([None if p is None else _line_bytes(p) for p in _parts_of(column)], pa.binary())
+
+    return _swap_column(df, c, out, "binary", _encode_polygons if polygons else lines)
 
 
 def read_layer(spark: SparkSession, path: str, layer: str | None = None, geometry: bool = True) -> DataFrame:

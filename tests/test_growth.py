@@ -3,7 +3,9 @@
 import contextlib
 import io
 import re
+import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from linenet.functions import values as val
 from linenet.operators import profiles as pr
 from linenet.operators import sampling as sp
 from linenet.operators import tiles as ti
+from linenet.sources import layers as ly
 
 LONGEST = 8000  # bytes of a method that the JVM still compiles
 
@@ -103,3 +106,39 @@ def test_years_are_read_once_and_compiled(spark):
     assert row["mean_age"] == pytest.approx(2025 - sum(years) / 5)
     none = pr.year_summary(dated.filter("y < 0"), "y", 1880, 2025).first()
     assert none["n"] == 0 and none["mean_year"] is None and none["median_year"] is None
+
+
+def test_zonal_of_lines_without_a_coordinate(spark):
+    """A missing coordinate bounds nothing; the cells are those that the column expressions found."""
+    n, d = F.lit(None).cast("double"), lambda v: F.lit(v).cast("double")
+    ends = [(d(3), d(3), n, d(3.5)), (d(3), d(3), d(9), n), (n, d(3), d(4), d(8)), (n, n, d(4), d(8))]
+    rows = F.array(*[F.struct(F.lit(i).alias("id"), geo.two_point_line(*e).alias("geom")) for i, e in enumerate(ends)])
+    lines = spark.range(1).select(F.inline(rows))
+    got = {r["id"]: (r["mean"], r["n_cells"]) for r in ti.zonal_mean(lines, grid(spark), cells(spark), 1.0, "id", 10.0).collect()}
+    assert {k: v[1] for k, v in got.items()} == {0: 10, 1: 5, 2: 19, 3: 9}
+    assert [got[i][0] for i in range(4)] == pytest.approx([27.0, 27.2, 329 / 19, 59 / 9])
+
+
+def test_areas_are_coded_together(monkeypatch):
+    """Shells, holes, an island in a hole, rings in any order, none and null, in shares of any size."""
+
+    def square(x, y, r):
+        return [(x - r, y - r), (x + r, y - r), (x + r, y + r), (x - r, y + r), (x - r, y - r)]
+
+    def polygon(*rings):
+        return struct.pack("<BII", 1, 3, len(rings)) + b"".join(struct.pack("<I", len(r)) + struct.pack(f"<{2 * len(r)}d", *sum(r, ())) for r in rings)
+
+    def multi(*polygons):
+        return struct.pack("<BII", 1, 6, len(polygons)) + b"".join(polygons)
+
+    shell, hole, island, far, pit = square(0, 0, 10), square(0, 0, 6), square(0, 0, 2), square(50, 0, 5), square(50, 0, 1)
+    given = [[shell], [hole, shell], [], None, [pit, island, far, hole, shell]]
+    want = [
+        polygon(shell), polygon(shell, hole), multi(), None,
+        multi(polygon(island), polygon(far, pit), polygon(shell, hole)),
+    ]
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+    rows = [g and [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in g] for g in given]
+    for most in (1, 7, 131_072):
+        monkeypatch.setattr(ly, "AT_ONCE", most)
+        assert ly._encode_polygons(pa.array(rows, kind)).to_pylist() == want
