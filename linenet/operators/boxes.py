@@ -15,6 +15,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ from ..session import scratch_path
 from ..sources.tables import checkpoint_table
 
 WAYS = 8  # quantiles a node is cut at, less one: at most 16 parts with the equal and the missing ones
+STEP_ROWS = 8_192  # rows that go on from a node together
 
 
 @dataclass(frozen=True)
@@ -88,66 +92,108 @@ def build(points: DataFrame, d: int, most: int) -> BoxTree:
         now = checkpoint_table(moved, scratch_path(spark, "parts"))
 
 
-def least(vec: Column, kid: Column, d: int) -> Column:
-    """Smallest squared distance a point of the box can have, null if none can be compared.
+def _vectors(column: pa.ChunkedArray, d: int) -> np.ndarray:
+    return pc.list_flatten(column).to_numpy().reshape(-1, d)
+
+
+def least(vec: np.ndarray, lo: np.ndarray, hi: np.ndarray, has: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Smallest squared distance a point of each box can have to each vector, infinite if none can be compared.
 
     Features every point has count in any case. Of those some points have, the ones that
     lower the mean count, the smallest first.
     """
-
-    def gap(i: Column) -> Column:
-        v = F.get(vec, i)
-        side = F.greatest(F.get(kid["lo"], i) - v, v - F.get(kid["hi"], i), F.lit(0.0))
-        return F.struct((F.get(kid["has"], i) == kid["n"]).alias("all"), (side * side).alias("g"))
-
-    usable = F.filter(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: ~F.isnan(F.get(vec, i)) & (F.get(kid["has"], i) > 0))
-    gaps = F.transform(usable, gap)
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("c"))
-
-    def take(a: Column, g: Column) -> Column:
-        more = g["all"] | (a["c"] == 0) | (g["g"] * a["c"] < a["s"])
-        return F.struct(
-            F.when(more, a["s"] + g["g"]).otherwise(a["s"]).alias("s"), F.when(more, a["c"] + 1).otherwise(a["c"]).alias("c")
+    d = vec.shape[1]
+    v = vec[:, None, :]
+    with np.errstate(invalid="ignore", over="ignore"):
+        gaps = np.fmax(np.fmax(lo - v, v - hi), 0) ** 2
+    usable = ~np.isnan(v) & (has > 0)
+    sure = usable & (has == n[:, None])
+    total, count = np.where(sure, gaps, 0).sum(axis=2), sure.sum(axis=2)
+    best = np.where(count > 0, total / np.maximum(count, 1), np.inf)
+    # Behind those that count, which are the smallest, come infinite ones.
+    some = np.sort(np.where(usable & ~sure, gaps, np.inf), axis=2)
+    for j in range(d):
+        total = total + some[:, :, j]
+        best = np.minimum(best, total / (count + j + 1))
+    return best * d
+
+
+def _kids(level: pa.Table) -> tuple[list, ...]:
+    """Names, whether they are leaves, and boxes of the parts of one node, by name."""
+    kids = sorted(level.column("kids")[0].as_py(), key=lambda kid: kid["node"])
+    boxes = (np.array([kid[c] for kid in kids], float) for c in ("lo", "hi", "has", "n"))
+    return [kid["node"] for kid in kids], [kid["leaf"] for kid in kids], *boxes
+
+
+def _stepper(keep: Sequence[str], d: int, choose):
+    """Rows of a node with the parts of it they go on to: ``choose`` tells which, as places of rows and parts."""
+
+    def step(asked: pa.Table, level: pa.Table) -> pa.Table:
+        rows = asked.select(list(keep))
+        if not len(asked) or not len(level):
+            none = {"node": pa.array([], pa.string()), "leaf": pa.array([], pa.bool_())}
+            return pa.table({**{c: rows.column(c).slice(0, 0) for c in keep}, **none})
+        names, ends, lo, hi, has, n = _kids(level)
+        vec, slot = _vectors(asked.column("vec"), d), asked.column("slot").to_numpy()
+        low = least(vec, lo, hi, has, n)
+        # Points of each part that have the feature asked for; slot -1 asks for none.
+        holds = np.where(slot[:, None] < 0, n, has[:, np.maximum(slot, 0)].T)
+        row, kid = choose(asked, low, holds)
+        out = rows.take(pa.array(row))
+        return out.append_column("node", pa.array(names, pa.string()).take(pa.array(kid))).append_column(
+            "leaf", pa.array(ends, pa.bool_()).take(pa.array(kid))
         )
 
-    order = F.concat(F.filter(gaps, lambda g: g["all"]), F.array_sort(F.filter(gaps, lambda g: ~g["all"])))
-    return F.aggregate(order, start, take, lambda a: F.when(a["c"] > 0, a["s"] * d / a["c"]))
+    return step
+
 
+def meet(rows: DataFrame, held: DataFrame, most: int):
+    """Rows and what is held at their ``node``, grouped to be worked on together.
 
-def _holds(kid: Column) -> Column:
-    """Points of the box that have the feature asked for; slot -1 asks for none."""
-    return F.when(F.col("slot") < 0, kid["n"]).otherwise(F.get(kid["has"], F.greatest(F.col("slot"), F.lit(0))))
+    A node many rows come to is copied to several tasks, each with a share of them.
+    """
+    load = rows.groupBy(F.col("node").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("_s"))
+    same = F.col("node") == F.col("_b")
+    salt = F.pmod(F.xxhash64(*rows.columns), F.col("_s")).cast("int")
+    left = rows.join(load, same).withColumn("salt", salt).drop("_b", "_s")
+    right = held.join(load, same).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).drop("_b", "_s")
+    return left.groupBy("node", "salt").cogroup(right.groupBy("node", "salt"))
 
 
-def _walk(tree: BoxTree, asked: DataFrame, step) -> DataFrame:
+def _walk(tree: BoxTree, asked: DataFrame, choose) -> DataFrame:
+    """The leaves each row comes to. A level is worked on in arrays, node by node; its rows are written once."""
     spark, keep = asked.sparkSession, asked.columns
     at = asked.join(tree.roots, F.col("grp").cast("string") == F.col("node")).select(*keep, "node", "leaf")
+    if not tree.levels:
+        return at.filter("leaf").drop("leaf")
+    step = _stepper(keep, tree.features, choose)
+    at = checkpoint_table(at, scratch_path(spark, "walk"))
     ended = [at.filter("leaf")]
     for level in tree.levels:
-        met = at.filter("NOT leaf").join(level, "node").select(*keep, step.alias("_k"))
-        at = checkpoint_table(met.select(*keep, "_k.node", "_k.leaf"), scratch_path(spark, "walk"))
+        pairs = meet(at.filter("NOT leaf").drop("leaf"), level, STEP_ROWS)
+        at = checkpoint_table(pairs.applyInArrow(step, at.schema), scratch_path(spark, "walk"))
         ended.append(at.filter("leaf"))
     return reduce(DataFrame.unionByName, ended).drop("leaf")
 
 
 def closest_leaf(tree: BoxTree, asked: DataFrame, k: int) -> DataFrame:
     """One leaf for each row of ``(..., grp, vec, slot)``, by the part of least distance among those with ``k`` points to offer."""
-    d = tree.features
 
-    def grade(kid: Column) -> Column:
-        low = F.coalesce(least(F.col("vec"), kid, d), F.lit(float("inf")))
-        few = (_holds(kid) < k) | (low == float("inf"))
-        return F.struct(few.alias("few"), low.alias("low"), kid["node"].alias("node"), kid["leaf"].alias("leaf"))
+    def choose(_asked: pa.Table, low: np.ndarray, holds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        enough = np.where(holds < k, np.inf, low)
+        # Where none has enough, the nearest counts; the first name among equals.
+        kid = np.where(np.isfinite(enough).any(axis=1), enough.argmin(axis=1), low.argmin(axis=1))
+        return np.arange(len(kid)), kid
 
-    return _walk(tree, asked, F.array_min(F.transform("kids", grade)))
+    return _walk(tree, asked, choose)
 
 
 def leaves_within(tree: BoxTree, asked: DataFrame) -> DataFrame:
     """Every leaf that can hold a point at most ``reach`` away (squared; null: any that can be compared)."""
-    d = tree.features
 
-    def near(kid: Column) -> Column:
-        low = least(F.col("vec"), kid, d)
-        return (_holds(kid) > 0) & low.isNotNull() & (F.col("reach").isNull() | (low <= F.col("reach")))
+    def choose(asked: pa.Table, low: np.ndarray, holds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        reach = asked.column("reach").to_numpy()
+        limit = np.where(np.isnan(reach), np.inf, reach)
+        return np.nonzero((holds > 0) & np.isfinite(low) & (low <= limit[:, None]))
 
-    return _walk(tree, asked, F.explode(F.filter("kids", near)))
+    return _walk(tree, asked, choose)

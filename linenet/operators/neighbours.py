@@ -45,27 +45,66 @@ def _distinct_donors(donors: DataFrame, keep: int) -> DataFrame:
     return donors.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= keep).drop("_n")
 
 
-def _distances(q: np.ndarray, donors: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(q), len(donors)))
-    shared = np.zeros_like(total)
+def _exact(q: np.ndarray, donors: np.ndarray) -> np.ndarray:
+    """Distance of each pair of rows, infinite if they share no feature."""
+    total, shared = np.zeros(len(q)), np.zeros(len(q))
     for f in range(q.shape[1]):
-        diff = q[:, f][:, None] - donors[:, f]
+        diff = q[:, f] - donors[:, f]
         use = ~np.isnan(diff)
         total += np.where(use, diff, 0) ** 2
         shared += use
     return np.sqrt(np.where(shared > 0, total * (q.shape[1] / np.maximum(shared, 1)), np.inf))
 
 
-def _closest(dist: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and position of the k smallest finite distances of each row, the earlier position first among equals."""
-    fits = np.isfinite(dist)
-    if dist.shape[1] > k:
-        fits &= dist <= np.partition(dist, k - 1, axis=1)[:, k - 1:k]
-    rows, at = np.nonzero(fits)
-    order = np.lexsort((at, dist[rows, at], rows))
-    rows, at = rows[order], at[order]
-    rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    return rows[rank < k], at[rank < k]
+class _Pool:
+    """Donors compared with blocks of queries: a product of matrices tells which pairs may count, these are measured exactly."""
+
+    def __init__(self, donors: np.ndarray):
+        have = ~np.isnan(donors)
+        self.donors, zero = donors, np.where(have, donors, 0)
+        with np.errstate(over="ignore"):
+            squares = zero**2
+        self.right = np.concatenate([have, squares, zero], axis=1).T.astype(float)
+        self.have = have.T.astype(float)
+        self.size = squares.sum(axis=1).max(initial=0)
+
+    def rough(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances, and how much those of a query may be off; infinite if no feature is shared."""
+        has = ~np.isnan(q)
+        zero = np.where(has, q, 0)
+        shared = has.astype(float) @ self.have
+        total = np.concatenate([zero**2, has, -2 * zero], axis=1) @ self.right
+        total *= q.shape[1] / np.where(shared > 0, shared, np.nan)
+        total[shared == 0] = np.inf
+        off = ((zero**2).sum(axis=1) + self.size) * (1e-12 * q.shape[1])
+        # Too large for squares: every pair is measured.
+        off[~(off < 1e280)] = np.inf
+        return total, off
+
+    def closest(self, q: np.ndarray, k: int, reach: np.ndarray, barred: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, position and distance of the k nearest of each query, the earlier position first among equals.
+
+        ``reach`` is a squared distance that k donors, here or elsewhere, don't exceed, NaN if none is known.
+        """
+        with np.errstate(invalid="ignore", over="ignore"):
+            near, off = self.rough(q)
+            if barred is not None:
+                near[barred] = np.inf
+            limit, open_ = reach.copy(), np.isnan(reach)
+            if near.shape[1] > k and open_.any():
+                limit[open_] = np.partition(near[open_], k - 1, axis=1)[:, k - 1]
+            limit = np.where(np.isnan(limit) | np.isinf(off), np.inf, limit + off * 2)
+            use = ~(near > limit[:, None]) | np.isinf(off)[:, None]
+            if barred is not None:
+                use &= ~barred
+            rows, at = np.nonzero(use)
+            dist = _exact(q[rows], self.donors[at])
+        fits = np.isfinite(dist)
+        rows, at, dist = rows[fits], at[fits], dist[fits]
+        order = np.lexsort((at, dist, rows))
+        rows, at, dist = rows[order], at[order], dist[order]
+        best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        return rows[best], at[best], dist[best]
 
 
 def _searcher(k: int, skip_self: bool):
@@ -75,18 +114,18 @@ def _searcher(k: int, skip_self: bool):
             donors = donors.sort_values("donor_id", ignore_index=True)
             ids, have = donors["donor_id"].to_numpy(), np.array(donors["vec"].tolist(), float)
             for slot, same in queries.groupby("slot"):
-                pool = np.flatnonzero(~np.isnan(have[:, slot])) if slot >= 0 else np.arange(len(have))
-                for start in range(0, len(same) if len(pool) else 0, MATRIX_ROWS):
+                places = np.flatnonzero(~np.isnan(have[:, slot])) if slot >= 0 else np.arange(len(have))
+                pool = _Pool(have[places])
+                for start in range(0, len(same) if len(places) else 0, MATRIX_ROWS):
                     part = same.iloc[start:start + MATRIX_ROWS]
-                    dist = _distances(np.array(part["vec"].tolist(), float), have[pool])
-                    if skip_self:
-                        dist[part["query_id"].to_numpy()[:, None] == ids[pool]] = np.inf
-                    rows, at = _closest(dist, k)
-                    best = pool[at]
+                    barred = part["query_id"].to_numpy()[:, None] == ids[places] if skip_self else None
+                    reach = part["reach"].to_numpy(dtype=float, na_value=np.nan)
+                    rows, at, dist = pool.closest(np.array(part["vec"].tolist(), float), k, reach, barred)
+                    best = places[at]
                     features = have[best, slot][:, None] if slot >= 0 else have[best]
                     found.append(pd.DataFrame({
                         "query_id": part["query_id"].to_numpy()[rows], "slot": np.int32(slot),
-                        "distance": dist[rows, at], "donor_id": ids[best], "features": list(features),
+                        "distance": dist, "donor_id": ids[best], "features": list(features),
                     }))
         # Types are stated because a leaf may find nothing at all.
         nothing = pd.DataFrame({c: pd.Series(dtype=object) for c in ("query_id", "slot", "distance", "donor_id", "features")})
@@ -98,19 +137,11 @@ def _searcher(k: int, skip_self: bool):
 
 
 def _search(visits: DataFrame, leaves: DataFrame, k: int, skip_self: bool) -> DataFrame:
-    """The k best of each leaf for each row that visits it."""
-    # A leaf many queries visit is copied to several tasks, each with a share of them.
-    load = visits.groupBy(F.col("node").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("_s"))
-    same = F.col("node") == F.col("_b")
-    asked = visits.join(load, same).withColumn("salt", F.pmod(F.xxhash64("query_id", "slot"), F.col("_s")).cast("int"))
-    held = leaves.join(load, same).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
+    """The k best of each leaf for each row that visits it, no farther than its ``reach`` (squared) if that is not null."""
     kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((visits, "query_id"), (leaves, "donor_id"))}
     schema = f"query_id {kinds['query_id']}, slot int, distance double, donor_id {kinds['donor_id']}, features array<double>"
-    return (
-        asked.select("query_id", "slot", "vec", "node", "salt").groupBy("node", "salt")
-        .cogroup(held.select("donor_id", "vec", "node", "salt").groupBy("node", "salt"))
-        .applyInPandas(_searcher(k, skip_self), schema)
-    )
+    pairs = boxes.meet(visits.select("query_id", "slot", "vec", "reach", "node"), leaves.select("donor_id", "vec", "node"), QUERY_ROWS)
+    return pairs.applyInPandas(_searcher(k, skip_self), schema)
 
 
 def _nearest(queries: DataFrame, donors: DataFrame, cols: Sequence[str], k: int, per_column: bool, skip_self: bool) -> DataFrame:
@@ -129,7 +160,7 @@ def _nearest(queries: DataFrame, donors: DataFrame, cols: Sequence[str], k: int,
     if per_column:
         slots = F.explode(F.filter(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: F.isnan(F.get("vec", i))))
     asked = queries.withColumn("slot", slots)
-    first = boxes.closest_leaf(tree, asked, reach)
+    first = boxes.closest_leaf(tree, asked, reach).withColumn("reach", F.lit(None).cast("double"))
     found = _search(first, tree.leaves, k, skip_self)
     if tree.levels:
         first = checkpoint_table(first, scratch_path(spark, "first"))
@@ -139,7 +170,7 @@ def _nearest(queries: DataFrame, donors: DataFrame, cols: Sequence[str], k: int,
         bound = F.when(F.count(F.lit(1)) >= k, far * far * (1 + 1e-9) + 1e-300)
         bounds = found.groupBy(F.col("query_id").alias("_q"), F.col("slot").alias("_s")).agg(bound.alias("reach"))
         same = (F.col("query_id") == F.col("_q")) & (F.col("slot") == F.col("_s"))
-        again = first.withColumnRenamed("node", "seen").join(bounds, same, "left").drop("_q", "_s")
+        again = first.drop("reach").withColumnRenamed("node", "seen").join(bounds, same, "left").drop("_q", "_s")
         visits = boxes.leaves_within(tree, again).filter(F.col("node") != F.col("seen"))
         found = found.unionByName(_search(visits, tree.leaves, k, skip_self))
     w = Window.partitionBy("query_id", "slot").orderBy("distance", "donor_id")

@@ -4,13 +4,17 @@ import contextlib
 import io
 import re
 import struct
+import warnings
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from linenet.functions import geometry as geo
 from linenet.functions import values as val
+from linenet.operators import boxes as bx
+from linenet.operators import neighbours as nb
 from linenet.operators import profiles as pr
 from linenet.operators import sampling as sp
 from linenet.operators import tiles as ti
@@ -142,3 +146,61 @@ def test_areas_are_coded_together(monkeypatch):
     for most in (1, 7, 131_072):
         monkeypatch.setattr(ly, "AT_ONCE", most)
         assert ly._encode_polygons(pa.array(rows, kind)).to_pylist() == want
+
+
+def _points(rng, n, d=5):
+    x = rng.integers(-3, 4, (n, d)).astype(float) + rng.choice([0, 1e-9, 0.25], (n, d))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    return x
+
+
+def test_few_pairs_are_measured(monkeypatch):
+    """Of all pairs in a leaf only those that may count are measured one by one; the answer is that of all."""
+    rng, exact, pairs = np.random.default_rng(3), nb._exact, []
+    donors, q, k = rng.normal(size=(4000, 7)), rng.normal(size=(200, 7)), 7
+    donors[rng.random(donors.shape) < 0.1] = np.nan
+    monkeypatch.setattr(nb, "_exact", lambda a, b: pairs.append(len(a)) or exact(a, b))
+    rows, at, dist = nb._Pool(donors).closest(q, k, np.full(200, np.nan), None)
+    assert sum(pairs) < 0.01 * 200 * 4000
+    every = np.stack([exact(np.repeat(one[None], 4000, 0), donors) for one in q])
+    order = np.argsort(every, axis=1, kind="stable")[:, :k]
+    assert (at.reshape(200, k) == order).all() and (dist.reshape(200, k) == np.take_along_axis(every, order, 1)).all()
+    # Within a reach, no more than that.
+    reach = every.min(axis=1) ** 2 * (1 + 1e-9)
+    rows, at, _ = nb._Pool(donors).closest(q, k, reach, None)
+    assert rows.tolist() == list(range(200)) and (at == order[:, 0]).all()
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-160, 1e153, 1e160, np.inf])
+def test_pairs_of_any_size(scale):
+    """Ties, missing features, values whose squares under- or overflow, rows that are barred."""
+    rng = np.random.default_rng(8)
+    donors, q = _points(rng, 300), _points(rng, 40)
+    donors[7], q[7] = np.nan, np.nan
+    if np.isinf(scale):
+        donors[3, 1], q[4, 2] = np.inf, -np.inf
+    else:
+        donors, q = donors * scale, q * scale
+    barred = rng.random((40, 300)) < 0.05
+    rows, at, dist = nb._Pool(donors).closest(q, 6, np.full(40, np.nan), barred)
+    for i, one in enumerate(q):
+        with np.errstate(over="ignore", invalid="ignore"):
+            every = np.where(barred[i], np.inf, nb._exact(np.repeat(one[None], 300, 0), donors))
+        best = [j for j in np.argsort(every, kind="stable")[:6] if np.isfinite(every[j])]
+        assert at[rows == i].tolist() == best and dist[rows == i].tolist() == every[best].tolist()
+
+
+def test_least_distance_of_a_box():
+    """No point of a box is nearer than it tells, and it is not zero for boxes that are far."""
+    rng = np.random.default_rng(9)
+    vec = _points(rng, 50)
+    for _ in range(20):
+        held = _points(rng, 6) + rng.integers(-5, 6, 5)
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            lo, hi = np.nanmin(held, 0), np.nanmax(held, 0)
+        low = bx.least(vec, lo[None], hi[None], (~np.isnan(held)).sum(0)[None].astype(float), np.array([6.0]))[:, 0]
+        true = np.array([nb._exact(np.repeat(v[None], 6, 0), held).min() for v in vec]) ** 2
+        assert (low <= true * (1 + 1e-12)).all() and (np.isinf(low) <= np.isinf(true)).all()
+    far = bx.least(np.zeros((1, 5)), np.full((1, 5), 2.0), np.full((1, 5), 3.0), np.full((1, 5), 6.0), np.array([6.0]))
+    assert far[0, 0] == pytest.approx(20.0)
