@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from .files import replace_folder
 POINT, LINE, POLYGON, MULTI_LINE, MULTI_POLYGON = 1, 2, 3, 5, 6
 HAS_Z, HAS_M, HAS_SRID = 0x80000000, 0x40000000, 0x20000000
 MORE = {0: 0, 1: 1, 2: 1, 3: 2}
+FEW_PARTS = 64  # lines of more parts are read one by one
 AT_ONCE = 131_072  # vertices or pairs of rings that are worked on together
 
 
@@ -63,44 +65,107 @@ def _read(data: bytes, at: int, parts: list[np.ndarray]) -> int:
     return at
 
 
+def _whole(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Four bytes at each place as a number."""
+    return sliding_window_view(raw, 4)[at].view("<u4")[:, 0].astype(np.int64)
+
+
+def _line_parts(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each geometry is a plain line, of one or of a few parts; of these parts their geometry, the place of their
+    coordinates and the number of vertices, by geometry."""
+    plain, at = np.zeros(len(start), bool), start.copy()
+    owners, places, sizes = [], [], []
+    kind, left = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+    long = np.flatnonzero(end - start >= 9)
+    long = long[raw[start[long]] == 1]
+    kind[long], left[long] = _whole(raw, start[long] + 1), _whole(raw, start[long] + 5)
+    plain[kind == LINE] = True
+    plain[(kind == MULTI_LINE) & (left > 0) & (left <= FEW_PARTS)] = True
+    left[kind == LINE] = 1
+    at[kind == MULTI_LINE] += 9
+    rows = np.flatnonzero(plain)
+    while len(rows):
+        fits = end[rows] - at[rows] >= 9
+        fits[fits] = (raw[at[rows[fits]]] == 1) & (_whole(raw, at[rows[fits]] + 1) == LINE)
+        plain[rows[~fits]] = False
+        rows = rows[fits]
+        n = _whole(raw, at[rows] + 5)
+        fits = end[rows] - at[rows] - 9 >= 16 * n
+        plain[rows[~fits]] = False
+        rows, n = rows[fits], n[fits]
+        owners.append(rows)
+        places.append(at[rows] + 9)
+        sizes.append(n)
+        at[rows] += 9 + 16 * n
+        left[rows] -= 1
+        rows = rows[left[rows] > 0]
+    none = np.zeros(0, np.int64)
+    owner, place, size = (np.concatenate([none, *x]) for x in (owners, places, sizes))
+    use = plain[owner]
+    return plain, owner[use], place[use], size[use]
+
+
 def _decode(column: pa.Array) -> pa.Array:
-    """Lines as parts, polygons as rings, a point as one part of one vertex; null for other types and broken values."""
+    """Lines as parts, polygons as rings, a point as one part of one vertex; null for other types and broken values.
+
+    Plain lines are read together, all else one by one.
+    """
+    offsets = np.frombuffer(column.buffers()[1] or bytes(4), np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    start, end = offsets[:-1], np.where(there, offsets[1:], offsets[:-1])
+    plain, owner, place, size = _line_parts(np.append(raw, np.zeros(16, np.uint8)), start, end)
     xy: list[np.ndarray] = []
-    ends, missing = [0], []
-    for data in column.to_pylist():
+    others, missing = [], ~there
+    for i in np.flatnonzero(there & ~plain):
         parts: list[np.ndarray] = []
         try:
-            missing.append(data is None or not _read(data, 0, parts))
+            missing[i] = not _read(raw[start[i] : end[i]].tobytes(), 0, parts)
         except (ValueError, IndexError, struct.error):
-            missing.append(True)
-        xy += [] if missing[-1] else parts
-        ends.append(len(xy))
-    flat = np.concatenate([np.zeros((0, 2)), *xy])
-    inner = np.concatenate([[0], np.cumsum([len(v) for v in xy])]).astype(np.int32)
+            missing[i] = True
+        xy += [] if missing[i] else parts
+        others += [] if missing[i] else [i] * len(parts)
+    if xy:
+        # Behind the bytes of the column, as if they had been there.
+        more = np.array([len(v) for v in xy], np.int64)
+        place = np.append(place, len(raw) + 16 * (np.cumsum(more) - more))
+        owner, size = np.append(owner, others), np.append(size, more)
+        raw = np.append(raw, np.concatenate(xy).astype("<f8").reshape(-1).view(np.uint8))
+    # Parts of a geometry come in their order, wherever they were found.
+    order = np.argsort(owner, kind="stable")
+    owner, place, size = owner[order], place[order], size[order]
+    part, k = _expand(size)
+    flat = np.zeros((0, 2)) if not len(part) else sliding_window_view(raw, 16)[place[part] + 16 * k].view("<f8")
+    inner = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(column)))]).astype(np.int32)
     points = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, i])) for i in (0, 1)], ["x", "y"])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.ListArray.from_arrays(pa.array(inner), points), mask=pa.array(missing, pa.bool_()))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.ListArray.from_arrays(pa.array(inner), points), mask=pa.array(missing))
 
 
-def _parts_of(column: pa.Array) -> Iterator[list[np.ndarray] | None]:
-    """The parts of each geometry as rows of x and y."""
+def _encode_lines(column: pa.Array) -> pa.Array:
+    """One part as a line, any other number as a multi-line."""
     rings = column.flatten()
     points = rings.flatten()
     xy = np.stack([points.field(i).to_numpy(zero_copy_only=False).astype("<f8") for i in (0, 1)], axis=1)
-    cuts = np.concatenate([[0], np.cumsum(rings.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(int)
-    at = 0
-    for n in column.value_lengths().to_pylist():
-        yield None if n is None else [xy[cuts[i] : cuts[i + 1]] for i in range(at, at + n)]
-        at += n or 0
-
-
-def _head(kind: int, n: int) -> bytes:
-    return struct.pack("<BII", 1, kind, n)
-
-
-def _line_bytes(parts: list[np.ndarray]) -> bytes:
-    """One part as a line, any other number as a multi-line."""
-    lines = [_head(LINE, len(p)) + p.tobytes() for p in parts]
-    return lines[0] if len(lines) == 1 else _head(MULTI_LINE, len(lines)) + b"".join(lines)
+    size = rings.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(int)
+    many = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(int)
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    owner, _ = _expand(many)
+    multi = there & (many != 1)
+    length = np.bincount(owner, 9 + 16 * size, len(many)).astype(int) + 9 * multi
+    offsets = np.concatenate([[0], np.cumsum(length)])
+    out = np.zeros(offsets[-1] + 16, np.uint8)
+    # A part begins behind all parts before it and the heads of all multi-lines up to its own.
+    begin = np.cumsum(9 + 16 * size) - (9 + 16 * size) + 9 * np.cumsum(multi)[owner]
+    for where, kind, n in ((begin, LINE, size), (offsets[:-1][multi], MULTI_LINE, many[multi])):
+        head = np.empty((len(where), 9), np.uint8)
+        head[:, 0] = 1
+        head[:, 1:] = np.stack([np.full(len(where), kind), n], axis=1).astype("<u4").view(np.uint8)
+        sliding_window_view(out, 9, writeable=True)[where] = head
+    part, k = _expand(size)
+    sliding_window_view(out, 16, writeable=True)[begin[part] + 9 + 16 * k] = xy.view(np.uint8)
+    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)])
+    return pc.if_else(column.is_valid(), packed, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
 
 def _pairs_inside(xy: np.ndarray, cuts: np.ndarray, at: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,10 +284,7 @@ def undecoded(df: DataFrame, c: str = "wkb") -> DataFrame:
 
 def to_wkb(df: DataFrame, c: str = "geom", out: str = "wkb", polygons: bool = False) -> DataFrame:
     """Lines, or with ``polygons`` the areas that the rings enclose."""
-    def lines(column: pa.Array) -> pa.Array:
-        return pa.array([None if p is None else _line_bytes(p) for p in _parts_of(column)], pa.binary())
-
-    return _swap_column(df, c, out, "binary", _encode_polygons if polygons else lines)
+    return _swap_column(df, c, out, "binary", _encode_polygons if polygons else _encode_lines)
 
 
 def read_layer(spark: SparkSession, path: str, layer: str | None = None, geometry: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,3 +164,31 @@ def test_kinds_of_text_geometry(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_wkt(F.col("t")).alias("g"))
     got = {r["t"]: r["g"] if r["g"] is None else [[(p.x, p.y) for p in part] for part in r["g"]] for r in df.collect()}
     assert got == texts
+
+
+def test_plain_lines_are_read_together(monkeypatch):
+    """Lines of one and of few parts need no walk of their own; broken, other and long ones keep theirs, in their place."""
+    def line(*xy, order="<"):
+        return struct.pack(order + "BII", order == "<", 2, len(xy)) + b"".join(struct.pack(order + "2d", *p) for p in xy)
+
+    def multi(*parts):
+        return struct.pack("<BII", 1, 5, len(parts)) + b"".join(parts)
+
+    a, b, c = line((0, 1), (2, 3)), line((4, 5)), line()
+    plain = [(a, [[(0, 1), (2, 3)]]), (multi(b, a), [[(4, 5)], [(0, 1), (2, 3)]]), (None, None), (c, [[]]), (multi(b, c), [[(4, 5)], []]), (b + b"x", [[(4, 5)]])]
+    other = [
+        (line((6, 7), order=">"), [[(6, 7)]]), (multi(), []), (multi(b, line((8, 9), order=">")), [[(4, 5)], [(8, 9)]]), (a[:-1], None), (b"", None),
+        (multi(a, b)[:-1], None), (multi(*[b] * 70), [[(4, 5)]] * 70), (struct.pack("<BI2d", 1, 1, 1, 2), [[(1, 2)]]),
+    ]
+
+    def read(values):
+        got = ly._decode(pa.array([v for v, _ in values], pa.binary()))
+        return got, [g and [[(p["x"], p["y"]) for p in part] for part in g] for g in got.to_pylist()]
+
+    mixed = [x for pair in zip(other, [*plain, *plain[:2]]) for x in pair]
+    assert read(mixed)[1] == [want for _, want in mixed]
+    monkeypatch.setattr(ly, "_read", None)
+    got, parts = read(plain)
+    assert parts == [want for _, want in plain]
+    assert ly._encode_lines(got).to_pylist() == [v and (v[:-1] if v.endswith(b"x") else v) for v, _ in plain]
+    assert ly._encode_lines(got.slice(1, 3)).to_pylist() == [plain[1][0], None, c]
