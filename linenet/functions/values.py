@@ -118,8 +118,13 @@ def file_stem(path: Column) -> Column:
     return F.lower(F.regexp_replace(name, r"\.[^.]*$", ""))
 
 
+def _whole(digits: Column) -> Column:
+    """Number of an extracted group; null where nothing was extracted, without a failed cast, which costs an exception."""
+    return none_if(digits, "").try_cast("int")
+
+
 def year_in_text(c: Column) -> Column:
-    return F.regexp_extract(c, YEAR, 1).try_cast("int")
+    return _whole(F.regexp_extract(c, YEAR, 1))
 
 
 def install_year(c: Column, tokens: Sequence[str]) -> Column:
@@ -133,7 +138,7 @@ def year_of_date(text: Column) -> Column:
     def year(t: Column) -> Column:
         # Only one of the two groups takes part in a match, so both together are the year.
         long = F.when(t.rlike(LONG_DATE), F.regexp_replace(t, LONG_DATE, "$1$2").try_cast("int"))
-        short = F.regexp_extract(t, SHORT_DATE, 1).try_cast("int")
+        short = _whole(F.regexp_extract(t, SHORT_DATE, 1))
         century = F.pmod(short + (100 - CENTURY_PIVOT), F.lit(100)) + (1900 + CENTURY_PIVOT)
         return F.coalesce(long, century, year_in_text(t))
 

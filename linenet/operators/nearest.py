@@ -123,21 +123,22 @@ def _meet(asked: DataFrame, levels: Sequence[tuple[DataFrame, DataFrame]], by: S
     return found
 
 
-def nearest_join(
+def _same_place(by: Sequence[str], x: Column, y: Column, near: str = "_a") -> Column:
+    """Whether a row asks for the place of an answer."""
+    cond = (x == F.col(f"{near}_x")) & (y == F.col(f"{near}_y"))
+    for i, c in enumerate(by):
+        cond = cond & (F.col(c) == F.col(f"{near}_{i}"))
+    return cond
+
+
+def answers(
     left: DataFrame, right: DataFrame, max_distance: float, cols: Sequence[str], tie_key: str,
     xy: tuple[str, str] = ("x", "y"), partition: Sequence[str] = (), leaf: int = LEAF,
 ) -> DataFrame:
-    """Attach to every left row the columns of its nearest right row within a distance.
+    """One row for every asked place that has something near: the place, ``distance`` and ``near_<col>``.
 
-    Rows at equal distance are taken together: each column comes from the one with the
-    smallest ``tie_key`` that has a value. Rows with nothing near keep nulls.
-    ``partition`` names columns (a city, say) that must be equal on both sides.
-
-    Right rows at one place always tie, and left rows at one place share their answer,
-    so both sides are first reduced to one row per place with partial aggregation. A
-    place that holds a third of the table therefore costs one row. Places lie in bins that
-    are split until none holds more than ``leaf`` of them (``bin_tree``). Coordinates that are
-    null, NaN or infinite are near nothing.
+    The place is in ``_a_x``, ``_a_y`` and, for the columns of ``partition``, ``_a_0`` and so on. The rows are a
+    written table: Spark knows its size, and left rows that ask for few places don't move to meet it.
     """
     x, y = xy
     by = list(partition)
@@ -161,15 +162,33 @@ def nearest_join(
             for c in cols
         ],
     )
-    answers = picks.select(
-        *[F.col(q).alias(f"_a_{c}") for q, c in zip(place, [*by, x, y])],
+    found = picks.select(
+        *[F.col(f"_q_{c}").alias(f"_a_{i}") for i, c in enumerate(by)], F.col("_qx").alias("_a_x"), F.col("_qy").alias("_a_y"),
         F.col("distance"),
         *[F.when(F.col(f"_m_{c}.d") == F.col("distance"), F.col(f"_m_{c}.r.v")).alias(f"near_{c}") for c in cols],
     )
-    back = F.lit(True)
-    for c in [*by, x, y]:
-        back = back & (F.col(c) == F.col(f"_a_{c}"))
-    return left.join(answers, back, "left").drop(*[f"_a_{c}" for c in [*by, x, y]])
+    return checkpoint_table(found, scratch_path(left.sparkSession, "answers"))
+
+
+def nearest_join(
+    left: DataFrame, right: DataFrame, max_distance: float, cols: Sequence[str], tie_key: str,
+    xy: tuple[str, str] = ("x", "y"), partition: Sequence[str] = (), leaf: int = LEAF,
+) -> DataFrame:
+    """Attach to every left row the columns of its nearest right row within a distance.
+
+    Rows at equal distance are taken together: each column comes from the one with the
+    smallest ``tie_key`` that has a value. Rows with nothing near keep nulls.
+    ``partition`` names columns (a city, say) that must be equal on both sides.
+
+    Right rows at one place always tie, and left rows at one place share their answer,
+    so both sides are first reduced to one row per place with partial aggregation. A
+    place that holds a third of the table therefore costs one row. Places lie in bins that
+    are split until none holds more than ``leaf`` of them (``bin_tree``). Coordinates that are
+    null, NaN or infinite are near nothing.
+    """
+    found = answers(left, right, max_distance, cols, tie_key, xy, partition, leaf)
+    keys = [c for c in found.columns if c.startswith("_a_")]
+    return left.join(found, _same_place(partition, F.col(xy[0]), F.col(xy[1])), "left").drop(*keys)
 
 
 def line_ends(lines: DataFrame, key: str, geom: str = "geom", keep: Sequence[str] = ()) -> DataFrame:
@@ -183,22 +202,50 @@ def line_ends(lines: DataFrame, key: str, geom: str = "geom", keep: Sequence[str
     )
 
 
+def _repeated(df: DataFrame, key: str) -> DataFrame | None:
+    """Hashes of the keys that more than one row has, or none. Eight bytes a row are moved to find them.
+
+    Two keys of one hash are taken for repeated as well, which costs a little and changes nothing.
+    """
+    many = df.filter(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("_hash")).count().filter("count > 1")
+    many = checkpoint_table(many.select("_hash"), scratch_path(df.sparkSession, "repeated"))
+    return None if many.isEmpty() else many
+
+
 def attach_endpoints(
     lines: DataFrame, nodes: DataFrame, fields: Mapping[str, str], key: str, node_key: str,
     max_distance: float, numeric: Sequence[str] = (), partition: Sequence[str] = (), geom: str = "geom",
 ) -> DataFrame:
     """Columns ``<field>_up`` and ``<field>_down`` from the nearest node of each line end.
 
-    ``fields`` maps the output name to the node column. Both ends go through one join.
+    ``fields`` maps the output name to the node column. Both ends go through one search. Lines that share a key
+    all get the largest of their values; a line without a key gets none.
+
+    Lines meet the answers of their two ends where they are: they are neither doubled nor grouped by key, unless
+    their key comes more than once.
     """
     ends = line_ends(lines, key, geom, partition)
-    near = nearest_join(ends, nodes, max_distance, list(dict.fromkeys(fields.values())), node_key, partition=partition)
+    found = answers(ends, nodes, max_distance, list(dict.fromkeys(fields.values())), node_key, partition=partition)
     kinds = {f.name: f.dataType.typeName() for f in nodes.schema.fields}
-    aggs = []
-    for out, src in fields.items():
-        value = F.col(f"near_{src}")
-        if out in numeric:
-            value = val.to_double(value) if kinds[src] == "string" else val.finite(value.cast("double"))
-        aggs += [F.max(F.when(F.col("end") == e, value)).alias(f"{out}_{e}") for e in ("up", "down")]
-    wide = near.groupBy(F.col(key).alias("_line")).agg(*aggs)
-    return lines.join(wide, F.col(key) == F.col("_line"), "left").drop("_line")
+    # The ends are a step of their own, since code made for this and both joins together is too long to be compiled.
+    both_ends = val.once(F.col(geom), lambda g: F.struct(*[geo.endpoint(g, e).alias(e) for e in ("up", "down")]))
+    near, outs = lines.withColumn("_ends", both_ends), [f"{out}_{e}" for out in fields for e in ("up", "down")]
+    for e in ("up", "down"):
+        keys = [F.col(c).alias(c.replace("_a_", f"_a_{e}_")) for c in found.columns if c.startswith("_a_")]
+        values = []
+        for out, src in fields.items():
+            value = F.col(f"near_{src}")
+            if out in numeric:
+                value = val.to_double(value) if kinds[src] == "string" else val.finite(value.cast("double"))
+            values.append(value.alias(f"_o_{out}_{e}"))
+        place = _same_place(partition, F.col(f"_ends.{e}.x"), F.col(f"_ends.{e}.y"), f"_a_{e}") & F.col(key).isNotNull()
+        near = near.join(found.select(*keys, *values), place, "left").drop(*[f"_a_{e}_{i}" for i in ("x", "y", *range(len(partition)))])
+    near, many, own = near.drop("_ends"), _repeated(lines, key), [f"_o_{c}" for c in outs]
+    if many is None:
+        return near.select("*", *[F.col(f"_o_{c}").alias(c) for c in outs]).drop(*own)
+    shared = near.select(F.col(key).alias("_line"), F.xxhash64(key).alias("_hash"), *own).filter(F.col("_line").isNotNull())
+    largest = shared.join(many, "_hash", "left_semi").groupBy("_line").agg(*[F.max(f"_o_{c}").alias(f"_m_{c}") for c in outs])
+    largest = checkpoint_table(largest, scratch_path(lines.sparkSession, "shared"))
+    picked = [F.coalesce(f"_m_{c}", f"_o_{c}").alias(c) for c in outs]
+    both = near.join(largest, F.col(key) == F.col("_line"), "left")
+    return both.select("*", *picked).drop("_line", *own, *[f"_m_{c}" for c in outs])

@@ -11,9 +11,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import catalogue
 from linenet.functions import geometry as geo
 from linenet.functions import values as val
 from linenet.operators import boxes as bx
+from linenet.operators import nearest as nn
 from linenet.operators import neighbours as nb
 from linenet.operators import profiles as pr
 from linenet.operators import sampling as sp
@@ -204,3 +206,49 @@ def test_least_distance_of_a_box():
         assert (low <= true * (1 + 1e-12)).all() and (np.isinf(low) <= np.isinf(true)).all()
     far = bx.least(np.zeros((1, 5)), np.full((1, 5), 2.0), np.full((1, 5), 3.0), np.full((1, 5), 6.0), np.array([6.0]))
     assert far[0, 0] == pytest.approx(20.0)
+
+
+def test_lines_meet_their_nodes_without_moving(spark):
+    """Few places answer many lines: no line is shuffled or sorted to get the values of its ends."""
+    x = (F.col("id") % 50).cast("double")
+    lines = spark.range(300_000).select(F.concat(F.lit("s"), "id").alias("k"), geo.two_point_line(x, F.lit(0.0), x + 1, F.lit(0.0)).alias("geom"))
+    nodes = spark.range(0, 50, 2).select(F.col("id").alias("n"), F.col("id").cast("double").alias("x"), F.lit(0.1).alias("y"), (F.col("id") * 10.0).alias("v"))
+    out = nn.attach_endpoints(lines, nodes, {"v": "v"}, "k", "n", 0.5, numeric=["v"])
+    plan = first_plan(out)
+    assert "SortMergeJoin" not in plan and "Aggregate" not in plan
+    got = out.groupBy("v_up", "v_down").count().collect()
+    want = {(i * 10.0 if i % 2 == 0 else None, (i + 1) * 10.0 if i % 2 and i < 49 else None): 6_000 for i in range(49)} | {(None, None): 6_000}
+    assert {(r["v_up"], r["v_down"]): r["count"] for r in got} == want
+    asked = spark.range(300_000).select("id", x.alias("x"), F.lit(0.0).alias("y"))
+    assert "SortMergeJoin" not in first_plan(nn.nearest_join(asked, nodes, 0.5, ["v"], "n"))
+
+
+def test_lines_that_share_a_key_share_their_levels(spark):
+    rows = [("a", 0.0, 4.0), ("a", 4.0, 0.0), ("b", 0.0, 4.0), (None, 0.0, 4.0), (None, 0.0, 4.0), ("c", 90.0, None), ("c", 90.0, 4.0), ("d", None, None)]
+    lines = spark.createDataFrame(rows, "k string, x0 double, x1 double").withColumn(
+        "geom", geo.two_point_line(F.col("x0"), F.lit(0.0), F.col("x1"), F.lit(0.0))
+    )
+    nodes = spark.createDataFrame([("n", 0.0, 0.0, 1.0, "p"), ("m", 4.0, 0.0, 2.0, "q"), ("o", 4.0, 0.0, 9.0, "r")], "n string, x double, y double, v double, t string")
+    out = nn.attach_endpoints(lines, nodes, {"v": "v", "t": "t"}, "k", "n", 0.5, numeric=["v"])
+    assert out.columns == ["k", "x0", "x1", "geom", "v_up", "v_down", "t_up", "t_down"]
+    got = sorted(((str(r["k"]), r["v_up"], r["v_down"], r["t_up"], r["t_down"]) for r in out.collect() if r["k"] != "c"), key=str)
+    none = (None, None, None, None)
+    both = ("a", 2.0, 2.0, "q", "q")
+    assert got == [("None", *none), ("None", *none), both, both, ("b", 1.0, 2.0, "p", "q"), ("d", *none)]
+    assert [(r["v_up"], r["v_down"]) for r in out.filter("k = 'c'").collect()] == [(None, 2.0)] * 2
+
+
+def test_straight_lines_are_measured_without_a_walk(spark):
+    n, d = F.lit(None).cast("double"), lambda v: F.lit(v).cast("double")
+    ends = [(d(0), d(0), d(3), d(4)), (d(1), d(1), d(1), d(1)), (n, d(0), d(1), d(1)), (d(0), d(0), d(1), n), (d(0), d(0), d("NaN"), d(1)), (d(0), d(0), d("inf"), d(1))]
+    rows = F.array(*[F.struct(F.lit(i).alias("id"), geo.two_point_line(*e).alias("g")) for i, e in enumerate(ends)])
+    lines = spark.range(1).select(F.inline(rows))
+    # An empty second part leaves the length as it is, but has to be walked along.
+    walked = lines.withColumn("w", F.concat("g", F.array(F.array().cast("array<struct<x:double,y:double>>"))))
+    got = walked.select(geo.line_length(F.col("g")).alias("a"), geo.line_length(F.col("w")).alias("b")).collect()
+    assert [repr(r["a"]) for r in got] == [repr(r["b"]) for r in got] and got[0]["a"] == 5.0
+    assert "CASE WHEN" in first_plan(lines.select(geo.line_length(F.col("g"))))
+
+
+def test_the_chain_is_compiled(spark, folder):
+    assert longest_method(catalogue.QUERIES["preprocess_segments"](spark, folder)) < LONGEST
