@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
+from ..functions.arrays import expand as _expand
+from ..functions.arrays import shares as _shares
 from ..session import scratch_path
 from ..sources.tables import checkpoint_table
 
@@ -104,21 +106,6 @@ def ground_levels(
     return filled.withColumn(mean, (F.col(up) + F.col(down)) / 2).drop("_line", "_up", "_down")
 
 
-def _expand(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Position of the owner of each of so many items in turn, and the item's place among its owner's."""
-    owner = np.repeat(np.arange(len(counts)), counts)
-    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-
-
-def _shares(counts: np.ndarray, most: int) -> Iterator[slice]:
-    """Stretches of owners with about ``most`` items, at least one owner each."""
-    total, start = np.cumsum(counts), 0
-    while start < len(counts):
-        end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + most, "right")))
-        yield slice(start, end)
-        start = end
-
-
 def _near_boxes(x0, y0, x1, y1, left, low, right, high, r: float) -> np.ndarray:
     """``geo.dist_seg_square`` at most ``r``, over arrays; NaN stands for null, which least and greatest pass over."""
     dx, dy = x1 - x0, y1 - y0

@@ -13,8 +13,9 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import expand as _expand
+from ..functions.arrays import shares as _shares
 from ..functions.geometry import GEOM
-from ..operators.tiles import _expand, _shares
 from .files import replace_folder
 
 # Geometry type codes of well-known binary, the flags of its extended form, and the
@@ -22,7 +23,7 @@ from .files import replace_folder
 POINT, LINE, POLYGON, MULTI_LINE, MULTI_POLYGON = 1, 2, 3, 5, 6
 HAS_Z, HAS_M, HAS_SRID = 0x80000000, 0x40000000, 0x20000000
 MORE = {0: 0, 1: 1, 2: 1, 3: 2}
-FEW_PARTS = 64  # lines of more parts are read one by one
+FEW_PARTS = 64  # lines of more parts and areas of more rings are read one by one
 AT_ONCE = 131_072  # vertices or pairs of rings that are worked on together
 
 
@@ -70,35 +71,56 @@ def _whole(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sliding_window_view(raw, 4)[at].view("<u4")[:, 0].astype(np.int64)
 
 
-def _line_parts(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Whether each geometry is a plain line, of one or of a few parts; of these parts their geometry, the place of their
-    coordinates and the number of vertices, by geometry."""
+def _sixteens(raw: np.ndarray) -> np.ndarray:
+    """The sixteen bytes of a vertex from each place on."""
+    return sliding_window_view(raw, 16, writeable=raw.flags.writeable).view("V16")[:, 0]
+
+
+def _plain_parts(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each geometry is plain, a line or polygon or a few of them; of its parts or rings their geometry, the place of
+    their coordinates and the number of vertices, by geometry."""
     plain, at = np.zeros(len(start), bool), start.copy()
     owners, places, sizes = [], [], []
-    kind, left = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+    kind, left, rings = (np.zeros(len(start), np.int64) for _ in range(3))
     long = np.flatnonzero(end - start >= 9)
     long = long[raw[start[long]] == 1]
     kind[long], left[long] = _whole(raw, start[long] + 1), _whole(raw, start[long] + 5)
-    plain[kind == LINE] = True
-    plain[(kind == MULTI_LINE) & (left > 0) & (left <= FEW_PARTS)] = True
-    left[kind == LINE] = 1
-    at[kind == MULTI_LINE] += 9
+    single, multi = (kind == LINE) | (kind == POLYGON), (kind == MULTI_LINE) | (kind == MULTI_POLYGON)
+    plain[single | (multi & (left > 0) & (left <= FEW_PARTS))] = True
+    left[single] = 1
+    at[multi] += 9
+    area = (kind == POLYGON) | (kind == MULTI_POLYGON)
     rows = np.flatnonzero(plain)
-    while len(rows):
-        fits = end[rows] - at[rows] >= 9
-        fits[fits] = (raw[at[rows[fits]]] == 1) & (_whole(raw, at[rows[fits]] + 1) == LINE)
-        plain[rows[~fits]] = False
-        rows = rows[fits]
-        n = _whole(raw, at[rows] + 5)
-        fits = end[rows] - at[rows] - 9 >= 16 * n
-        plain[rows[~fits]] = False
-        rows, n = rows[fits], n[fits]
-        owners.append(rows)
-        places.append(at[rows] + 9)
+    for _ in range(FEW_PARTS):
+        # Where no ring is left the next line or polygon begins: a line is one "ring" behind its type.
+        new = rows[rings[rows] == 0]
+        size = np.where(area[new], 9, 5)
+        fits = end[new] - at[new] >= size
+        fits[fits] = (raw[at[new[fits]]] == 1) & (_whole(raw, at[new[fits]] + 1) == np.where(area[new[fits]], POLYGON, LINE))
+        plain[new[~fits]] = False
+        new, size = new[fits], size[fits]
+        rings[new] = np.where(area[new], _whole(raw, at[new] + 5), 1)
+        at[new] += size
+        left[new] -= 1
+        # One ring of each.
+        rows = rows[plain[rows]]
+        some = rows[rings[rows] > 0]
+        fits = end[some] - at[some] >= 4
+        plain[some[~fits]] = False
+        some = some[fits]
+        n = _whole(raw, at[some])
+        fits = end[some] - at[some] - 4 >= 16 * n
+        plain[some[~fits]] = False
+        some, n = some[fits], n[fits]
+        owners.append(some)
+        places.append(at[some] + 4)
         sizes.append(n)
-        at[rows] += 9 + 16 * n
-        left[rows] -= 1
-        rows = rows[left[rows] > 0]
+        at[some] += 4 + 16 * n
+        rings[some] -= 1
+        rows = rows[plain[rows] & ((rings[rows] > 0) | (left[rows] > 0))]
+        if not len(rows):
+            break
+    plain[rows] = False
     none = np.zeros(0, np.int64)
     owner, place, size = (np.concatenate([none, *x]) for x in (owners, places, sizes))
     use = plain[owner]
@@ -108,13 +130,13 @@ def _line_parts(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
 def _decode(column: pa.Array) -> pa.Array:
     """Lines as parts, polygons as rings, a point as one part of one vertex; null for other types and broken values.
 
-    Plain lines are read together, all else one by one.
+    Plain lines and polygons are read together, all else one by one.
     """
     offsets = np.frombuffer(column.buffers()[1] or bytes(4), np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     there = column.is_valid().to_numpy(zero_copy_only=False)
     start, end = offsets[:-1], np.where(there, offsets[1:], offsets[:-1])
-    plain, owner, place, size = _line_parts(np.append(raw, np.zeros(16, np.uint8)), start, end)
+    plain, owner, place, size = _plain_parts(np.append(raw, np.zeros(16, np.uint8)), start, end)
     xy: list[np.ndarray] = []
     others, missing = [], ~there
     for i in np.flatnonzero(there & ~plain):
@@ -135,7 +157,7 @@ def _decode(column: pa.Array) -> pa.Array:
     order = np.argsort(owner, kind="stable")
     owner, place, size = owner[order], place[order], size[order]
     part, k = _expand(size)
-    flat = np.zeros((0, 2)) if not len(part) else sliding_window_view(raw, 16)[place[part] + 16 * k].view("<f8")
+    flat = np.zeros((0, 2)) if not len(part) else _sixteens(raw)[place[part] + 16 * k].view("<f8").reshape(-1, 2)
     inner = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
     ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(column)))]).astype(np.int32)
     points = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, i])) for i in (0, 1)], ["x", "y"])
@@ -175,6 +197,7 @@ def _pairs_inside(xy: np.ndarray, cuts: np.ndarray, at: np.ndarray, first: np.nd
     """
     inner, outer = [], []
     edges = np.maximum(np.diff(cuts) - 1, 0)
+    y, height = np.ascontiguousarray(xy[:, 1]), np.ascontiguousarray(at[:, 1])
     for rings in _shares(n, AT_ONCE):
         i, k = _expand(n[rings])
         i += rings.start
@@ -183,10 +206,11 @@ def _pairs_inside(xy: np.ndarray, cuts: np.ndarray, at: np.ndarray, first: np.nd
         for pairs in _shares(edges[j], AT_ONCE):
             own, k = _expand(edges[j[pairs]])
             own += pairs.start
-            p = at[i[own]]
-            a, b = xy[cuts[j[own]] + k], xy[cuts[j[own]] + k + 1]
-            cross = np.flatnonzero((a[:, 1] > p[:, 1]) != (b[:, 1] > p[:, 1]))
-            own, p, a, b = own[cross], p[cross], a[cross], b[cross]
+            edge, level = cuts[j[own]] + k, height[i[own]]
+            # Few edges cross the height of the point, and only these are taken whole.
+            cross = np.flatnonzero((y[edge] > level) != (y[edge + 1] > level))
+            own, edge = own[cross], edge[cross]
+            p, a, b = at[i[own]], xy[edge], xy[edge + 1]
             right = a[:, 0] + (p[:, 1] - a[:, 1]) / (b[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0]) > p[:, 0]
             odd = np.flatnonzero(np.bincount(own[right] - pairs.start, minlength=pairs.stop - pairs.start) % 2) + pairs.start
             inner.append(i[odd])
@@ -229,7 +253,7 @@ def _encode_polygons(column: pa.Array) -> pa.Array:
     before = 4 + 9 * shell + 9 * (opens & (shells[place] != 1))
     length = np.bincount(place, before + 16 * size, len(many)).astype(int) + 9 * (many == 0)
     offsets = np.concatenate([[0], np.cumsum(np.where(column.is_valid().to_numpy(zero_copy_only=False), length, 0))])
-    out = np.zeros(offsets[-1], np.uint8)
+    out = np.zeros(offsets[-1] + 16, np.uint8)
 
     def put(where: np.ndarray, value: np.ndarray) -> None:
         out[where[:, None] + np.arange(4)] = np.asarray(value, "<u4").reshape(-1, 1).view(np.uint8)
@@ -248,11 +272,11 @@ def _encode_polygons(column: pa.Array) -> pa.Array:
     head(body[polygons] - 13, POLYGON, np.diff(np.append(polygons, len(size))))
     multi = np.flatnonzero((shells != 1) & (np.diff(offsets) > 0))
     head(offsets[:-1][multi], MULTI_POLYGON, shells[multi])
-    raw = np.ascontiguousarray(xy).view(np.uint8).reshape(-1, 16)
+    raw = np.ascontiguousarray(xy).view("V16")[:, 0]
     for part in _shares(size, AT_ONCE):
         ring, k = _expand(size[part])
         ring += part.start
-        out[(body[ring] + 16 * k)[:, None] + np.arange(16)] = raw[start[ring] + k]
+        _sixteens(out)[body[ring] + 16 * k] = raw[start[ring] + k]
     packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)])
     return pc.if_else(column.is_valid(), packed, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 

@@ -150,6 +150,82 @@ def test_areas_are_coded_together(monkeypatch):
         assert ly._encode_polygons(pa.array(rows, kind)).to_pylist() == want
 
 
+def test_areas_are_decoded_together(monkeypatch):
+    """Plain areas don't go one by one, whatever lies between them; every value is what it is alone."""
+
+    def ring(*at, order="<", more=0):
+        return struct.pack(order + "I", len(at) + more) + struct.pack(f"{order}{2 * len(at)}d", *sum(at, ()))
+
+    def shape(kind, *parts, order="<", n=None):
+        return struct.pack(order + "BII", order == "<", kind, len(parts) if n is None else n) + b"".join(parts)
+
+    box, hole, spot = ring((0, 0), (9, 0), (9, 9), (0, 0)), ring((2, 1), (3, 1), (3, 2), (2, 1)), ring()
+    line = struct.pack("<BI", 1, 2) + ring((1, 2), (3, 4))
+    plain = [
+        shape(3, box), shape(3, box, hole), shape(3), shape(3, spot, box), shape(6, shape(3, box, hole), shape(3), shape(3, hole)), line, shape(5, line, line),
+        shape(3, *[hole] * ly.FEW_PARTS), shape(3, box) + b"tail",
+    ]
+    others = [
+        shape(6), shape(3, *[hole] * (ly.FEW_PARTS + 1), box), shape(6, shape(3, box), line), shape(3, ring((1, 2), (3, 4), order=">"), order=">"),
+        shape(3, ring((1, 2), more=1)), shape(3, box, n=2), shape(3, box)[:-1], shape(6, shape(3, box), n=3), shape(6, shape(3, box), shape(4)), shape(7, line), b"\1", b"", None,
+    ]
+    every = [v for pair in zip(plain * 2, others * 2, strict=False) for v in pair] + plain + others
+    def by_itself(v):
+        parts = []
+        try:
+            ly._read(v or b"", 0, parts)
+        except (ValueError, IndexError, struct.error):
+            return None
+        return [[{"x": x, "y": y} for x, y in part.tolist()] for part in parts]
+
+    alone = {v: by_itself(v) for v in every}
+    assert alone[plain[1]] == [[{"x": float(x), "y": float(y)} for x, y in r] for r in ([(0, 0), (9, 0), (9, 9), (0, 0)], [(2, 1), (3, 1), (3, 2), (2, 1)])]
+    assert [len(alone[v]) for v in plain] == [1, 2, 0, 2, 3, 1, 2, 64, 1]
+    assert [alone[v] and len(alone[v]) for v in others] == [[], 66, 2, 1, *[None] * 9]
+    assert ly._decode(pa.array([None, *every], pa.binary())[1:]).to_pylist() == [alone[v] for v in every]
+    monkeypatch.setattr(ly, "_read", lambda *_: pytest.fail("one by one"))
+    assert ly._decode(pa.array([*plain, None], pa.binary())).to_pylist() == [*[alone[v] for v in plain], None]
+
+
+def test_points_meet_areas_in_arrays(spark, monkeypatch):
+    """One pass for several points; missing, infinite and odd numbers as in column expressions."""
+    rnd, odd = np.random.default_rng(4), [None, float("nan"), float("inf"), float("-inf")]
+
+    def number(bad):
+        return odd[rnd.integers(4)] if rnd.random() < bad else float(rnd.integers(-3, 4)) + float(rnd.choice([0, 0.5]))
+
+    def ring(bad):
+        r = [None if rnd.random() < bad / 3 else (number(bad), number(bad)) for _ in range(rnd.integers(1, 6))]
+        return r + r[:1]
+
+    rows = []
+    for i in range(3000):
+        bad = float(rnd.choice([0, 0, 0.2]))
+        rows.append((i, number(bad), number(bad), [ring(bad) for _ in range(rnd.integers(0, 4))]))
+    df = spark.createDataFrame([*rows, (-1, 1.0, 1.0, None), (-2, 1.0, 1.0, [None])], f"id int, px double, py double, g {geo.GEOM}")
+    each = df.select("id", "px", "py", "g", F.explode_outer(geo.line_pieces(F.col("g"))).alias("e")).select("*", "e.*")
+    e = {c: F.col(c) for c in ("x0", "y0", "x1", "y1", "px", "py")}
+    cross = ((e["y0"] > e["py"]) != (e["y1"] > e["py"])) & (e["px"] < e["x0"] + (e["py"] - e["y0"]) / (e["y1"] - e["y0"]) * (e["x1"] - e["x0"]))
+    level = (e["x1"] - e["x0"]) * (e["py"] - e["y0"]) - (e["y1"] - e["y0"]) * (e["px"] - e["x0"]) == 0
+    touch = level & e["px"].between(F.least("x0", "x1"), F.greatest("x0", "x1")) & e["py"].between(F.least("y0", "y1"), F.greatest("y0", "y1"))
+    met = each.groupBy("id").agg(F.count(F.when(cross, 1)).alias("n"), F.max(touch).alias("on"), F.count(F.when(F.col("e").isNotNull() & touch.isNull(), 1)).alias("open"))
+    want = {}
+    for r in met.collect():
+        inside = r["n"] % 2 == 1
+        want[r["id"]] = False if not inside or r["on"] else None if r["open"] else True
+    want[-1] = want[-2] = None
+    g = F.col("g")
+    for most in (1, 7, 131_072):
+        monkeypatch.setattr(geo, "EDGES_AT_ONCE", most)
+        t = df.toArrow()
+        columns = [t[c].combine_chunks() for c in ("px", "py", "g")]
+        assert dict(zip(t["id"].to_pylist(), geo._holds(*columns).to_pylist(), strict=True)) == want
+    both = df.select("id", geo.point_in_polygon(F.col("px"), F.col("py"), g).alias("a"), geo.point_in_polygon(F.col("px") + 0, F.col("py"), g).alias("b"))
+    plan = first_plan(both)
+    assert plan.count("ArrowEvalPython") == 1 and "lambda" not in plan
+    assert {r["id"]: r["a"] for r in both.collect()} == want == {r["id"]: r["b"] for r in both.collect()}
+
+
 def _points(rng, n, d=5):
     x = rng.integers(-3, 4, (n, d)).astype(float) + rng.choice([0, 1e-9, 0.25], (n, d))
     x[rng.random(x.shape) < 0.2] = np.nan
