@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -20,7 +20,8 @@ from ..session import scratch_path
 from ..sources.tables import checkpoint_table
 
 ROWS_AT_ONCE, CELLS_AT_ONCE = 65_536, 131_072  # that a task measures
-RUN = 16  # neighbouring cells of a raster row that meet lines as one row
+# Cells meet lines in blocks of so many rows and columns, one bit for each; both are powers of two, their product 64 at most.
+BLOCK_ROWS, BLOCK_COLS = 4, 8
 
 
 def bins_between(low: Column, high: Column, size: float) -> Column:
@@ -132,70 +133,135 @@ def _near_boxes(x0, y0, x1, y1, left, low, right, high, r: float) -> np.ndarray:
     return near
 
 
+def _reached(batch: pa.RecordBatch, r: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Piece, row, first and last column of what each piece of a batch reaches in each row of its tile, in shares."""
+    names = ("_px0", "_py0", "_px1", "_py1", "t_xmin", "t_ymax", "t_cell", "t_nrows", "t_ncols")
+    x0, y0, x1, y1, xmin, ymax, cell, nrows, ncols = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names)
+    top = np.fmax(np.ceil((ymax - (np.fmax(y0, y1) + r)) / cell) - 1, 0)
+    end = np.fmin(np.floor((ymax - (np.fmin(y0, y1) - r)) / cell), nrows - 1)
+    high = np.fmax(end - top + 1, 0)
+    high = np.where(np.isnan(nrows + ncols + cell + ymax), 0, high).astype(int)
+    for share in _shares(high, ROWS_AT_ONCE):
+        i, down = _expand(high[share])
+        i += share.start
+        row, dx, dy = top[i] + down, (x1 - x0)[i], (y1 - y0)[i]
+        low = ymax[i] - (row + 1) * cell[i]
+        # The stretch of the piece near the row bounds the columns.
+        ta, tb = (low - r - y0[i]) / dy, (low + cell[i] + r - y0[i]) / dy
+        t0 = np.where(dy == 0, 0.0, np.fmin(np.fmax(np.fmin(ta, tb), 0.0), 1.0))
+        t1 = np.where(dy == 0, 1.0, np.fmin(np.fmax(np.fmax(ta, tb), 0.0), 1.0))
+        xa, xb = x0[i] + t0 * dx, x0[i] + t1 * dx
+        a = np.fmax(np.ceil((np.fmin(xa, xb) - r - xmin[i]) / cell[i]) - 1, 0)
+        b = np.fmin(np.floor((np.fmax(xa, xb) + r - xmin[i]) / cell[i]), ncols[i] - 1)
+        wide = np.fmax(b - a + 1, 0).astype(int)
+        for part in _shares(wide, CELLS_AT_ONCE):
+            j, along = _expand(wide[part])
+            j += part.start
+            col, k = a[j] + along, i[j]
+            left, size = xmin[k] + col * cell[k], cell[k]
+            near = _near_boxes(x0[k], y0[k], x1[k], y1[k], left, low[j], left + size, low[j] + size, r)
+            hit = np.flatnonzero(near)
+            own, first = np.unique(j[hit], return_index=True)
+            last = np.append(first[1:], len(hit)) - 1
+            # What lies within a distance of a straight piece is convex: no gaps in a row.
+            yield i[own], *(v.astype(np.int64) for v in (row[own], col[hit[first]], col[hit[last]]))
+
+
 def _spans(radius: float, key: str):
     """First and last column that each piece reaches in each row of its tile, in batches."""
     r = float(radius)
 
-    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        names = ("_px0", "_py0", "_px1", "_py1", "t_xmin", "t_ymax", "t_cell", "t_nrows", "t_ncols")
-        x0, y0, x1, y1, xmin, ymax, cell, nrows, ncols = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names)
-        top = np.fmax(np.ceil((ymax - (np.fmax(y0, y1) + r)) / cell) - 1, 0)
-        end = np.fmin(np.floor((ymax - (np.fmin(y0, y1) - r)) / cell), nrows - 1)
-        high = np.fmax(end - top + 1, 0).astype(int)
-        for share in _shares(high, ROWS_AT_ONCE):
-            i, down = _expand(high[share])
-            i += share.start
-            row, dx, dy = top[i] + down, (x1 - x0)[i], (y1 - y0)[i]
-            low = ymax[i] - (row + 1) * cell[i]
-            # The stretch of the piece near the row bounds the columns.
-            ta, tb = (low - r - y0[i]) / dy, (low + cell[i] + r - y0[i]) / dy
-            t0 = np.where(dy == 0, 0.0, np.fmin(np.fmax(np.fmin(ta, tb), 0.0), 1.0))
-            t1 = np.where(dy == 0, 1.0, np.fmin(np.fmax(np.fmax(ta, tb), 0.0), 1.0))
-            xa, xb = x0[i] + t0 * dx, x0[i] + t1 * dx
-            a = np.fmax(np.ceil((np.fmin(xa, xb) - r - xmin[i]) / cell[i]) - 1, 0)
-            b = np.fmin(np.floor((np.fmax(xa, xb) + r - xmin[i]) / cell[i]), ncols[i] - 1)
-            wide = np.fmax(b - a + 1, 0).astype(int)
-            for part in _shares(wide, CELLS_AT_ONCE):
-                j, along = _expand(wide[part])
-                j += part.start
-                col, k = a[j] + along, i[j]
-                left, size = xmin[k] + col * cell[k], cell[k]
-                near = _near_boxes(x0[k], y0[k], x1[k], y1[k], left, low[j], left + size, low[j] + size, r)
-                hit = np.flatnonzero(near)
-                own, first = np.unique(j[hit], return_index=True)
-                last = np.append(first[1:], len(hit)) - 1
-                # What lies within a distance of a straight piece is convex: no gaps in a row.
-                c0, c1 = (pa.array(col[hit[at]].astype(np.int32)) for at in (first, last))
-                who = pa.array(i[own])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(key).take(who), batch.column("tile_id").take(who), pa.array(row[own].astype(np.int32)), c0, c1],
-                    names=[key, "tile_id", "row", "c0", "c1"],
-                )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for batch in batches:
+                for i, *cells in _reached(batch, r):
+                    who = pa.array(i)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(key).take(who), batch.column("tile_id").take(who), *(pa.array(v.astype(np.int32)) for v in cells)],
+                        names=[key, "tile_id", "row", "c0", "c1"],
+                    )
+
+    return run
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    """Equal numbers for equal values; nested values are told apart by their place."""
+    if pa.types.is_nested(column.type):
+        return np.arange(len(column))
+    return column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _merged(pair: np.ndarray, block: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each block of a pair once, in order, with all its bits."""
+    order = np.lexsort((block, pair))
+    pair, block, mask = pair[order], block[order], mask[order]
+    first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (block[1:] != block[:-1]))[: len(pair)])
+    return pair[first], block[first], np.bitwise_or.reduceat(mask, first) if len(first) else mask
+
+
+def _blocks(radius: float, key: str):
+    """Blocks of cells, with a bit for each cell, that the pieces of a key reach in a tile, in batches.
+
+    What pieces of one batch reach together is told once. A key that reaches nothing gets a block without a bit and
+    without a tile, whose number serves to spread such rows alone.
+    """
+    r, bits = float(radius), np.uint64(1)
+
+    def of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Place of a key and tile, block and mask, in shares."""
+        keys = _codes(batch.column(key))
+        _, home, pair = np.unique(keys * (len(keys) + 1) + _codes(batch.column("tile_id")), return_index=True, return_inverse=True)
+        held, n, some = [], 0, np.zeros(len(keys) + 1, bool)
+        for i, row, c0, c1 in _reached(batch, r):
+            j, along = _expand(c1 // BLOCK_COLS - c0 // BLOCK_COLS + 1)
+            col = c0[j] // BLOCK_COLS + along
+            low, high = np.maximum(c0[j] - col * BLOCK_COLS, 0), np.minimum(c1[j] - col * BLOCK_COLS, BLOCK_COLS - 1)
+            ones = (bits << (high - low + 1).astype(np.uint64)) - bits
+            mask = ones << (low + row[j] % BLOCK_ROWS * BLOCK_COLS).astype(np.uint64)
+            some[keys[i]] = True
+            held.append(_merged(home[pair[i[j]]], (row[j] // BLOCK_ROWS << 32) + col, mask))
+            n += len(held[-1][0])
+            if n > CELLS_AT_ONCE:
+                yield _merged(*map(np.concatenate, zip(*held, strict=True)))
+                held, n = [], 0
+        if n:
+            yield _merged(*map(np.concatenate, zip(*held, strict=True)))
+        bare = np.unique(keys[~some[keys]], return_index=True)[1]
+        bare = np.flatnonzero(~some[keys])[bare]
+        yield -1 - bare, bare, np.zeros(len(bare), np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(divide="ignore", invalid="ignore"):
             for batch in batches:
-                yield from of(batch)
+                for place, block, mask in of(batch):
+                    first = np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)])
+                    ends = pa.array(np.append(first, len(place)).astype(np.int32))
+                    at = place[first]
+                    tile = pa.array(np.maximum(at, 0), mask=at < 0)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(key).take(pa.array(np.where(at < 0, -1 - at, at))), batch.column("tile_id").take(tile)]
+                        + [pa.ListArray.from_arrays(ends, pa.array(v.astype(np.int64))) for v in (block, mask)],
+                        names=[key, "tile_id", "_blocks", "_masks"],
+                    )
 
     return run
 
 
-def reached_spans(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
-    """Cells within a distance of a straight piece of a line, as ``(key, tile_id, row, c0, c1)`` with their first and last column.
+def _pairs(
+    lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str, how: str
+) -> tuple[DataFrame, DataFrame]:
+    """Straight pieces of lines with the tiles they reach, and the tiles by bin of all that lines may reach.
 
-    Rows of cells are taken in the height range of a piece, and in each row only the columns the piece
-    can reach there are measured, so a long slanting piece does not fill its whole box. Cells are measured in
-    arrays: as column expressions they make one method too long for the JVM to compile. Pieces go on their
-    own: a line of n pieces costs n rows, none of which knows the others.
+    With ``how`` left every line has a row, if need be without a tile.
     """
-    r = F.lit(float(radius))
-    pieces = lines.select(key, F.explode(geo.line_pieces(F.col(geom))).alias("_p")).select(
+    r, some = F.lit(float(radius)), F.explode_outer if how == "left" else F.explode
+    pieces = lines.select(key, some(geo.line_pieces(F.col(geom))).alias("_p")).select(
         key, "_p",
         (F.least("_p.x0", "_p.x1") - r).alias("_x0"), (F.greatest("_p.x0", "_p.x1") + r).alias("_x1"),
         (F.least("_p.y0", "_p.y1") - r).alias("_y0"), (F.greatest("_p.y0", "_p.y1") + r).alias("_y1"),
     )
-    binned = pieces.withColumn("_lx", F.explode(bins_between(F.col("_x0"), F.col("_x1"), size))).withColumn(
-        "_ly", F.explode(bins_between(F.col("_y0"), F.col("_y1"), size))
+    binned = pieces.withColumn("_lx", some(bins_between(F.col("_x0"), F.col("_x1"), size))).withColumn(
+        "_ly", some(bins_between(F.col("_y0"), F.col("_y1"), size))
     )
     # A pair meets in several bins but is kept only in the bin of the corner of its overlap.
     cond = (
@@ -206,10 +272,26 @@ def reached_spans(lines: DataFrame, tiles: DataFrame, radius: float, key: str, s
         & (F.col("_y0") <= F.col("t_ymax")) & (F.col("_y1") >= F.col("t_ymin"))
     )
     met = _met_bins(tiles, size, binned.select("_lx", "_ly"))
+    if how == "left":
+        # Without a place a piece meets no bin; a number, which is none, keeps such pieces from going to one task.
+        placed = F.col("_lx").isNotNull() & F.col("_ly").isNotNull()
+        binned = binned.withColumns({"_lx": F.when(placed, F.col("_lx")).otherwise(F.xxhash64(key)), "_ly": F.when(placed, F.col("_ly"))})
     ends = [F.col(f"_p.{c}").alias(f"_p{c}") for c in ("x0", "y0", "x1", "y1")]
-    pairs = binned.join(met, cond).select(
+    pairs = binned.join(met, cond, how).select(
         key, F.col("t_tile_id").alias("tile_id"), *ends, "t_xmin", "t_ymax", "t_cell", "t_nrows", "t_ncols"
-    ).dropna(subset=["t_nrows", "t_ncols", "t_cell", "t_ymax"])
+    )
+    return pairs, met
+
+
+def reached_spans(lines: DataFrame, tiles: DataFrame, radius: float, key: str, size: float, geom: str = "geom") -> DataFrame:
+    """Cells within a distance of a straight piece of a line, as ``(key, tile_id, row, c0, c1)`` with their first and last column.
+
+    Rows of cells are taken in the height range of a piece, and in each row only the columns the piece
+    can reach there are measured, so a long slanting piece does not fill its whole box. Cells are measured in
+    arrays: as column expressions they make one method too long for the JVM to compile. Pieces go on their
+    own: a line of n pieces costs n rows, none of which knows the others.
+    """
+    pairs, _ = _pairs(lines, tiles, radius, key, size, geom, "inner")
     kinds = {c: pairs.schema[c].dataType.simpleString() for c in (key, "tile_id")}
     return pairs.mapInArrow(_spans(radius, key), f"`{key}` {kinds[key]}, tile_id {kinds['tile_id']}, row int, c0 int, c1 int")
 
@@ -220,12 +302,14 @@ def touched_cells(lines: DataFrame, tiles: DataFrame, radius: float, key: str, s
     return spans.select(key, "tile_id", "row", F.explode(F.sequence("c0", "c1")).alias("col")).distinct()
 
 
-def _runs(cells: DataFrame) -> DataFrame:
-    """Cells of a row in runs of neighbours, ``(tile_id, row, run, values)``; a cell given twice counts with its larger value."""
-    present = cells.filter(F.col("value").isNotNull())
-    at = F.pmod(F.col("col"), F.lit(RUN))
-    return present.groupBy("tile_id", "row", F.floor(F.col("col") / RUN).cast("int").alias("run")).agg(
-        F.array(*[F.max(F.when(at == i, F.col("value"))) for i in range(RUN)]).alias("values")
+def _cell_blocks(cells: DataFrame, met: DataFrame) -> DataFrame:
+    """Cells of the tiles that lines may reach in blocks, ``(tile_id, _block, _values)``; a cell given twice counts with its larger value."""
+    row, col = (F.col(c).cast("bigint") for c in ("row", "col"))
+    held = cells.filter(F.col("value").isNotNull()).join(met.select(F.col("t_tile_id").alias("tile_id")).distinct(), "tile_id", "left_semi")
+    block = (F.floor(row / BLOCK_ROWS) * F.lit(1 << 32) + F.floor(col / BLOCK_COLS)).cast("bigint")
+    at = F.pmod(row, F.lit(BLOCK_ROWS)) * BLOCK_COLS + F.pmod(col, F.lit(BLOCK_COLS))
+    return held.groupBy("tile_id", block.alias("_block")).agg(
+        F.array(*[F.max(F.when(at == i, F.col("value").cast("double"))) for i in range(BLOCK_ROWS * BLOCK_COLS)]).alias("_values")
     )
 
 
@@ -234,22 +318,25 @@ def zonal_mean(
 ) -> DataFrame:
     """Mean of all cells within a distance of each line, as ``(key, mean, n_cells)``.
 
-    What several pieces of a line reach in a row of cells is cut into stretches that don't overlap, from left to right;
-    these meet runs of cells by equality, so only stretches are shuffled and no single cells.
-    Lines without any valid cell get 0.0; they enter as empty rows of the same average, not by a join.
+    A key moves twice: once with the blocks it reaches in a tile, where equal blocks become one, and once with its
+    sum and count. Blocks meet those of the cells by equality, where they are if these are few; no single cells are moved.
+    Lines without any valid cell get 0.0; they go along with a block that holds nothing.
     """
-    spark = lines.sparkSession
-    spans = reached_spans(lines, tiles, radius, key, size, geom)
-    before = Window.partitionBy(key, "tile_id", "row").orderBy("c0").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = spans.withColumn("c0", F.greatest(F.col("c0"), F.max("c1").over(before) + 1)).filter("c0 <= c1")
-    first, last = F.floor(F.col("c0") / RUN).cast("int"), F.floor(F.col("c1") / RUN).cast("int")
-    fresh = fresh.withColumn("run", F.explode(F.sequence(first, last)))
+    pairs, met = _pairs(lines, tiles, radius, key, size, geom, "left")
+    kinds = {c: pairs.schema[c].dataType.simpleString() for c in (key, "tile_id")}
+    reached = pairs.mapInArrow(
+        _blocks(radius, key), f"`{key}` {kinds[key]}, tile_id {kinds['tile_id']}, _blocks array<bigint>, _masks array<bigint>"
+    )
+    # Dealt out by key and tile alone, so that a row for each tile moves and not one for each block.
+    dealt = reached.repartition(key, "tile_id").select(key, "tile_id", "_masks", F.posexplode("_blocks").alias("_i", "_block"))
+    every = dealt.groupBy(key, "tile_id", "_block").agg(F.bit_or(F.get("_masks", F.col("_i"))).alias("_mask"))
     # Written, as the bins are: a join then knows their size.
-    held = checkpoint_table(_runs(cells), scratch_path(spark, "runs"))
-    start = F.greatest(F.col("c0") - F.col("run") * RUN, F.lit(0))
-    end = F.least(F.col("c1") - F.col("run") * RUN, F.lit(RUN - 1))
-    hits = fresh.join(held, ["tile_id", "row", "run"]).select(key, F.explode(F.slice("values", start + 1, end - start + 1)).alias("value"))
-    every = lines.select(key, F.lit(None).cast("double").alias("value"))
-    return hits.union(every).groupBy(key).agg(
-        F.coalesce(F.avg("value"), F.lit(0.0)).alias("mean"), F.count("value").alias("n_cells")
+    held = checkpoint_table(_cell_blocks(cells, met), scratch_path(lines.sparkSession, "blocks"))
+    hit = F.filter("_values", lambda v, i: v.isNotNull() & (F.getbit(F.col("_mask"), i) == 1))
+    found = every.join(held, ["tile_id", "_block"], "left").select(key, hit.alias("_hit")).select(
+        key, F.aggregate("_hit", F.lit(0.0), lambda s, v: s + v).alias("_sum"), F.size("_hit").alias("_n")
+    )
+    total, n = F.sum("_sum"), F.coalesce(F.sum(F.when(F.col("_n") > 0, F.col("_n"))), F.lit(0).cast("bigint"))
+    return found.groupBy(key).agg(total.alias("_total"), n.alias("n_cells")).select(
+        key, F.when(F.col("n_cells") > 0, F.col("_total") / F.col("n_cells")).otherwise(F.lit(0.0)).alias("mean"), "n_cells"
     )

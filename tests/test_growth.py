@@ -125,6 +125,74 @@ def test_zonal_of_lines_without_a_coordinate(spark):
     assert [got[i][0] for i in range(4)] == pytest.approx([27.0, 27.2, 329 / 19, 59 / 9])
 
 
+def test_zonal_moves_a_key_once_for_a_tile(monkeypatch):
+    """Pieces of a key that come together leave one row for each tile, with each block once; a key without cells leaves one row."""
+    nan = float("nan")
+    keys, tiles = ["a", "a", None, "a", "b", None, "c", "a"], [0, 0, 0, 1, None, 0, None, 0]
+    ends = [(1, 1, 30, 1), (1, 1, 1, 99), (1, 1, 1, 1), (45, 1, 45, 1), (1, 1, 2, 2), (55, 1, 55, 1), (1, 1, 2, 2), (30, 1, 1, 1)]
+    columns = {"k": pa.array(keys), "tile_id": pa.array(tiles, pa.int32())}
+    columns |= {f"_p{c}": pa.array([float(e[i]) for e in ends]) for i, c in enumerate(("x0", "y0", "x1", "y1"))}
+    columns |= {c: pa.array([nan if t is None else v for t in tiles], from_pandas=True) for c, v in (("t_xmin", 0.0), ("t_ymax", 100.0), ("t_cell", 10.0), ("t_nrows", 10.0), ("t_ncols", 10.0))}
+    batch = pa.RecordBatch.from_pydict(columns)
+
+    def cells(rows):
+        of = {}
+        for r in rows:
+            for block, mask in zip(r["_blocks"], r["_masks"], strict=True):
+                row, col = (block >> 32) * ti.BLOCK_ROWS, (block & 0xFFFFFFFF) * ti.BLOCK_COLS
+                at = {(row + i // ti.BLOCK_COLS, col + i % ti.BLOCK_COLS) for i in range(64) if mask >> i & 1}
+                of.setdefault((r["k"], r["tile_id"]), set()).update(at)
+        return of
+
+    want = {
+        ("a", 0): {(9, c) for c in range(4)} | {(r, 0) for r in range(10)}, ("a", 1): {(9, 4)},
+        (None, 0): {(9, 0), (9, 5)}, ("b", None): set(), ("c", None): set(),
+    }
+    rows = [r for b in ti._blocks(1.0, "k")(iter([batch])) for r in b.to_pylist()]
+    assert len(rows) == len(want) and cells(rows) == want
+    assert all(len(r["_blocks"]) == len(set(r["_blocks"])) for r in rows)
+    for most in (1, 5):
+        monkeypatch.setattr(ti, "CELLS_AT_ONCE", most)
+        assert cells(r for b in ti._blocks(1.0, "k")(iter([batch])) for r in b.to_pylist()) == want
+
+
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
+def test_zonal_holds_cells_of_reached_tiles_alone(spark, limit):
+    """Keys that repeat or miss, lines of many pieces, without place or cells, by joins of either kind; nothing is sorted by line."""
+    rnd = np.random.default_rng(6)
+    tiles = spark.createDataFrame(
+        [(t, x, y, x + 40.0, y + 40.0, 4.0, 10, 10) for t, (x, y) in enumerate([(0.0, 0.0), (30.0, 0.0), (0.0, 40.0), (900.0, 900.0)])],
+        "tile_id int, xmin double, ymin double, xmax double, ymax double, cell double, nrows int, ncols int",
+    )
+    rows = [(t, r, c, float(rnd.integers(100)) if rnd.random() < 0.8 else None) for t in range(4) for r in range(12) for c in range(10)]
+    held = spark.createDataFrame(rows, "tile_id int, row int, col int, value double")
+    texts = [(int(k), "LINESTRING (%s)" % ", ".join("%f %f" % tuple(rnd.uniform(-10, 80, 2)) for _ in range(n))) for k, n in zip(rnd.integers(0, 30, 40), rnd.integers(2, 6, 40), strict=True)]
+    texts += [(None, "LINESTRING (1 1, 9 9)"), (None, "LINESTRING (60 1, 62 9)"), (None, "LINESTRING (1 1, 9 8)"), (91, None), (91, None), (92, "LINESTRING (500 500, 501 501)"), (93, "LINESTRING EMPTY"), (94, "LINESTRING (3 3)")]
+    lines = spark.createDataFrame(texts, "id int, t string").select("id", geo.parse_wkt(F.col("t")).alias("geom")).repartition(3)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        made = ti.zonal_mean(lines, tiles, held, 3.0, "id", 15.0)
+        plan = first_plan(made)
+        got = {x["id"]: (x["mean"], x["n_cells"]) for x in made.collect()}
+        _, met = ti._pairs(lines, tiles, 3.0, "id", 15.0, "geom", "left")
+        assert {r[0] for r in ti._cell_blocks(held, met).select("tile_id").distinct().collect()} == {0, 1, 2}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Window" not in plan and "Union" not in plan
+    boxes = tiles.join(held.filter("row < 10").dropna(subset=["value"]), "tile_id").select(
+        "tile_id", "row", "col", "value", (F.col("xmin") + F.col("col") * 4).alias("x"), (F.col("ymax") - (F.col("row") + 1) * 4).alias("y")
+    )
+    pieces = lines.select("id", F.explode(geo.line_pieces(F.col("geom"))).alias("p"))
+    near = geo.dist_seg_square(F.col("p"), F.col("x"), F.col("y"), F.col("x") + 4, F.col("y") + 4) <= 3.0
+    met = pieces.crossJoin(boxes).filter(near).select("id", "tile_id", "row", "col", "value").distinct()
+    want = {x["id"]: (x["m"], x["n"]) for x in met.groupBy("id").agg(F.avg("value").alias("m"), F.count("*").alias("n")).collect()}
+    assert set(got) == {k for k, _ in texts} and sum(n > 0 for _, n in got.values()) == len(want)
+    for key, (mean, n) in got.items():
+        m, many = want.get(key, (0.0, 0))
+        assert n == many and mean == pytest.approx(m), key
+
+
 def test_areas_are_coded_together(monkeypatch):
     """Shells, holes, an island in a hole, rings in any order, none and null, in shares of any size."""
 
