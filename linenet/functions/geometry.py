@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import LongType
 
 from .arrays import expand, shares
 from .values import none_if, once
@@ -216,7 +216,7 @@ def _inside_edges(px: Column, py: Column, edges: Column) -> Column:
 
 
 def _holds(px: pa.Array, py: pa.Array, rings: pa.Array) -> pa.Array:
-    """``point_in_polygon`` over arrays, with the order of numbers and the nulls of column expressions.
+    """``point_in_polygon`` over arrays as 0 and 1, with the order of numbers and the nulls of column expressions.
 
     NaN is the largest number and equal to itself; what a missing value leaves open is null.
     """
@@ -261,7 +261,7 @@ def _holds(px: pa.Array, py: pa.Array, rings: pa.Array) -> pa.Array:
             touched[own[near[flat & whole[near]]]] = True
             vague[own[near[~whole[near]]]] = True
     inside = odd & ~touched
-    return pa.array(inside, mask=lost | (inside & vague))
+    return pa.array(inside.astype(np.int64), mask=lost | (inside & vague))
 
 
 def point_in_polygon(px: Column, py: Column, rings: Column) -> Column:
@@ -269,7 +269,9 @@ def point_in_polygon(px: Column, py: Column, rings: Column) -> Column:
 
     Edges are met in arrays: as array functions, which are interpreted, they cost most of what an area costs.
     """
-    return F.arrow_udf(_holds, BooleanType())(px.cast("double"), py.cast("double"), rings)
+    # Numbers, not single bits: Python sends answers once they fill a buffer, and until then Spark keeps all rows
+    # that wait for them, geometries too, on disk.
+    return F.arrow_udf(_holds, LongType())(px.cast("double"), py.cast("double"), rings) == 1
 
 
 def clip_length(g: Column, edges: Column, crossed: Column | None = None) -> Column:
